@@ -15,15 +15,22 @@ One writer at a time per target.
 from __future__ import annotations
 
 import datetime as dt
+import json
 import re
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from faremill.operators.aggregate import duplicate_keys
-from faremill.operators.shape import in_interval, moment
+from faremill.operators.shape import in_interval
+from faremill.operators.writers import by_directory
+from faremill.session import workspace
 
 VERSION = re.compile(r"version-(\d{8})")
+SCHEMA_FILE = "_schema.json"
 # beyond this many touched directories a rewrite reads the whole target
 MOST_PARTITIONS = 10_000
 
@@ -64,8 +71,33 @@ def exists(spark: SparkSession, path: str) -> bool:
 def read_target(spark: SparkSession, path: str) -> DataFrame:
     """The current rows of a target of either kind."""
     versions = _versions(spark, path)
-    at = f"{path}/version-{versions[-1]:08d}" if versions else path
-    return spark.read.parquet(at)
+    if versions:
+        return spark.read.parquet(f"{path}/version-{versions[-1]:08d}")
+    schema = _known_schema(spark, path)
+    return (spark.read if schema is None else spark.read.schema(schema)).parquet(path)
+
+
+def _remember_schema(spark: SparkSession, path: str, schema: T.StructType) -> None:
+    """Keep a partitioned target's columns beside its data.
+
+    After a column was appended, old directories lack it; with the schema at hand readers
+    need not merge the footers of all files to find it.
+    """
+    fs, where = _fs(spark, f"{path}/{SCHEMA_FILE}")
+    out = fs.create(where, True)
+    out.write(bytearray(schema.json().encode()))
+    out.close()
+
+
+def _known_schema(spark: SparkSession, path: str) -> T.StructType | None:
+    fs, where = _fs(spark, f"{path}/{SCHEMA_FILE}")
+    if not fs.exists(where):
+        return None
+    io = spark._jvm.java.io
+    lines = io.BufferedReader(io.InputStreamReader(fs.open(where), "UTF-8"))
+    text = lines.readLine()
+    lines.close()
+    return T.StructType.fromJson(json.loads(text))
 
 
 def commit(df: DataFrame, path: str) -> DataFrame:
@@ -84,12 +116,13 @@ def drop_old_versions(spark: SparkSession, path: str, keep: int = 2) -> None:
 
 def _replace_partitions(df: DataFrame, path: str, partition: str) -> None:
     (
-        df.repartition(F.col(partition), F.pmod(F.xxhash64(*df.columns), F.lit(8)))
+        by_directory(df, [partition])
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(partition)
         .parquet(path)
     )
+    _remember_schema(df.sparkSession, path, df.schema)
 
 
 def _touched(source: DataFrame, partition: str) -> Column | None:
@@ -105,12 +138,25 @@ def create(df: DataFrame, path: str, partition: str | None = None) -> DataFrame:
     """First load, or full rebuild, of a target."""
     if partition is None:
         return commit(df, path)
-    df.repartition(F.col(partition), F.pmod(F.xxhash64(*df.columns), F.lit(8))).write.mode(
-        "overwrite"
-    ).partitionBy(partition).parquet(path)
+    by_directory(df, [partition]).write.mode("overwrite").partitionBy(partition).parquet(path)
+    _remember_schema(df.sparkSession, path, df.schema)
     return read_target(df.sparkSession, path)
 
 
+@contextmanager
+def _staged(source: DataFrame) -> Iterator[DataFrame]:
+    """The increment, stored once: it is read for the key check, the anti join and the write.
+
+    A recomputed source could differ between these reads; stored files cannot.
+    """
+    spark = source.sparkSession
+    path = workspace(spark, "increment")
+    source.write.parquet(path)
+    yield spark.read.parquet(path)
+    fs, where = _fs(spark, path)
+    fs.delete(where, True)
+
+
 # --- strategies -----------------------------------------------------------------------
 
 
@@ -133,9 +179,9 @@ def merge(
     have one row per key. With ``partition``, a key may not move between directories (true
     for keys hashed from the pickup time).
     """
-    spark = source.sparkSession
-    _require_unique(source, key)
-    return _swap_keys(spark, source, path, key, partition)
+    with _staged(source) as rows:
+        _require_unique(rows, key)
+        return _swap_keys(rows, path, key, partition)
 
 
 def delete_insert(
@@ -145,10 +191,14 @@ def delete_insert(
 
     Unlike ``merge``, several source rows per key are kept.
     """
-    return _swap_keys(source.sparkSession, source, path, key, partition)
+    with _staged(source) as rows:
+        return _swap_keys(rows, path, key, partition)
 
 
-def _swap_keys(spark, source, path, key, partition):
+def _swap_keys(
+    source: DataFrame, path: str, key: list[str], partition: str | None
+) -> DataFrame:
+    spark = source.sparkSession
     if not exists(spark, path):
         return create(source, path, partition)
     target = read_target(spark, path)
@@ -163,7 +213,7 @@ def _swap_keys(spark, source, path, key, partition):
     )
     kept = _without_keys(touched, source, list(dict.fromkeys([*key, partition])))
     _replace_partitions(kept.unionByName(source, allowMissingColumns=True), path, partition)
-    return spark.read.option("mergeSchema", True).parquet(path)
+    return read_target(spark, path)
 
 
 def replace_interval(
@@ -174,44 +224,55 @@ def replace_interval(
     end: dt.datetime | dt.date,
     granularity: str = "timestamp",
     partition: str | None = None,
+    unit: str = "day",
 ) -> DataFrame:
     """Delete target rows with ``time`` in ``[start, end)``, then insert the source's rows of it.
 
-    A window without new rows still empties the target there. Source rows outside the window
-    are an error of the caller and are filtered out. A date key needs bounds at midnight:
-    part of a day would otherwise replace the whole day.
+    A window without new rows still empties the target there; source rows outside the window
+    are left out. A date key needs bounds at midnight: part of a day would otherwise replace
+    the whole day. ``partition`` names a date column that holds the day, or with
+    ``unit='month'`` the first of the month, of ``time``.
     """
     if granularity == "date":
         for bound in (start, end):
             if isinstance(bound, dt.datetime) and bound.time() != dt.time(0):
                 raise ValueError("a date key needs an interval from midnight to midnight")
-    spark = source.sparkSession
     inside = in_interval(time, start, end)
-    fresh = source.filter(inside)
+    with _staged(source.filter(inside)) as fresh:
+        return _swap_interval(fresh, path, inside, _parts(start, end, unit), partition)
+
+
+def _swap_interval(
+    fresh: DataFrame, path: str, inside: Column, parts: list[dt.date], partition: str | None
+) -> DataFrame:
+    spark = fresh.sparkSession
     if not exists(spark, path):
         return create(fresh, path, partition)
     target = read_target(spark, path)
-    keep = ~F.coalesce(inside, F.lit(False))
+    outside = ~F.coalesce(inside, F.lit(False))
     if partition is None:
-        return commit(
-            target.filter(keep).unionByName(fresh, allowMissingColumns=True), path
-        )
-    # only the directories the window overlaps
-    first, last = _day(start), _day(end - dt.timedelta(microseconds=1) if isinstance(end, dt.datetime) else end - dt.timedelta(days=1))
-    days = F.col(partition).between(F.lit(first), F.lit(last))
-    edge = target.filter(days & keep)
-    merged = edge.unionByName(fresh, allowMissingColumns=True)
-    filled = {str(r[0]) for r in merged.select(partition).distinct().collect()}
-    _replace_partitions(merged, path, partition)
-    for day in (first + dt.timedelta(days=i) for i in range((last - first).days + 1)):
-        if str(day) not in filled:
-            fs, gone = _fs(spark, f"{path}/{partition}={day}")
-            fs.delete(gone, True)
+        kept = target.filter(outside)
+        return commit(kept.unionByName(fresh, allowMissingColumns=True), path)
+    # only the directories the window overlaps; the first and the last may reach beyond it
+    overlap = F.col(partition).between(F.lit(parts[0]), F.lit(parts[-1]))
+    rows = target.filter(overlap & outside).unionByName(fresh, allowMissingColumns=True)
+    filled = {r[0] for r in rows.select(partition).distinct().collect()}
+    _replace_partitions(rows, path, partition)
+    for part in parts:
+        if part not in filled:
+            fs, empty = _fs(spark, f"{path}/{partition}={part}")
+            fs.delete(empty, True)
     return read_target(spark, path)
 
 
-def _day(value: dt.date | dt.datetime) -> dt.date:
-    return value.date() if isinstance(value, dt.datetime) else value
+def _parts(start: dt.date, end: dt.date, unit: str) -> list[dt.date]:
+    """Days, or firsts of months, that ``[start, end)`` overlaps."""
+    last_moment = end - (dt.datetime.resolution if isinstance(end, dt.datetime) else dt.date.resolution)
+    first, last = (
+        d.date() if isinstance(d, dt.datetime) else d for d in (start, last_moment)
+    )
+    days = [first + dt.timedelta(days=i) for i in range((last - first).days + 1)]
+    return days if unit == "day" else sorted({d.replace(day=1) for d in days})
 
 
 def incremental_slice(

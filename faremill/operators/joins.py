@@ -1,18 +1,33 @@
 """Lookup, role-playing, outer and either-side joins.
 
-None of these carry a broadcast hint on data: Catalyst broadcasts a side whose measured
-size is under ``spark.sql.autoBroadcastJoinThreshold`` and AQE splits skewed shuffle
-partitions otherwise.
+A dimension is broadcast only after its rows have been counted against a limit; beyond the
+limit the choice is Catalyst's (by measured bytes), and AQE splits skewed shuffle partitions.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+# a lookup of up to this many rows goes to every executor
+MOST_LOOKUP_ROWS = 20_000
+
+
+def if_small(dim: DataFrame, most_rows: int = MOST_LOOKUP_ROWS) -> DataFrame:
+    """Hint a broadcast if the frame has at most ``most_rows`` rows, otherwise leave it as it is.
+
+    The check reads only as many partitions as it takes to exceed the limit. Without the
+    hint the size of a joined or filtered lookup is unknown to the planner, and the fact
+    table would be shuffled before AQE learns how small the lookup is.
+    """
+    return F.broadcast(dim) if is_small(dim, most_rows) else dim
+
+
+def is_small(df: DataFrame, most_rows: int = MOST_LOOKUP_ROWS) -> bool:
+    return len(df.select(F.lit(1)).take(most_rows + 1)) <= most_rows
+
+
 def code_table(spark: SparkSession, names: dict[int, str], key: str, value: str) -> DataFrame:
     """An in-code lookup as a frame. Hinted: its size is the literal dictionary's."""
     rows = spark.createDataFrame(list(names.items()), f"{key} int, {value} string")
@@ -23,7 +38,7 @@ def join_lookup(df: DataFrame, dim: DataFrame, fk: str, pk: str, how: str = "inn
     """Equi-join to a dimension. The dimension key takes the fact key's type once, on its side."""
     key_type = df.schema[fk].dataType
     keyed = dim.withColumn("_pk", F.col(pk).try_cast(key_type)).drop(pk)
-    return df.join(keyed, df[fk] == keyed["_pk"], how).drop("_pk")
+    return df.join(if_small(keyed), df[fk] == keyed["_pk"], how).drop("_pk")
 
 
 def enrich_roles(
@@ -33,11 +48,13 @@ def enrich_roles(
 
     ``roles`` maps a role name to (foreign key, {dimension column: output column}).
     """
+    small = is_small(dim)
     for role, (fk, columns) in roles.items():
         key = f"_{role}_key"
         picked = dim.select(
             F.col(pk).alias(key), *[F.col(c).alias(out) for c, out in columns.items()]
         )
+        picked = F.broadcast(picked) if small else picked
         df = df.join(picked, F.col(fk) == F.col(key), "left").drop(key)
     return df
 
@@ -111,7 +128,3 @@ def orphans(child: DataFrame, parent: DataFrame, fk: str, pk: str) -> DataFrame:
     return counted.join(known, F.col("_fk") == F.col("_pk"), "left_anti").withColumnRenamed(
         "_fk", fk
     )
-
-
-def all_of(*conditions: Column) -> Column:
-    return reduce(Column.__and__, conditions)

@@ -1,4 +1,4 @@
-"""Row picking per key and running values along an order."""
+"""One row per key, and running totals."""
 
 from __future__ import annotations
 
@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from faremill.session import workspace
+
 
 def dedup(
     df: DataFrame,
@@ -45,57 +47,49 @@ def running_total(
     order: list[str],
     value: str,
     name: str,
-    step: Column,
+    pieces: int | None = None,
 ) -> DataFrame:
     """Running sum of ``value`` per group, from the group's first row to the current one.
 
-    ``step`` cuts each group into consecutive pieces along the order, e.g. the month of the
-    time column; it must never decrease along ``order``. Rows are summed inside their piece,
-    and the sum of all earlier pieces is added: so the largest sort is one piece of one
-    group, however large the group. Pieces are aggregated before they are shuffled.
-    """
-    return _running(df, by, order, step, F.col(value), F.sum, F.sum, name, lambda a, b: a + b, 0)
-
+    A plain window would sort a whole group in one task. Here the rows are cut into
+    ``pieces`` ranges of equal size along (group, order), whatever the sizes of the groups;
+    rows are summed inside their piece, and the group's earlier pieces are added, of which
+    there is one row each. ``pieces`` defaults to the session's shuffle partitions.
 
-def running_max(
-    df: DataFrame,
-    by: list[str],
-    order: list[str],
-    value: str,
-    name: str,
-    step: Column,
-) -> DataFrame:
-    """Highest ``value`` seen so far per group, in the same two levels."""
-    return _running(
-        df, by, order, step, F.col(value), F.max, F.max, name, lambda a, b: F.greatest(a, b), None
-    )
-
-
-def _running(df, by, order, step, value, inside, across, name, combine, start):
-    cut = df.withColumn("_step", step)
-    pieces = cut.groupBy(*by, "_step").agg(inside(value).alias("_piece"))
-    earlier = (
-        Window.partitionBy(*by).orderBy("_step").rowsBetween(Window.unboundedPreceding, -1)
+    The cut table is stored: the boundaries come from a sample, and both readers of the
+    pieces must see the same ones, also after a task is repeated.
+    """
+    spark = df.sparkSession
+    along = [F.col(c).asc_nulls_last() for c in order]
+    count = pieces or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path = workspace(spark, "pieces")
+    (
+        df.repartitionByRange(count, *[F.col(c).asc() for c in by], *along)
+        .withColumn("_piece", F.spark_partition_id())
+        .write.parquet(path)
     )
-    parts = [*by, "_step"]
-    offsets = pieces.select(
-        *[F.col(c).alias(f"_of_{c}") for c in parts],
-        across("_piece").over(earlier).alias("_before"),
+    cut = spark.read.parquet(path)
+
+    parts = [*by, "_piece"]
+    earlier = Window.partitionBy(*by).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (
+        cut.groupBy(*parts)
+        .agg(F.sum(value).alias("_sum"))
+        .select(
+            *[F.col(c).alias(f"_of_{c}") for c in parts],
+            F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_before"),
+        )
     )
     within = (
         Window.partitionBy(*parts)
-        .orderBy(*[F.col(c).asc_nulls_last() for c in order])
+        .orderBy(*along)
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    local = cut.withColumn("_local", inside(value).over(within))
+    local = cut.withColumn("_local", F.coalesce(F.sum(value).over(within), F.lit(0)))
     # null-safe: a NULL group key is a group like any other
     same = reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in parts])
-    before, here = F.col("_before"), F.col("_local")
-    if start is not None:
-        before, here = F.coalesce(before, F.lit(start)), F.coalesce(here, F.lit(start))
-    extra = [f"_of_{c}" for c in parts]
     return (
         local.join(offsets, same)
-        .withColumn(name, combine(before, here))
-        .drop("_step", "_local", "_before", *extra)
+        .withColumn(name, F.col("_before") + F.col("_local"))
+        .drop("_piece", "_local", "_before", *[f"_of_{c}" for c in parts])
     )

@@ -14,7 +14,6 @@ def write(
     coalesce: int | None = None,
     partition_by: list[str] | None = None,
     cluster_by: list[str] | None = None,
-    files_per_partition: int = 1,
     fmt: str = "parquet",
     options: dict[str, str] | None = None,
 ) -> DataFrame:
@@ -22,18 +21,13 @@ def write(
 
     ``repartition`` fixes the number of files by a shuffle; ``coalesce`` merges tasks and is
     for reports small enough for one task. With ``partition_by`` the rows of one directory
-    are brought together, spread over ``files_per_partition`` tasks so that a hot directory
-    is not one task's work, and sorted by ``cluster_by`` so that row-group statistics can
-    skip data.
+    are brought together and sorted by ``cluster_by``, so that row-group statistics can skip
+    data; see ``by_directory`` for hot directories.
     """
     if coalesce:
         df = df.coalesce(coalesce)
     elif partition_by:
-        keys = [F.col(c) for c in partition_by]
-        if files_per_partition > 1:
-            spread = [F.col(c) for c in df.columns if c not in partition_by]
-            keys.append(F.pmod(F.xxhash64(*spread), F.lit(files_per_partition)))
-        df = df.repartition(repartition, *keys) if repartition else df.repartition(*keys)
+        df = by_directory(df, partition_by)
         df = df.sortWithinPartitions(*partition_by, *(cluster_by or []))
     elif repartition:
         df = df.repartition(repartition)
@@ -45,6 +39,16 @@ def write(
     return (reader.schema(df.schema) if fmt != "parquet" else reader).load(path)
 
 
+def by_directory(df: DataFrame, partition_by: list[str]) -> DataFrame:
+    """Bring the rows of a directory together before a partitioned write.
+
+    A rebalance, not a repartition: AQE splits a directory that is larger than the advisory
+    partition size over several tasks and packs small ones into one, so neither a hot day
+    nor thousands of tiny ones decide the run time.
+    """
+    return df.hint("rebalance", *partition_by)
+
+
 def materialize(df: DataFrame, kind: str, name: str, path: str | None = None) -> DataFrame:
     """``view``: recomputed by every reader; ``table``: stored, replaced as a whole.
 
@@ -65,13 +69,10 @@ def append(df: DataFrame, path: str) -> DataFrame:
     return write(df, path, "append")
 
 
-def write_months(df: DataFrame, path: str, time: str, files_per_month: int = 4) -> DataFrame:
+def write_months(df: DataFrame, path: str, time: str) -> DataFrame:
     """All months in one job, laid out as ``year=/month=``."""
     dated = df.withColumn("year", F.year(time)).withColumn("month", F.month(time))
-    return write(
-        dated, path, "overwrite", partition_by=["year", "month"],
-        files_per_partition=files_per_month,
-    )
+    return write(dated, path, "overwrite", partition_by=["year", "month"])
 
 
 def table_copy(df: DataFrame, path: str) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from faremill.functions.numbers import total
+from faremill.operators.writers import by_directory
 from faremill.plans.stand_ins import (
     GREEN_SQL,
     MATCHES_SQL,
@@ -44,7 +45,7 @@ def ingest_months(spark: SparkSession, sf_dir: str) -> DataFrame:
     for service, source in (("green", green_source), ("yellow", yellow_source)):
         time = months.PICKUP_COLUMN[service]
         trips = source(spark, sf_dir).withColumn("month", F.date_format(time, "yyyy-MM"))
-        trips.repartition("month").write.partitionBy("month").parquet(f"{base}/{service}")
+        by_directory(trips, ["month"]).write.partitionBy("month").parquet(f"{base}/{service}")
         first, last = trips.agg(F.min(F.to_date(time)), F.max(F.to_date(time))).head()
         frames.append(
             months.read_months(
@@ -76,10 +77,21 @@ def ingest_months(spark: SparkSession, sf_dir: str) -> DataFrame:
        FROM orders GROUP BY 1, 2""",
 )
 def date_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each date range lands as a resource of its own; together they are the whole table."""
     start, end, days = dt.date(1995, 1, 1), dt.date(2001, 12, 31), 700
     orders = load(spark, sf_dir, "orders").withColumn("day", F.to_date("o_orderdate"))
-    chunks = landing.date_chunks(start, end, days)
-    loaded = landing.union_chunks(orders, F.col("day"), chunks, ["o_orderkey"])
+    base = workspace(spark, "chunks")
+    labelled = orders.withColumn("part", landing.chunk_of(F.col("day"), start, end, days))
+    by_directory(labelled.filter("part IS NOT NULL"), ["part"]).write.partitionBy("part").parquet(
+        base
+    )
+    loaded = landing.union_chunks(
+        [
+            read_parquet(spark, f"{base}/part={i}").withColumn("chunk", F.lit(i))
+            for i in range(len(landing.date_chunks(start, end, days)))
+        ],
+        ["o_orderkey"],
+    )
     totals = loaded.groupBy("chunk").agg(
         F.count("*").alias("row_count"), total("o_totalprice").alias("total_price")
     )

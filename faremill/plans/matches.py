@@ -110,10 +110,7 @@ def running_points(matches: DataFrame, team: int) -> DataFrame:
     scored = finished(matches, team).select(
         "season", "utc_date", "id", points("is_win", "is_draw").cast("long").alias("points")
     )
-    return running_total(
-        scored, ["season"], ["utc_date", "id"], "points", "running_points",
-        step=F.to_date("utc_date"),
-    )
+    return running_total(scored, ["season"], ["utc_date", "id"], "points", "running_points")
 
 
 def season_goals(matches: DataFrame, team: int) -> DataFrame:

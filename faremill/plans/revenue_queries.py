@@ -10,6 +10,7 @@ from faremill.functions.times import hours_between, naive
 from faremill.operators.aggregate import (
     bucket_average as bucket_average_of,
     count_by,
+    daily_report,
     daily_trend as daily_trend_of,
     hourly_revenue as hourly_revenue_of,
     least_frequent,
@@ -17,7 +18,7 @@ from faremill.operators.aggregate import (
     top_group,
     top_n,
 )
-from faremill.operators.joins import join_lookup
+from faremill.operators.joins import enrich_roles, join_lookup
 from faremill.operators.shape import between_dates
 from faremill.plans.scalars_queries import staged
 from faremill.plans.stand_ins import (
@@ -44,7 +45,6 @@ from faremill.plans.trips import (
     monthly_zone_mart,
     union_raw,
 )
-from faremill.operators.joins import enrich_roles
 from faremill.registry import query
 from faremill.sources.tables import load, plain
 
@@ -225,8 +225,6 @@ def revenue_with_zone(spark: SparkSession, sf_dir: str) -> DataFrame:
     FROM ingested GROUP BY 1, 2""",
 )
 def daily_service_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from faremill.operators.aggregate import daily_report
-
     return daily_report(ingested_source(spark, sf_dir), "taxi_type", "pickup_datetime")
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from faremill.functions.numbers import total
 from faremill.operators.aggregate import distinct_count, row_count
 from faremill.operators.shape import between_dates, on_day
-from faremill.operators.writers import write, write_months
+from faremill.operators.writers import table_copy as table_copy_of, write, write_months
 from faremill.plans.stand_ins import YELLOW_SQL, yellow_source
 from faremill.registry import query
 from faremill.session import workspace
@@ -19,7 +19,7 @@ from faremill.sources.files import (
     read_csv,
     read_parquet,
 )
-from faremill.sources.tables import instants, load, plain, table_path
+from faremill.sources.tables import load, plain, table_path
 
 ORDER_CSV = (
     "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
@@ -176,7 +176,7 @@ def partitioned_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     stored = write(
         orders, workspace(spark, "partitioned"), partition_by=["order_month"],
-        cluster_by=["o_orderstatus"], files_per_partition=4,
+        cluster_by=["o_orderstatus"],
     )
     march = stored.filter(F.col("order_month") == F.lit("1998-03-01").cast("date"))
     return march.groupBy(F.to_date("o_orderdate").alias("order_day"), "o_orderstatus").agg(
@@ -198,6 +198,4 @@ def write_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     "SELECT event_id, ts, user_id, event_type, value, props FROM events",
 )
 def table_copy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from faremill.operators import writers
-
-    return plain(writers.table_copy(instants(load(spark, sf_dir, "events")), workspace(spark, "copy")))
+    return plain(table_copy_of(load(spark, sf_dir, "events"), workspace(spark, "copy")))

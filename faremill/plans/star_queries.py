@@ -10,14 +10,19 @@ from faremill.operators.aggregate import count_by
 from faremill.operators.joins import code_table, either_side_join as either_side_join_of
 from faremill.operators.joins import enrich_default, join_lookup
 from faremill.operators.rows import dedup, dedup_by_file as dedup_by_file_of
+from faremill.operators.shape import in_years
 from faremill.operators.writers import append
 from faremill.plans.scalars_queries import STAGED_OUT, doubles, staged
+from faremill.plans.matches import game_results
 from faremill.plans.stand_ins import (
+    GAMES_SQL,
     INGESTED_SQL,
     PAYMENTS_SQL,
     STAGED_SQL,
     ZONES_SQL,
+    game_source,
     ingested_source,
+    profile_source,
     zone_source,
 )
 from faremill.plans.trips import (
@@ -97,8 +102,6 @@ def fct_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
     FROM ranked WHERE rn = 1""",
 )
 def dedup_earliest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from faremill.operators.shape import in_years
-
     trips = staged(spark, sf_dir).filter(in_years("pickup_datetime", YEARS))
     kept = dedup(trips, TRIP_KEY, "dropoff_datetime", "first", TRIP_TIES)
     return plain(kept.select(*TRIP_KEY, "dropoff_datetime", "fare_amount"))
@@ -190,34 +193,13 @@ def star_category_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "J5",
-    """WITH pairs AS (
-      SELECT l_orderkey, l_linenumber, c_nationkey AS side_a, s_nationkey AS side_b
-      FROM lineitem JOIN orders ON l_orderkey = o_orderkey
-      JOIN customer ON o_custkey = c_custkey JOIN supplier ON l_suppkey = s_suppkey)
-    SELECT n_name, count(*) AS joined_rows, count(l_orderkey) AS matched_rows,
-           count(CASE WHEN side_a = side_b THEN 1 END) AS both_sides
-    FROM nation LEFT JOIN pairs ON n_nationkey IN (side_a, side_b)
-    GROUP BY n_name""",
+    f"""WITH {GAMES_SQL}
+    SELECT username, aid, white_aid, black_aid, winner_aid
+    FROM profiles LEFT JOIN games ON aid IN (white_aid, black_aid)""",
 )
 def either_side_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    items = load(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey")
-    orders = load(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    customer = load(spark, sf_dir, "customer").select(
-        "c_custkey", F.col("c_nationkey").alias("side_a")
-    )
-    supplier = load(spark, sf_dir, "supplier").select(
-        "s_suppkey", F.col("s_nationkey").alias("side_b")
-    )
-    pairs = (
-        items.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(customer, F.col("o_custkey") == F.col("c_custkey"))
-        .join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
-        .select("l_orderkey", "l_linenumber", "side_a", "side_b")
-    )
-    nation = load(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    joined = either_side_join_of(nation, pairs, "n_nationkey", ["side_a", "side_b"])
-    return joined.groupBy("n_name").agg(
-        F.count("*").alias("joined_rows"),
-        F.count("l_orderkey").alias("matched_rows"),
-        F.count_if(F.col("side_a") == F.col("side_b")).alias("both_sides"),
+    """Every player with every game on either side; players without games stay."""
+    return either_side_join_of(
+        profile_source(spark, sf_dir), game_results(game_source(spark, sf_dir)), "aid",
+        ["white_aid", "black_aid"],
     )

@@ -41,8 +41,8 @@ def _send(rows: DataFrame, topic: str) -> None:
     jobs.as_messages(rows, *RIDE_EVENT.fieldNames()).write.mode("append").text(topic)
 
 
-def _typed(spark: SparkSession, topic: str, max_files: int | None = None) -> DataFrame:
-    messages = file_stream(spark, topic, max_files)
+def _typed(spark: SparkSession, topic: str) -> DataFrame:
+    messages = file_stream(spark, topic)
     return jobs.passthrough(messages, RIDE_EVENT, "tpep_pickup_datetime", "pickup_datetime")
 
 
@@ -74,7 +74,7 @@ def stream_to_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = workspace(spark, "batches")
     _send(rides(spark, sf_dir), f"{base}/topic")
     writer = jobs.batch_folder_writer(f"{base}/out")
-    stream = _typed(spark, f"{base}/topic", max_files=4)
+    stream = _typed(spark, f"{base}/topic")
     jobs.drain(jobs.to_batches(stream, writer, f"{base}/checkpoint", interval=None))
     return plain(spark.read.parquet(f"{base}/out").drop("batch_id"))
 

@@ -202,9 +202,12 @@ def interval_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     middle, late = dt.datetime(1998, 7, 1), dt.datetime(2002, 1, 1)
     windows = [(dt.datetime(1995, 1, 1), middle), (middle, late), (middle, late)]
     for start, end in windows:
+        clean = interval_staging(ingested, start, end).withColumn(
+            "pickup_month", F.trunc("pickup_datetime", "month")
+        )
         staged = inc.replace_interval(
-            interval_staging(ingested, start, end), f"{base}/staging", "pickup_datetime",
-            start, end,
+            clean, f"{base}/staging", "pickup_datetime", start, end,
+            partition="pickup_month", unit="month",
         )
         report = inc.replace_interval(
             interval_report(staged, start, end), f"{base}/report", "pickup_date", start, end,

@@ -29,7 +29,9 @@ def read_csv(
 
 def infer_from_sample(spark: SparkSession, path: str, rows: int = 1000) -> T.StructType:
     """Column types judged on the first ``rows`` data lines only."""
-    lines = [r.value for r in spark.read.text(path).head(rows + 1)]
+    header, *data = [r.value for r in spark.read.text(path).head(rows + 1)]
+    # a short first file is followed by the next one, which brings its header line again
+    lines = [header, *[line for line in data if line != header]]
     sample = spark.sparkContext.parallelize(lines, 1)
     return spark.read.option("header", True).option("inferSchema", True).csv(sample).schema
 

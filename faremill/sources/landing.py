@@ -76,15 +76,15 @@ def chunk_table(spark: SparkSession, start: dt.date, end: dt.date, days: int) ->
     )
 
 
-def union_chunks(
-    df: DataFrame, day: Column, chunks: list[tuple[dt.date, dt.date]], key: list[str]
-) -> DataFrame:
-    """Read each range as its own slice, put the slices together and keep one row per key."""
-    slices = [
-        df.filter((day >= F.lit(low)) & (day <= F.lit(high))).withColumn("chunk", F.lit(i))
-        for i, (low, high) in enumerate(chunks)
-    ]
-    return reduce(DataFrame.unionByName, slices).dropDuplicates(key)
+def chunk_of(day: Column, start: dt.date, end: dt.date, days: int) -> Column:
+    """Number of the range a day falls into, counted from the end; NULL outside all of them."""
+    number = F.floor(F.date_diff(F.lit(end), day) / (days + 1)).cast("int")
+    return F.when(day.between(F.lit(start), F.lit(end)), number)
+
+
+def union_chunks(frames: list[DataFrame], key: list[str]) -> DataFrame:
+    """Several chunk resources in one table, one row per key."""
+    return reduce(DataFrame.unionByName, frames).dropDuplicates(key)
 
 
 def initial_cursor(as_of: dt.datetime, days: int = 30) -> dt.datetime:
