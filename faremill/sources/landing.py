@@ -17,8 +17,7 @@ from pyspark.sql import types as T
 
 def read_pages(spark: SparkSession, path: str, one_per_file: bool = False) -> DataFrame:
     """Landed page bodies as text in column ``body``."""
-    reader = spark.read.option("wholetext", one_per_file)
-    return reader.text(path).withColumnRenamed("value", "body")
+    return spark.read.text(path, wholetext=one_per_file).withColumnRenamed("value", "body")
 
 
 def page_records(body: Column | str, selector: str, record: T.StructType) -> Column:
