@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from faremill.functions.numbers import DISTANCE, average, total
+from faremill.functions.numbers import average, total
 from faremill.functions.times import month_date, to_day
 
 
@@ -50,7 +50,7 @@ def monthly_revenue(
         *sums,
         *counts,
         F.avg("passenger_count").alias("avg_monthly_passenger_count"),
-        average("trip_distance", DISTANCE).alias("avg_monthly_trip_distance"),
+        average("trip_distance", digits=3).alias("avg_monthly_trip_distance"),
     )
 
 
@@ -65,7 +65,7 @@ def daily_report(df: DataFrame, service: str, time: str) -> DataFrame:
         F.count(F.lit(1)).alias("trip_count"),
         total("fare_amount").alias("total_fare_amount"),
         total("total_amount").alias("total_amount"),
-        average("trip_distance", DISTANCE).alias("avg_trip_distance"),
+        average("trip_distance", digits=3).alias("avg_trip_distance"),
     )
 
 

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from faremill.functions.numbers import units
 from faremill.operators.aggregate import duplicate_keys
 from faremill.operators.joins import orphans
 from faremill.operators.shape import any_null, moment
@@ -222,20 +223,13 @@ def reconcile(
 
     Empty inputs count as zero. The two one-row totals meet through a scalar subquery.
     """
-    cents = "decimal(18,2)"
-    rows = detail.agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.coalesce(F.sum(F.col(amount).cast(cents)), F.lit(0)).alias("amount"),
-    )
-    reported = report.agg(F.coalesce(F.sum(count_col), F.lit(0)).cast("long").alias("rows"))
-    reported_amount = report.agg(
-        F.coalesce(F.sum(F.col(report_amount).cast("decimal(28,2)")), F.lit(0)).alias("amount")
-    )
+    cents = lambda c: F.coalesce(F.sum(units(c)), F.lit(0))
+    rows = detail.agg(F.count(F.lit(1)).alias("rows"), cents(amount).alias("amount"))
+    reported = report.agg(F.coalesce(F.sum(count_col), F.lit(0)).cast("long"))
+    reported_amount = report.agg(cents(report_amount))
     return rows.select(
         (F.col("rows") - reported.scalar()).alias("trip_count_diff"),
-        F.round(F.col("amount") - reported_amount.scalar(), 2)
-        .cast("double")
-        .alias("total_amount_diff"),
+        ((F.col("amount") - reported_amount.scalar()) / 100.0).alias("total_amount_diff"),
     )
 
 

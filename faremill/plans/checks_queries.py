@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from faremill.operators import quality as q
 from faremill.operators.aggregate import duplicate_keys
+from faremill.operators.joins import join_lookup
 from faremill.operators.writers import write
 from faremill.plans.revenue_queries import _AVERAGES, _money_sums
 from faremill.plans.scalars_queries import staged
@@ -81,7 +82,7 @@ def dq_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
 def dq_not_null(spark: SparkSession, sf_dir: str) -> DataFrame:
     zones = dim_zones(zone_source(spark, sf_dir)).select("location_id", "zone")
     trips = yellow_source(spark, sf_dir)
-    named = trips.join(zones, F.col("PULocationID") == F.col("location_id"), "left")
+    named = join_lookup(trips, zones, "PULocationID", "location_id", "left")
     return q.run_checks(named, "trips", [q.not_null("VendorID"), q.not_null("zone")])
 
 

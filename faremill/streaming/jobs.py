@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from faremill.functions.events import parse_event
+from faremill.functions.numbers import total
 from faremill.functions.times import from_epoch_ms
 
 
@@ -51,7 +52,7 @@ def windowed(
         .groupBy(F.window(time, width).alias("w"), *keys)
         .agg(
             F.count(F.lit(1)).alias("number_records"),
-            F.sum(F.col(amount).cast("decimal(18,2)")).cast("double").alias("amount"),
+            total(amount).alias("amount"),
         )
         .select(F.col("w.start").alias("window_start"), *keys, "number_records", "amount")
     )

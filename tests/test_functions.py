@@ -5,7 +5,7 @@ import hashlib
 
 import pandas as pd
 import pytest
-from pyspark.errors import NumberFormatException
+from pyspark.errors import ArithmeticException, NumberFormatException
 from pyspark.sql import functions as F
 
 from faremill import functions as fn
@@ -148,3 +148,18 @@ def test_dates(spark):
     assert got[2] == ts("2024-02-29T23:00:00")
     assert got[3] == ts("2024-02-29T23:59:59")
     assert got[4] == ts("2024-03-01T00:00:00")
+
+
+def test_totals_round_halves_away_from_zero_and_refuse_to_wrap(spark):
+    df = spark.createDataFrame([(0.125,), (-0.125,), (1.0,), (None,)], "v double")
+    assert [r[0] for r in df.select(fn.numbers.units("v")).collect()] == [13, -13, 100, None]
+    big = spark.range(3).select(F.lit(9e16).alias("v"))
+    with pytest.raises(ArithmeticException):
+        big.agg(fn.total("v")).collect()
+
+
+def test_totals_of_decimals_equal_decimal_sums(spark):
+    df = spark.range(100_000).select(((F.col("id") * 7919 % 1_000_003) / 100).alias("v"))
+    both = df.withColumn("d", F.col("v").cast("decimal(18,2)"))
+    got = both.agg(fn.total("v"), fn.total("d"), F.sum("d").cast("double")).head()
+    assert got[0] == got[1] == got[2]
