@@ -67,7 +67,8 @@ def monthly_report(
     if connector:
         write_table(report, connector, output, {}, "overwrite")
     else:
-        write(report, output, "overwrite", coalesce=1)
+        # one file, yet the aggregation before it stays spread over all tasks
+        write(report, output, "overwrite", repartition=1)
 
 
 def hourly_report(

@@ -19,8 +19,9 @@ def write(
 ) -> DataFrame:
     """Write and return a frame that reads the result.
 
-    ``repartition`` fixes the number of files by a shuffle; ``coalesce`` merges tasks and is
-    for reports small enough for one task. With ``partition_by`` the rows of one directory
+    ``repartition`` fixes the number of files by a shuffle, which keeps the work before it
+    parallel. ``coalesce`` avoids that shuffle, but pulls the preceding stage (an aggregation's
+    merge, say) into as few tasks: only for results that are small all the way. With ``partition_by`` the rows of one directory
     are brought together and sorted by ``cluster_by``, so that row-group statistics can skip
     data; see ``by_directory`` for hot directories.
     """
@@ -36,7 +37,8 @@ def write(
         writer = writer.partitionBy(*partition_by)
     writer.save(path)
     reader = df.sparkSession.read.format(fmt).options(**(options or {}))
-    return (reader.schema(df.schema) if fmt != "parquet" else reader).load(path)
+    # after an append the folder may hold columns this frame lacks: take the files' own schema
+    return (reader if mode == "append" else reader.schema(df.schema)).load(path)
 
 
 def by_directory(df: DataFrame, partition_by: list[str]) -> DataFrame:

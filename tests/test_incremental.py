@@ -42,6 +42,30 @@ def test_merge_touches_only_the_days_of_the_source(spark, folder):
     assert changed == ["d=2024-01-02"]
 
 
+@pytest.mark.parametrize("partition", [None, "d"])
+def test_an_empty_source_changes_nothing(spark, folder, partition):
+    path = folder + "/t"
+    inc.create(days(spark, (1, 1, "a"), (2, 2, "b")), path, partition)
+    got = inc.merge(days(spark), path, ["id"], partition)
+    assert rows(got.select("id", "v")) == [(1, "a"), (2, "b")]
+
+
+def test_very_many_touched_directories_fall_back_to_a_join(spark, folder, monkeypatch):
+    monkeypatch.setattr(inc, "MOST_PARTITIONS", 1)
+    path = folder + "/t"
+    inc.create(days(spark, (1, 1, "a"), (2, 2, "b"), (3, 3, "c")), path, "d")
+    got = inc.merge(days(spark, (1, 1, "A"), (2, 2, "B")), path, ["id"], "d")
+    assert rows(got.select("id", "v")) == [(1, "A"), (2, "B"), (3, "c")]
+
+
+def test_increment_folders_do_not_stay(spark, folder):
+    shared = spark.conf.get("spark.checkpoint.dir")
+    before = {p for p in os.listdir(shared) if p.startswith("increment-")}
+    inc.create(days(spark, (1, 1, "a")), folder + "/t")
+    inc.merge(days(spark, (1, 1, "b")), folder + "/t", ["id"])
+    assert {p for p in os.listdir(shared) if p.startswith("increment-")} == before
+
+
 def test_merge_refuses_repeated_keys(spark, folder):
     inc.create(days(spark, (1, 1, "a")), folder + "/t")
     with pytest.raises(inc.DuplicateKeys):

@@ -62,6 +62,11 @@ def test_parquet_globs_and_heads(spark, tmp_path):
     assert rows(files.head_rows(df, 2, "id")) == [(0,), (0,)]
 
 
+def test_paths_are_uris(spark, tmp_path):
+    spark.range(3).write.parquet((tmp_path / "u").as_uri())
+    assert files.read_parquet(spark, (tmp_path / "u").as_uri()).count() == 3
+
+
 def test_seed(spark, tmp_path):
     write_text(tmp_path / "s.csv", "k,v", "1,a", ",b")
     with pytest.raises(ValueError):

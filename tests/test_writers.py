@@ -91,6 +91,11 @@ def test_connector_options():
     assert w.connector_options("jdbc", "t", {"url": "u"}) == {"url": "u", "dbtable": "t"}
 
 
+def test_connector_write(spark):
+    """The no-op connector takes the place of a warehouse."""
+    w.write_table(spark.range(3), "noop", "dataset.table", {"a": "b"}, "overwrite")
+
+
 def test_preview(spark, capsys):
     w.preview(spark.range(3), 2)
     assert "only showing top 2 rows" in capsys.readouterr().out
