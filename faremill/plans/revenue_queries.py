@@ -58,7 +58,7 @@ def _money_sums(measures: list[str]) -> str:
 
 
 _AVERAGES = """
-  avg(passenger_count) AS avg_monthly_passenger_count,
+  CAST(sum(passenger_count) AS DOUBLE) / count(passenger_count) AS avg_monthly_passenger_count,
   CAST(sum(CAST(trip_distance AS DECIMAL(18,3))) AS DOUBLE) / count(trip_distance)
     AS avg_monthly_trip_distance"""
 
