@@ -16,6 +16,7 @@ from faremill.operators import incremental as inc
 from faremill.operators import quality as q
 from faremill.operators.joins import code_table
 from faremill.operators.writers import append, write, write_months, write_table
+from faremill.plans import declared_checks as checks
 from faremill.plans import trips as t
 from faremill.session import build_session, use_utc
 from faremill.sources.files import read_csv, read_parquet
@@ -112,27 +113,16 @@ def build_marts(
         )
         return inc.merge(rows, fact_path, ["trip_id"], month)
 
-    def fact_checks(df: DataFrame) -> list[q.Check]:
-        return [
-            *q.primary_key("trip_id"),
-            q.not_null("vendor_id"),
-            q.not_null("pickup_datetime"),
-            q.not_null("total_amount"),
-            q.accepted_values("service_type", ["Green", "Yellow"]),
-            q.relationships("pickup_location_id", lookup, "location_id"),
-            q.relationships("dropoff_location_id", lookup, "location_id"),
-        ]
-
     built, _ = q.run_layer(
         [
-            ("fact_trips", fact, fact_checks),
+            ("fact_trips", fact, lambda df: checks.fact_trips(lookup)),
             (
                 "monthly_zone_revenue",
                 lambda: write(
                     t.monthly_zone_mart(inc.read_target(spark, fact_path)),
                     f"{output}/monthly_zone_revenue", "overwrite",
                 ),
-                lambda df: [q.unique_combination("pickup_zone", "revenue_month", "service_type")],
+                lambda df: checks.monthly_zone_mart(),
             ),
             (
                 "dim_vendors",
@@ -177,35 +167,8 @@ def refresh_interval(
 
     built, _ = q.run_layer(
         [
-            (
-                "staging.trips",
-                staging,
-                lambda df: [
-                    *q.primary_key("trip_id"),
-                    *[q.not_null(c) for c in ("taxi_type", "pickup_datetime", "dropoff_datetime")],
-                    *[
-                        q.non_negative(c)
-                        for c in ("trip_distance", "fare_amount", "total_amount")
-                    ],
-                    q.custom(
-                        "no_negative_trip_duration",
-                        F.col("dropoff_datetime") < F.col("pickup_datetime"),
-                    ),
-                ],
-            ),
-            (
-                "reports.trips_report",
-                report,
-                lambda df: [
-                    q.unique_combination("taxi_type", "pickup_date"),
-                    *[
-                        q.non_negative(c)
-                        for c in (
-                            "trip_count", "total_fare_amount", "total_amount", "avg_trip_distance",
-                        )
-                    ],
-                ],
-            ),
+            ("staging.trips", staging, lambda df: checks.interval_staging()),
+            ("reports.trips_report", report, lambda df: checks.interval_report()),
         ]
     )
     return built

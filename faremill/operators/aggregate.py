@@ -26,6 +26,11 @@ def duplicate_keys(df: DataFrame, *keys: str) -> DataFrame:
     return count_by(df, *keys, name="copies").filter(F.col("copies") > 1)
 
 
+def revenue_name(measure: str) -> str:
+    """Report column of a measure; the fare drops its suffix, the others keep their names."""
+    return "revenue_monthly_" + ("fare" if measure == "fare_amount" else measure)
+
+
 def monthly_revenue(
     df: DataFrame,
     zone: str,
@@ -42,7 +47,7 @@ def monthly_revenue(
     that name form one group.
     """
     place = F.col(zone) if unknown is None else F.coalesce(F.col(zone), F.lit(unknown))
-    sums = [total(m).alias(f"revenue_monthly_{m.removesuffix('_amount')}") for m in measures]
+    sums = [total(m).alias(revenue_name(m)) for m in measures]
     counts = [] if trip_key is None else [F.count(F.col(trip_key)).alias("total_monthly_trips")]
     return df.groupBy(
         place.alias(zone_name), month_date(time).alias("revenue_month"), F.col(service)

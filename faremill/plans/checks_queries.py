@@ -11,6 +11,7 @@ from faremill.operators import quality as q
 from faremill.operators.aggregate import duplicate_keys
 from faremill.operators.joins import join_lookup
 from faremill.operators.writers import write
+from faremill.plans import declared_checks as declared
 from faremill.plans.revenue_queries import _AVERAGES, _money_sums
 from faremill.plans.scalars_queries import staged
 from faremill.plans.stand_ins import (
@@ -333,41 +334,107 @@ def _build(spark: SparkSession, sf_dir: str, label: str) -> tuple[dict[str, Data
         stored[name] = write(df, f"{base}/{name}")
         return stored[name]
 
-    # 264 is the deliberate unknown zone of the stand-in trips
-    known = zones.select("location_id").unionByName(
-        spark.range(264, 265).select(F.col("id").cast("int").alias("location_id"))
-    )
     return q.run_layer(
         [
             (
                 "trips",
                 lambda: store("trips", clean_trips(staged(spark, sf_dir), payments(spark), YEARS)),
-                lambda df: [q.not_null("vendor_id"), q.not_null("payment_type_description")],
+                lambda df: declared.cleaned_trips(),
             ),
             (
                 "fact",
                 lambda: store(
                     "fact", q.enforce(fact_trips(stored["trips"], zones), fact_contract())
                 ),
-                lambda df: [
-                    *q.primary_key("trip_id"),
-                    q.accepted_values("service_type", ["Green", "Yellow"]),
-                    q.relationships("pickup_location_id", known, "location_id"),
-                ],
+                lambda df: declared.fact_trips(_zone_ids(spark, zones)),
             ),
             (
                 "mart",
                 lambda: store("mart", monthly_zone_mart(stored["fact"])),
-                lambda df: [
-                    q.unique_combination("pickup_zone", "revenue_month", "service_type")
-                ],
+                lambda df: declared.monthly_zone_mart(),
             ),
         ]
     )
 
 
+def _zone_ids(spark: SparkSession, zones: DataFrame) -> DataFrame:
+    """All ids the stand-in trips use: the known zones, 25 to 29, and the unknown zone 264."""
+    return (
+        zones.select(F.col("location_id").cast("long").alias("location_id"))
+        .unionByName(spark.range(25, 30).withColumnRenamed("id", "location_id"))
+        .unionByName(spark.range(264, 265).withColumnRenamed("id", "location_id"))
+    )
+
+
 @query("Q13 K7 J3 A4", f"WITH {_BUILT_MART} SELECT * FROM mart")
 def layered_build(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The mart at the end of a checked build."""
     built, _ = _build(spark, sf_dir, "layers")
     return built["mart"]
+
+
+def _null_sql(table: str, column: str) -> tuple[str, str, str, str]:
+    return (
+        "not_null", table, column, f"SELECT count(*) FROM {table} WHERE {column} IS NULL"
+    )
+
+
+def _negative_sql(table: str, column: str) -> tuple[str, str, str, str]:
+    return (
+        "non_negative", table, column, f"SELECT count(*) FROM {table} WHERE {column} < 0"
+    )
+
+
+def _unknown_zone_sql(column: str) -> tuple[str, str, str, str]:
+    return (
+        "relationships", "fact", column,
+        f"SELECT count(*) FROM fact WHERE {column} NOT IN (SELECT location_id FROM zones)",
+    )
+
+
+@query(
+    "Q1 Q2 Q3 Q4 Q14",
+    f"""WITH {FACT_SQL}
+    {_checks_sql(
+        _null_sql("fact", "trip_id"),
+        ("unique", "fact", "trip_id", _repeats("fact", "trip_id")),
+        *[_null_sql("fact", c)
+          for c in ("vendor_id", "service_type", "pickup_datetime", "total_amount")],
+        ("accepted_values", "fact", "service_type",
+         "SELECT count(*) FROM fact WHERE service_type NOT IN ('Green', 'Yellow')"),
+        _unknown_zone_sql("pickup_location_id"),
+        _unknown_zone_sql("dropoff_location_id"),
+    )}""",
+)
+def dq_fact_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All checks declared on the fact table; the stand-in trips fail on unknown zones."""
+    zones = dim_zones(zone_source(spark, sf_dir))
+    stored = write(fact(spark, sf_dir), workspace(spark, "fact"))
+    return q.run_checks(stored, "fact", declared.fact_trips(zones))
+
+
+@query(
+    "Q1 Q2 Q5 Q6 Q7",
+    f"""WITH {_LAYERS_SQL}, daily AS (
+      SELECT taxi_type, CAST(pickup_datetime AS DATE) AS pickup_date, count(*) AS trip_count,
+             sum(fare_amount) AS total_fare_amount, sum(total_amount) AS total_amount,
+             avg(trip_distance) AS avg_trip_distance
+      FROM staging GROUP BY 1, 2)
+    {_checks_sql(
+        _null_sql("staging", "trip_id"),
+        ("unique", "staging", "trip_id", _repeats("staging", "trip_id")),
+        *[_null_sql("staging", c) for c in ("taxi_type", "pickup_datetime", "dropoff_datetime")],
+        *[_negative_sql("staging", c) for c in ("trip_distance", "fare_amount", "total_amount")],
+        ("no_negative_trip_duration", "staging", "",
+         "SELECT count(*) FROM staging WHERE dropoff_datetime < pickup_datetime"),
+        ("unique_combination", "daily", "taxi_type+pickup_date",
+         _repeats("daily", "taxi_type", "pickup_date")),
+        *[_negative_sql("daily", c)
+          for c in ("trip_count", "total_fare_amount", "total_amount", "avg_trip_distance")],
+    )}""",
+)
+def dq_interval_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All checks declared on the interval-refreshed tables."""
+    _, clean, report = _layers(spark, sf_dir, "interval-checks")
+    staging = q.run_checks(clean, "staging", declared.interval_staging())
+    return staging.unionByName(q.run_checks(report, "daily", declared.interval_report()))

@@ -14,6 +14,7 @@ from faremill.operators.aggregate import (
     daily_trend as daily_trend_of,
     hourly_revenue as hourly_revenue_of,
     least_frequent,
+    revenue_name,
     rollup_report,
     top_group,
     top_n,
@@ -51,9 +52,7 @@ from faremill.sources.tables import load, plain
 
 def _money_sums(measures: list[str]) -> str:
     return ", ".join(
-        f"CAST(sum(CAST({m} AS DECIMAL(18,2))) AS DOUBLE)"
-        f" AS revenue_monthly_{m.removesuffix('_amount')}"
-        for m in measures
+        f"CAST(sum(CAST({m} AS DECIMAL(18,2))) AS DOUBLE) AS {revenue_name(m)}" for m in measures
     )
 
 

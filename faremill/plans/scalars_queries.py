@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from faremill.functions.codes import base_code as base_code_of
 from faremill.functions.events import json_field
 from faremill.functions.keys import row_id, surrogate_key as surrogate_key_of
 from faremill.functions.numbers import DISTANCE, MONEY, safe_cast as safe_cast_of
@@ -17,7 +16,14 @@ from faremill.functions.times import (
 )
 from faremill.operators.shape import in_years
 from faremill.plans.stand_ins import FHV_SQL, STAGED_SQL, fhv_source, green_source, yellow_source
-from faremill.plans.trips import STAGED, stage_fhv, stage_green, union_staged, stage_yellow
+from faremill.plans.trips import (
+    STAGED,
+    dispatch_bases,
+    stage_fhv,
+    stage_green,
+    stage_yellow,
+    union_staged,
+)
 from faremill.registry import query
 from faremill.sources.tables import load, plain
 
@@ -83,19 +89,15 @@ def safe_cast(spark: SparkSession, sf_dir: str) -> DataFrame:
     "X19 D1 P7",
     f"""WITH {FHV_SQL}, numbered AS (
       SELECT *, CAST(substr(dispatching_base_num, 2) AS BIGINT) AS n FROM fhv)
-    SELECT dispatching_base_num,
-           printf('%s/%03x', CASE WHEN n % 7 = 0 THEN 's' WHEN n % 3 = 0 THEN 'a' ELSE 'e' END, n)
-             AS base_id,
-           CAST(pickup_datetime AS DATE) AS pickup_date, CAST(dropoff_datetime AS DATE) AS dropoff_date
-    FROM numbered WHERE dispatching_base_num IS NOT NULL""",
+    SELECT CASE WHEN n IS NOT NULL THEN printf('%s/%03x',
+             CASE WHEN n % 7 = 0 THEN 's' WHEN n % 3 = 0 THEN 'a' ELSE 'e' END, n) END AS base_id,
+           CAST(pickup_datetime AS DATE) AS pickup_date, CAST(dropoff_datetime AS DATE) AS dropoff_date,
+           CAST(pickup_location_id AS DOUBLE) AS PULocationID,
+           CAST(dropoff_location_id AS DOUBLE) AS DOLocationID
+    FROM numbered""",
 )
 def base_code(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stage_fhv(fhv_source(spark, sf_dir)).select(
-        "dispatching_base_num",
-        base_code_of("dispatching_base_num").alias("base_id"),
-        F.to_date("pickup_datetime").alias("pickup_date"),
-        F.to_date("dropoff_datetime").alias("dropoff_date"),
-    )
+    return dispatch_bases(fhv_source(spark, sf_dir))
 
 
 @query(

@@ -226,7 +226,7 @@ fhv AS (
   FROM events
 )"""
 
-_STAGED = """
+STAGED_FORM = """
     CAST(VendorID AS INTEGER) AS vendor_id, RatecodeID AS rate_code_id,
     PULocationID AS pickup_location_id, DOLocationID AS dropoff_location_id,
     pickup_datetime, dropoff_datetime, store_and_fwd_flag, passenger_count,
@@ -239,8 +239,8 @@ _STAGED = """
     CAST(total_amount AS DECIMAL(18,2)) AS total_amount, payment_type"""
 
 STAGED_SQL = f"""{GREEN_SQL}, {YELLOW_SQL},
-staged_green AS (SELECT {_STAGED.format(trip_type="trip_type", ehail_fee="ehail_fee")} FROM green_raw),
-staged_yellow AS (SELECT {_STAGED.format(trip_type="1", ehail_fee="NULL")} FROM yellow_raw),
+staged_green AS (SELECT {STAGED_FORM.format(trip_type="trip_type", ehail_fee="ehail_fee")} FROM green_raw),
+staged_yellow AS (SELECT {STAGED_FORM.format(trip_type="1", ehail_fee="NULL")} FROM yellow_raw),
 staged AS (
   SELECT *, 'Green' AS service_type FROM staged_green
   UNION ALL

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from faremill.functions.codes import vendor_label
+from faremill.functions.codes import base_code, payment_label, vendor_label
 from faremill.functions.keys import row_id, surrogate_key
 from faremill.functions.numbers import DISTANCE, MONEY
 from faremill.functions.times import minutes_between
@@ -82,9 +82,11 @@ ZONE_ID_MEASURES = [
 # --- staging --------------------------------------------------------------------------
 
 
-def _stage(df: DataFrame, times: dict[str, str], window: tuple | None) -> DataFrame:
+def _stage(
+    df: DataFrame, times: dict[str, str], window: tuple | None, columns: dict[str, str] = STAGED
+) -> DataFrame:
     named = where_present(df.withColumnsRenamed({**times, **COMMON_NAMES}), "vendor_id")
-    typed = cast_as(named, STAGED, READ_SAFELY).select(*STAGED)
+    typed = cast_as(named, columns, READ_SAFELY).select(*columns)
     return sample_window(typed, "pickup_datetime", window)
 
 
@@ -110,6 +112,17 @@ def stage_fhv(df: DataFrame) -> DataFrame:
     )
 
 
+def dispatch_bases(df: DataFrame) -> DataFrame:
+    """Class code of the dispatching base and the calendar days of each ride."""
+    return df.select(
+        base_code("dispatching_base_num").alias("base_id"),
+        F.to_date("pickup_datetime").alias("pickup_date"),
+        F.to_date("dropoff_datetime").alias("dropoff_date"),
+        F.col("PULocationID").alias("PULocationID"),
+        F.col("DOLocationID").alias("DOLocationID"),
+    )
+
+
 def union_staged(green: DataFrame, yellow: DataFrame) -> DataFrame:
     return union_services({"Green": green, "Yellow": yellow})
 
@@ -214,11 +227,43 @@ def fact_trips(trips: DataFrame, zones: DataFrame) -> DataFrame:
     return enrich_roles(timed, zones, "location_id", ROLES).select(*FACT_TYPES)
 
 
-def green_fact(staged: DataFrame, zones: DataFrame) -> DataFrame:
+# what identifies a source row of the green-only fact
+ROW_KEY = [
+    "vendor_id", "pickup_datetime", "dropoff_datetime", "pickup_location_id",
+    "dropoff_location_id", "fare_amount", "trip_distance",
+]
+
+# fixed values: columns of the green-only fact
+GREEN_FACT = [
+    "unique_row_id", "vendor_id", "pickup_datetime", "dropoff_datetime", "rate_code_id",
+    "trip_type", "pickup_location_id", "pickup_borough", "pickup_zone", "dropoff_location_id",
+    "dropoff_borough", "dropoff_zone", "passenger_count", "trip_distance", "fare_amount", "extra",
+    "mta_tax", "tip_amount", "tolls_amount", "improvement_surcharge", "congestion_surcharge",
+    "total_amount", "payment_type", "payment_type_description",
+]
+
+
+def green_rows(df: DataFrame, order: str | None = None) -> DataFrame:
+    """Staged green trips, one per row id; repeats are settled by ``order``, e.g. the file name."""
+    columns = {**STAGED, "congestion_surcharge": MONEY}
+    if order is not None:
+        columns[order] = "string"
+    staged = _stage(df, GREEN_TIMES, None, columns).withColumn(
+        "unique_row_id", surrogate_key(*ROW_KEY)
+    )
+    ties = [c for c in columns if c not in ROW_KEY]
+    kept = dedup(staged, ["unique_row_id"], order or ties[0], "first", ties)
+    # a missing code is a gap of the records, not an error: it stays NULL
+    return kept.withColumn("payment_type_description", payment_label("payment_type"))
+
+
+def green_fact(rows: DataFrame, zones: DataFrame) -> DataFrame:
     """Green-only fact: positive distance and fare, day column for the directory layout."""
-    paid = staged.filter((F.col("trip_distance") > 0) & (F.col("fare_amount") > 0))
-    return enrich_roles(paid, zones, "location_id", ROLES).withColumn(
-        "pickup_day", F.to_date("pickup_datetime")
+    paid = rows.filter((F.col("trip_distance") > 0) & (F.col("fare_amount") > 0))
+    return (
+        enrich_roles(paid, zones, "location_id", ROLES)
+        .select(*GREEN_FACT)
+        .withColumn("pickup_day", F.to_date("pickup_datetime"))
     )
 
 

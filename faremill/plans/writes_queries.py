@@ -7,13 +7,13 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from faremill.functions.keys import surrogate_key
 from faremill.operators import incremental as inc
 from faremill.operators.rows import dedup
 from faremill.operators.writers import append
 from faremill.plans.scalars_queries import doubles
 from faremill.plans.stand_ins import (
     INGESTED_SQL,
+    STAGED_FORM,
     STAGED_SQL,
     ZONES_SQL,
     green_source,
@@ -23,12 +23,14 @@ from faremill.plans.stand_ins import (
 from faremill.plans.trips import (
     COPY_KEY,
     COPY_TIES,
-    TRIP_TIES,
+    GREEN_FACT,
+    ROW_KEY,
+    STAGED,
     dim_zones,
     green_fact,
+    green_rows,
     interval_report,
     interval_staging,
-    stage_green,
 )
 from faremill.registry import query
 from faremill.session import workspace
@@ -216,37 +218,43 @@ def interval_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report
 
 
-_GREEN_KEY = ["vendor_id", "pickup_datetime", "pickup_location_id"]
-_GREEN_OUT = [
-    "unique_row_id", *_GREEN_KEY, "pickup_borough", "dropoff_borough", "fare_amount",
-    "pickup_month",
+_ROW_KEY_TEXT = ", ".join(f"coalesce(CAST({c} AS VARCHAR), '_null_')" for c in ROW_KEY)
+_GREEN_TIES = [c for c in [*STAGED, "congestion_surcharge"] if c not in ROW_KEY]
+_GREEN_MONEY = [
+    "trip_distance", "fare_amount", "extra", "mta_tax", "tip_amount", "tolls_amount",
+    "improvement_surcharge", "congestion_surcharge", "total_amount",
 ]
+_GREEN_OUT = [*GREEN_FACT, "pickup_month"]
 
 
 @query(
     "K13 K9 K5 J3 F9 W3",
-    f"""WITH {STAGED_SQL}, {ZONES_SQL}, ranked AS (
-      SELECT *, row_number() OVER (PARTITION BY {", ".join(_GREEN_KEY)}
-                 ORDER BY dropoff_datetime ASC NULLS LAST,
-                          {", ".join(f"{t} ASC NULLS LAST" for t in TRIP_TIES)}) AS rn
-      FROM staged WHERE service_type = 'Green')
-    SELECT md5(concat_ws('-', coalesce(CAST(vendor_id AS VARCHAR), '_null_'),
-               coalesce(CAST(pickup_datetime AS VARCHAR), '_null_'),
-               coalesce(CAST(pickup_location_id AS VARCHAR), '_null_'))) AS unique_row_id,
-           vendor_id, pickup_datetime, pickup_location_id, p.borough AS pickup_borough,
-           d.borough AS dropoff_borough, {doubles("fare_amount")},
-           CAST(date_trunc('month', pickup_datetime) AS DATE) AS pickup_month
-    FROM ranked LEFT JOIN zones p ON pickup_location_id = p.location_id
-    LEFT JOIN zones d ON dropoff_location_id = d.location_id
-    WHERE rn = 1 AND trip_distance > 0 AND fare_amount > 0""",
+    f"""WITH {STAGED_SQL}, {ZONES_SQL}, rows_with_surcharge AS (
+      SELECT {STAGED_FORM.format(trip_type="trip_type", ehail_fee="ehail_fee")},
+             CAST(congestion_surcharge AS DECIMAL(18,2)) AS congestion_surcharge
+      FROM green_raw),
+    ranked AS (
+      SELECT *, row_number() OVER (PARTITION BY {", ".join(ROW_KEY)}
+                 ORDER BY {", ".join(f"{t} ASC NULLS LAST" for t in _GREEN_TIES)}) AS rn
+      FROM rows_with_surcharge),
+    fact AS (
+      SELECT *, md5(concat_ws('-', {_ROW_KEY_TEXT})) AS unique_row_id,
+             CASE payment_type WHEN 1 THEN 'Credit card' WHEN 2 THEN 'Cash' WHEN 3 THEN 'No charge'
+                  WHEN 4 THEN 'Dispute' WHEN 6 THEN 'Voided trip' ELSE 'Unknown' END
+               AS payment_type_description,
+             CAST(date_trunc('month', pickup_datetime) AS DATE) AS pickup_month
+      FROM ranked WHERE rn = 1 AND trip_distance > 0 AND fare_amount > 0)
+    SELECT {", ".join(c for c in _GREEN_OUT
+                      if c not in _GREEN_MONEY and not c.endswith(("borough", "zone")))},
+           {doubles(*_GREEN_MONEY)}, p.borough AS pickup_borough, p.zone AS pickup_zone,
+           d.borough AS dropoff_borough, d.zone AS dropoff_zone
+    FROM fact LEFT JOIN zones p ON pickup_location_id = p.location_id
+    LEFT JOIN zones d ON dropoff_location_id = d.location_id""",
 )
 def green_fact_build(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Partitioned fact table in two runs: a first load, then everything newer, merged by row id."""
     path = workspace(spark, "green-fact")
-    rows = dedup(
-        stage_green(green_source(spark, sf_dir)), _GREEN_KEY, "dropoff_datetime", "first",
-        TRIP_TIES,
-    ).withColumn("unique_row_id", surrogate_key(*_GREEN_KEY))
+    rows = green_rows(green_source(spark, sf_dir))
     fact = (
         green_fact(rows, dim_zones(zone_source(spark, sf_dir)))
         .withColumn("pickup_month", F.trunc("pickup_day", "month"))

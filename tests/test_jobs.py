@@ -29,7 +29,7 @@ def test_monthly_report(spark, sf_dir, folder):
     jobs.main(["monthly-report", *sources, f"--output={folder}/report"], spark)
     assert len(glob.glob(folder + "/report/*.parquet")) == 1
     report = spark.read.parquet(folder + "/report")
-    assert report.agg(F.sum("revenue_monthly_total")).head()[0] > 0
+    assert report.agg(F.sum("revenue_monthly_total_amount")).head()[0] > 0
 
 
 def test_hourly_report(spark, sf_dir, folder):

@@ -129,7 +129,7 @@ def test_mart(fact):
     assert got["Corona", "Green"].total_monthly_trips == 2
     assert got["Unknown Zone", "Yellow"].revenue_month == dt.date(2020, 1, 1)
     assert got["Unknown Zone", "Yellow"].revenue_monthly_ehail_fee is None
-    assert got["Corona", "Green"].revenue_monthly_total == 24.7
+    assert got["Corona", "Green"].revenue_monthly_total_amount == 24.7
 
 
 def test_dims(spark):
@@ -141,11 +141,22 @@ def test_dims(spark):
 
 
 def test_green_fact_needs_positive_amounts(spark):
-    g = t.stage_green(green(spark, {}, {"fare_amount": 0.0}, {"trip_distance": None}))
+    g = t.green_rows(green(spark, {}, {"fare_amount": 0.0}, {"trip_distance": None}))
     got = t.green_fact(g, zones(spark))
+    assert got.columns == [*t.GREEN_FACT, "pickup_day"]
     assert got.count() == 1 and got.head().pickup_day == dt.date(2019, 10, 1)
 
 
+def test_green_rows_are_unique_by_first_file(spark):
+    raw = green(spark, {"payment_type": None}, {"payment_type": 2}, {"payment_type": 3})
+    files = spark.createDataFrame([(None, "c"), (2, "b"), (3, "a")], "p int, f string")
+    named = raw.join(files, F.col("payment_type").eqNullSafe(F.col("p"))).drop("p")
+    got = t.green_rows(named, order="f")
+    assert rows(got.select("payment_type", "payment_type_description")) == [(3, "No charge")]
+    alone = t.green_rows(named.filter("f = 'c'"), order="f")
+    assert rows(alone.select("payment_type", "payment_type_description")) == [(None, "Unknown")]
+
+
 def test_hourly_comparison_loses_unknown_zones(spark):
     g = green(spark, {"lpep_pickup_datetime": ts("2020-01-01T00:10:00")}, {})
     y = yellow(spark, {}, {"PULocationID": 1}, {"PULocationID": None})
