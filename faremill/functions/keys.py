@@ -13,7 +13,7 @@ def _text(c: Column | str) -> Column:
 
 
 def surrogate_key(*cols: Column | str) -> Column:
-    """md5 over dash-separated parts; a NULL part counts as a fixed word, so the key is never NULL."""
+    """md5 over dash-separated parts; a NULL part counts as a fixed word: the key is never NULL."""
     parts = [F.coalesce(_text(c), F.lit(NULL_TEXT)) for c in cols]
     return F.md5(F.concat_ws("-", *parts).cast("binary"))
 

@@ -148,10 +148,12 @@ def refresh_interval(
     window = (dt.datetime.combine(start, dt.time()), dt.datetime.combine(end, dt.time()))
 
     def staging() -> DataFrame:
-        ingested = append(
-            read_months(spark, base, services, start, end, extracted_at), f"{output}/ingested"
+        fetched = read_months(spark, base, services, start, end, extracted_at).withColumn(
+            month, F.trunc("pickup_datetime", "month")
         )
-        rows = t.interval_staging(ingested, *window).withColumn(
+        ingested = append(fetched, f"{output}/ingested", [month])
+        arrived = inc.within(ingested, "pickup_datetime", *window, month, "month")
+        rows = t.interval_staging(arrived, *window).withColumn(
             month, F.trunc("pickup_datetime", "month")
         )
         return inc.replace_interval(
@@ -159,7 +161,9 @@ def refresh_interval(
         )
 
     def report() -> DataFrame:
-        staged = inc.read_target(spark, f"{output}/staging")
+        staged = inc.within(
+            inc.read_target(spark, f"{output}/staging"), "pickup_datetime", *window, month, "month"
+        )
         return inc.replace_interval(
             t.interval_report(staged, *window), f"{output}/report", "pickup_date", *window,
             granularity="date",
@@ -202,7 +206,10 @@ def _arguments() -> argparse.ArgumentParser:
     job("hourly-report", "green", "yellow", "zones", "output", since="2020-01-01 00:00:00")
     job("convert-months", "service", "csv", "output")
     job("build-marts", "green", "yellow", "zones", "output", years="2019,2020")
-    job("refresh-interval", "base", "output", "start", "end", "extracted_at", services="yellow,green")
+    job(
+        "refresh-interval", "base", "output", "start", "end", "extracted_at",
+        services="yellow,green",
+    )
     job("stream-rides", "servers", "topic", "url", "table", "checkpoint", start="latest")
     return parser
 

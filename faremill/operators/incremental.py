@@ -265,9 +265,23 @@ def _swap_interval(
     return read_target(spark, path)
 
 
+def within(
+    target: DataFrame, time: str, start: dt.date, end: dt.date, partition: str, unit: str = "day"
+) -> DataFrame:
+    """Rows of a partitioned target with ``time`` in ``[start, end)``, from their directories only.
+
+    A filter on the time alone would open every directory: Spark does not know that the
+    directory column is its day or month.
+    """
+    parts = _parts(start, end, unit)
+    overlap = F.col(partition).between(F.lit(parts[0]), F.lit(parts[-1]))
+    return target.filter(overlap & in_interval(time, start, end))
+
+
 def _parts(start: dt.date, end: dt.date, unit: str) -> list[dt.date]:
     """Days, or firsts of months, that ``[start, end)`` overlaps."""
-    last_moment = end - (dt.datetime.resolution if isinstance(end, dt.datetime) else dt.date.resolution)
+    step = dt.datetime.resolution if isinstance(end, dt.datetime) else dt.date.resolution
+    last_moment = end - step
     first, last = (
         d.date() if isinstance(d, dt.datetime) else d for d in (start, last_moment)
     )

@@ -69,7 +69,7 @@ def enrich_default(
     default_key: int = 0,
     default_label: str = "Unknown",
 ) -> DataFrame:
-    """Left join on a defaulted key; codes the lookup omits keep their code and get the default label."""
+    """Left join on a defaulted key; a code the lookup omits stays and gets the default label."""
     small = dim.select(F.col(pk).alias("_pk"), F.col(label).alias("_label"))
     return (
         df.withColumn(fk, F.coalesce(F.col(fk), F.lit(default_key)))

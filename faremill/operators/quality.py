@@ -234,10 +234,15 @@ def reconcile(
 
 
 def sanity_report(
-    raw: DataFrame, clean: DataFrame, report: DataFrame, raw_name: str = "ingestion.trips",
-    clean_name: str = "staging.trips", report_name: str = "reports.trips_report",
+    raw: DataFrame,
+    clean: DataFrame,
+    report: DataFrame,
+    raw_name: str = "ingestion.trips",
+    clean_name: str = "staging.trips",
+    report_name: str = "reports.trips_report",
 ) -> DataFrame:
     """Fourteen named values over the three layers, each table read once for its own values."""
+    # fixed values: the names of the rows, each with what is expected
     one = F.lit(1)
     raw_facts = raw.agg(F.count(one).cast("double").alias(f"{raw_name} row count"))
     times = ("pickup_datetime", "dropoff_datetime")
@@ -267,7 +272,9 @@ def sanity_report(
         .alias(f"{report_name} duplicate (taxi_type, pickup_date) count (expect 0)"),
     )
     gaps = reconcile(clean, report, "trip_count", "total_amount", "total_amount").select(
-        F.col("trip_count_diff").cast("double").alias("staging vs reports trip_count diff (expect 0)"),
+        F.col("trip_count_diff")
+        .cast("double")
+        .alias("staging vs reports trip_count diff (expect 0)"),
         F.col("total_amount_diff").alias("staging vs reports total_amount diff (expect ~0)"),
     )
     frames = [

@@ -21,9 +21,10 @@ def write(
 
     ``repartition`` fixes the number of files by a shuffle, which keeps the work before it
     parallel. ``coalesce`` avoids that shuffle, but pulls the preceding stage (an aggregation's
-    merge, say) into as few tasks: only for results that are small all the way. With ``partition_by`` the rows of one directory
-    are brought together and sorted by ``cluster_by``, so that row-group statistics can skip
-    data; see ``by_directory`` for hot directories.
+    merge, say) into as few tasks: only for results that are small all the way. With
+    ``partition_by`` the rows of one directory are brought together and sorted by
+    ``cluster_by``, so that row-group statistics can skip data; see ``by_directory`` for hot
+    directories.
     """
     if coalesce:
         df = df.coalesce(coalesce)
@@ -66,9 +67,12 @@ def materialize(df: DataFrame, kind: str, name: str, path: str | None = None) ->
     return stored
 
 
-def append(df: DataFrame, path: str) -> DataFrame:
-    """Add rows; repeats are allowed and are removed by the reader's ``dedup``."""
-    return write(df, path, "append")
+def append(df: DataFrame, path: str, partition_by: list[str] | None = None) -> DataFrame:
+    """Add rows; repeats are allowed and are removed by the reader's ``dedup``.
+
+    With ``partition_by`` later readers of a window need not scan all that was ever appended.
+    """
+    return write(df, path, "append", partition_by=partition_by)
 
 
 def write_months(df: DataFrame, path: str, time: str) -> DataFrame:

@@ -56,7 +56,8 @@ def _repeats(table: str, *cols: str) -> str:
 @query(
     "Q1 Q14",
     _checks_sql(
-        ("not_null", "orders", "o_orderkey", "SELECT count(*) FROM orders WHERE o_orderkey IS NULL"),
+        ("not_null", "orders", "o_orderkey",
+         "SELECT count(*) FROM orders WHERE o_orderkey IS NULL"),
         ("unique", "orders", "o_orderkey", _repeats("orders", "o_orderkey")),
         ("unique", "orders", "o_custkey", _repeats("orders", "o_custkey")),
         ("unique", "lineitem", "l_orderkey", _repeats("lineitem", "l_orderkey")),
@@ -157,7 +158,8 @@ def dq_unique_combination(spark: SparkSession, sf_dir: str) -> DataFrame:
     "Q6",
     _checks_sql(
         ("positive", "customer", "c_acctbal", "SELECT count(*) FROM customer WHERE c_acctbal <= 0"),
-        ("non_negative", "customer", "c_custkey", "SELECT count(*) FROM customer WHERE c_custkey < 0"),
+        ("non_negative", "customer", "c_custkey",
+         "SELECT count(*) FROM customer WHERE c_custkey < 0"),
         ("positive", "customer", "c_custkey", "SELECT count(*) FROM customer WHERE c_custkey <= 0"),
     ),
 )
@@ -258,42 +260,54 @@ def _layers(spark: SparkSession, sf_dir: str, label: str) -> tuple[DataFrame, Da
     return raw, clean, report
 
 
-def _value_sql(name: str, value: str) -> str:
-    return f"SELECT '{name}' AS check_name, CAST(({value}) AS DOUBLE) AS actual_value"
-
-
-_SANITY = [
-    ("ingestion.trips row count", "SELECT count(*) FROM ingested"),
-    ("staging.trips row count", "SELECT count(*) FROM staging"),
-    ("staging.trips duplicate trip_id count (expect 0)",
-     "SELECT count(*) - count(DISTINCT trip_id) FROM staging"),
-    ("staging.trips null trip_id count (expect 0)",
-     "SELECT count(*) FROM staging WHERE trip_id IS NULL"),
-    ("staging.trips null pickup/dropoff count (expect 0)",
-     "SELECT count(*) FROM staging WHERE pickup_datetime IS NULL OR dropoff_datetime IS NULL"),
-    ("staging.trips dropoff before pickup count (expect 0)",
-     "SELECT count(*) FROM staging WHERE dropoff_datetime < pickup_datetime"),
-    ("staging.trips negative trip_distance count (expect 0)",
-     "SELECT count(*) FROM staging WHERE trip_distance < 0"),
-    ("staging.trips negative fare_amount count (expect 0)",
-     "SELECT count(*) FROM staging WHERE fare_amount < 0"),
-    ("staging.trips negative total_amount count (expect 0)",
-     "SELECT count(*) FROM staging WHERE total_amount < 0"),
-    ("staging.trips distinct taxi_type count", "SELECT count(DISTINCT taxi_type) FROM staging"),
-    ("reports.trips_report row count (days x taxi_type)", "SELECT count(*) FROM report"),
-    ("reports.trips_report duplicate (taxi_type, pickup_date) count (expect 0)",
-     _repeats("report", "taxi_type", "pickup_date")),
-    ("staging vs reports trip_count diff (expect 0)",
-     "SELECT (SELECT count(*) FROM staging) - (SELECT coalesce(sum(trip_count), 0) FROM report)"),
-    ("staging vs reports total_amount diff (expect ~0)",
-     "SELECT round((SELECT coalesce(sum(CAST(total_amount AS DECIMAL(18,2))), 0) FROM staging)"
-     " - (SELECT coalesce(sum(total_amount), 0) FROM report), 2)"),
-]
+# report rows in SQL: name -> expression over the one-row facts below
+_SANITY = {
+    "ingestion.trips row count": "raw_rows",
+    "staging.trips row count": "clean_rows",
+    "staging.trips duplicate trip_id count (expect 0)": "clean_rows - ids",
+    "staging.trips null trip_id count (expect 0)": "clean_rows - with_id",
+    "staging.trips null pickup/dropoff count (expect 0)": "clean_rows - with_times",
+    "staging.trips dropoff before pickup count (expect 0)": "backwards",
+    "staging.trips negative trip_distance count (expect 0)": "below_distance",
+    "staging.trips negative fare_amount count (expect 0)": "below_fare",
+    "staging.trips negative total_amount count (expect 0)": "below_total",
+    "staging.trips distinct taxi_type count": "services",
+    "reports.trips_report row count (days x taxi_type)": "report_rows",
+    "reports.trips_report duplicate (taxi_type, pickup_date) count (expect 0)": "repeated_days",
+    "staging vs reports trip_count diff (expect 0)": "clean_rows - reported_trips",
+    "staging vs reports total_amount diff (expect ~0)": "clean_total - reported_total",
+}
+
+_SANITY_SQL = f"""{_LAYERS_SQL},
+clean_facts AS (
+  SELECT count(*) AS clean_rows, count(trip_id) AS with_id, count(DISTINCT trip_id) AS ids,
+         count(*) FILTER (WHERE least(pickup_datetime, dropoff_datetime) IS NOT NULL) AS with_times,
+         count(*) FILTER (WHERE pickup_datetime > dropoff_datetime) AS backwards,
+         count(*) FILTER (WHERE trip_distance < 0) AS below_distance,
+         count(*) FILTER (WHERE fare_amount < 0) AS below_fare,
+         count(*) FILTER (WHERE total_amount < 0) AS below_total,
+         count(DISTINCT taxi_type) AS services,
+         sum(CAST(total_amount AS DECIMAL(18,2))) AS clean_total
+  FROM staging
+),
+report_facts AS (
+  SELECT count(*) AS report_rows, sum(trip_count) AS reported_trips,
+         sum(total_amount) AS reported_total,
+         count(*) - count(DISTINCT taxi_type || CAST(pickup_date AS VARCHAR)) AS repeated_days
+  FROM report
+),
+facts AS (
+  SELECT * FROM clean_facts, report_facts, (SELECT count(*) AS raw_rows FROM ingested)
+)"""
 
 
 @query(
     "Q11 U2 J8 A17",
-    f"WITH {_LAYERS_SQL} " + " UNION ALL ".join(_value_sql(n, v) for n, v in _SANITY),
+    f"WITH {_SANITY_SQL} "
+    + " UNION ALL ".join(
+        f"SELECT '{name}' AS check_name, CAST({value} AS DOUBLE) AS actual_value FROM facts"
+        for name, value in _SANITY.items()
+    ),
 )
 def dq_sanity_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return q.sanity_report(*_layers(spark, sf_dir, "sanity"))
@@ -374,15 +388,11 @@ def layered_build(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _null_sql(table: str, column: str) -> tuple[str, str, str, str]:
-    return (
-        "not_null", table, column, f"SELECT count(*) FROM {table} WHERE {column} IS NULL"
-    )
+    return ("not_null", table, column, f"SELECT count(*) FROM {table} WHERE {column} IS NULL")
 
 
 def _negative_sql(table: str, column: str) -> tuple[str, str, str, str]:
-    return (
-        "non_negative", table, column, f"SELECT count(*) FROM {table} WHERE {column} < 0"
-    )
+    return ("non_negative", table, column, f"SELECT count(*) FROM {table} WHERE {column} < 0")
 
 
 def _unknown_zone_sql(column: str) -> tuple[str, str, str, str]:

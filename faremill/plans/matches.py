@@ -68,19 +68,16 @@ def player_summary(games: DataFrame, profiles: DataFrame) -> DataFrame:
 
 def finished(matches: DataFrame, team: int) -> DataFrame:
     """Finished matches with season and the outcome from the team's side."""
-    home = F.col("home_team__id") == team
-    winner = F.col("score__winner")
-    return (
-        matches.filter(F.col("status") == "FINISHED")
-        .withColumn("season", F.year(F.to_date("season__start_date")))
-        .withColumn("is_home", home)
-        .withColumn(
-            "is_win", (home & (winner == "HOME_TEAM")) | (~home & (winner == "AWAY_TEAM"))
-        )
-        .withColumn("is_draw", winner == "DRAW")
-        .withColumn(
-            "is_loss", (home & (winner == "AWAY_TEAM")) | (~home & (winner == "HOME_TEAM"))
-        )
+    winner, at_home = F.col("score__winner"), F.col("home_team__id") == team
+    own = by_side(at_home, F.lit("HOME_TEAM"), F.lit("AWAY_TEAM"))
+    return matches.filter(F.col("status") == "FINISHED").withColumns(
+        {
+            "season": F.year(F.to_date("season__start_date")),
+            "is_home": at_home,
+            "is_win": winner == own,
+            "is_draw": winner == "DRAW",
+            "is_loss": ~winner.isin("DRAW") & (winner != own),
+        }
     )
 
 

@@ -26,14 +26,17 @@ def _matches(spark: SparkSession, sf_dir: str) -> DataFrame:
     "X17 J5 A11 A13 X11 X23",
     f"""WITH {GAMES_SQL}, counts AS (
       SELECT username, aid, count(*) AS total_games,
-             count(CASE WHEN white_aid = aid AND winner_aid = aid THEN 1 END) AS white_wins,
-             count(CASE WHEN black_aid = aid AND winner_aid = aid THEN 1 END) AS black_wins,
-             count(CASE WHEN white_aid = aid THEN 1 END) AS white_games,
-             count(CASE WHEN black_aid = aid THEN 1 END) AS black_games
+             count(*) FILTER (WHERE aid = white_aid) AS white_games,
+             count(*) FILTER (WHERE aid = black_aid) AS black_games,
+             count(*) FILTER (WHERE aid = winner_aid AND aid = white_aid) AS white_wins,
+             count(*) FILTER (WHERE aid = winner_aid AND aid = black_aid) AS black_wins
       FROM profiles LEFT JOIN games ON aid IN (white_aid, black_aid)
-      GROUP BY username, aid)
-    SELECT *, round(white_wins * CAST(100 AS DOUBLE) / nullif(white_games, 0), 2) AS white_win_rate,
-           round(black_wins * CAST(100 AS DOUBLE) / nullif(black_games, 0), 2) AS black_win_rate
+      GROUP BY ALL)
+    SELECT *,
+           CASE WHEN white_games > 0
+                THEN round(CAST(white_wins AS DOUBLE) * 100 / white_games, 2) END AS white_win_rate,
+           CASE WHEN black_games > 0
+                THEN round(CAST(black_wins AS DOUBLE) * 100 / black_games, 2) END AS black_win_rate
     FROM counts""",
 )
 def player_summary(spark: SparkSession, sf_dir: str) -> DataFrame:

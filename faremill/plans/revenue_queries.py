@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from faremill.functions.numbers import total
-from faremill.functions.times import hours_between, naive
+from faremill.functions.times import hours_between
 from faremill.operators.aggregate import (
     bucket_average as bucket_average_of,
     count_by,

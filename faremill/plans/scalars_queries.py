@@ -91,7 +91,8 @@ def safe_cast(spark: SparkSession, sf_dir: str) -> DataFrame:
       SELECT *, CAST(substr(dispatching_base_num, 2) AS BIGINT) AS n FROM fhv)
     SELECT CASE WHEN n IS NOT NULL THEN printf('%s/%03x',
              CASE WHEN n % 7 = 0 THEN 's' WHEN n % 3 = 0 THEN 'a' ELSE 'e' END, n) END AS base_id,
-           CAST(pickup_datetime AS DATE) AS pickup_date, CAST(dropoff_datetime AS DATE) AS dropoff_date,
+           CAST(pickup_datetime AS DATE) AS pickup_date,
+           CAST(dropoff_datetime AS DATE) AS dropoff_date,
            CAST(pickup_location_id AS DOUBLE) AS PULocationID,
            CAST(dropoff_location_id AS DOUBLE) AS DOLocationID
     FROM numbered""",

@@ -150,8 +150,8 @@ def scan_csv_gz_glob(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "S2 K4",
-    """SELECT CAST(year(o_orderdate) AS INTEGER) AS year, CAST(month(o_orderdate) AS INTEGER) AS month,
-              count(*) AS row_count,
+    """SELECT CAST(year(o_orderdate) AS INTEGER) AS year,
+              CAST(month(o_orderdate) AS INTEGER) AS month, count(*) AS row_count,
               CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total_price
        FROM orders GROUP BY 1, 2""",
 )

@@ -196,7 +196,8 @@ yellow_raw AS (
          CAST(o_custkey % 6 AS INTEGER) AS passenger_count,
          CAST(o_custkey % 1000 AS DOUBLE) AS trip_distance,
          CAST(o_custkey % 7 AS INTEGER) AS RatecodeID, o_orderstatus AS store_and_fwd_flag,
-         CAST(CASE WHEN o_custkey % 11 = 0 THEN 264 ELSE c_nationkey END AS INTEGER) AS PULocationID,
+         CAST(CASE WHEN o_custkey % 11 = 0 THEN 264 ELSE c_nationkey END AS INTEGER)
+           AS PULocationID,
          CAST(o_custkey % 30 AS INTEGER) AS DOLocationID,
          CAST(o_orderkey % 9 AS INTEGER) AS payment_type, o_totalprice AS fare_amount,
          CAST(0.5 AS DOUBLE) AS extra, CAST(0.5 AS DOUBLE) AS mta_tax, c_acctbal AS tip_amount,
@@ -217,7 +218,7 @@ fhv AS (
   SELECT CASE WHEN event_type <> 'error'
               THEN 'B' || lpad(CAST(event_id % 100000 AS VARCHAR), 5, '0') END
            AS dispatching_base_num,
-         'B' || lpad(CAST(user_id AS VARCHAR), CAST(greatest(5, length(CAST(user_id AS VARCHAR))) AS INTEGER), '0')
+         printf('B%05d', user_id)
            AS affiliated_base_num,
          CAST(user_id % 30 AS INTEGER) AS pickup_location_id,
          CAST(user_id % 25 AS INTEGER) AS dropoff_location_id, ts AS pickup_datetime,
@@ -239,8 +240,12 @@ STAGED_FORM = """
     CAST(total_amount AS DECIMAL(18,2)) AS total_amount, payment_type"""
 
 STAGED_SQL = f"""{GREEN_SQL}, {YELLOW_SQL},
-staged_green AS (SELECT {STAGED_FORM.format(trip_type="trip_type", ehail_fee="ehail_fee")} FROM green_raw),
-staged_yellow AS (SELECT {STAGED_FORM.format(trip_type="1", ehail_fee="NULL")} FROM yellow_raw),
+staged_green AS (
+  SELECT {STAGED_FORM.format(trip_type="trip_type", ehail_fee="ehail_fee")} FROM green_raw
+),
+staged_yellow AS (
+  SELECT {STAGED_FORM.format(trip_type="1", ehail_fee="NULL")} FROM yellow_raw
+),
 staged AS (
   SELECT *, 'Green' AS service_type FROM staged_green
   UNION ALL

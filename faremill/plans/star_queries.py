@@ -12,7 +12,7 @@ from faremill.operators.joins import enrich_default, join_lookup
 from faremill.operators.rows import dedup, dedup_by_file as dedup_by_file_of
 from faremill.operators.shape import in_years
 from faremill.operators.writers import append
-from faremill.plans.scalars_queries import STAGED_OUT, doubles, staged
+from faremill.plans.scalars_queries import doubles, staged
 from faremill.plans.matches import game_results
 from faremill.plans.stand_ins import (
     GAMES_SQL,
@@ -26,8 +26,6 @@ from faremill.plans.stand_ins import (
     zone_source,
 )
 from faremill.plans.trips import (
-    COPY_KEY,
-    COPY_TIES,
     FACT_TYPES,
     TRIP_KEY,
     TRIP_TIES,

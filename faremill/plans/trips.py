@@ -96,7 +96,8 @@ def stage_green(df: DataFrame, window: tuple | None = None) -> DataFrame:
 
 def stage_yellow(df: DataFrame, window: tuple | None = None) -> DataFrame:
     """Yellow has neither trip type (all are street hails, 1) nor an e-hail fee (NULL)."""
-    return _stage(align(df, {"trip_type": (1, "int"), "ehail_fee": (None, MONEY)}), YELLOW_TIMES, window)
+    aligned = align(df, {"trip_type": (1, "int"), "ehail_fee": (None, MONEY)})
+    return _stage(aligned, YELLOW_TIMES, window)
 
 
 def stage_fhv(df: DataFrame) -> DataFrame:

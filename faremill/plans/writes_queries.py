@@ -63,11 +63,12 @@ def _status(df: DataFrame, *wanted: str) -> DataFrame:
 @query(
     "K9",
     """SELECT o_orderkey, o_orderstatus,
-              CASE WHEN o_orderstatus = 'F' THEN o_orderpriority ELSE 'changed' END AS o_orderpriority
+              CASE WHEN o_orderstatus = 'F' THEN o_orderpriority ELSE 'changed' END
+                AS o_orderpriority
        FROM orders""",
 )
 def merge_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Open orders are inserted, pending ones updated, finished ones kept; a rerun changes nothing."""
+    """Open orders are inserted, pending ones updated, finished ones kept; a rerun is harmless."""
     path = workspace(spark, "merge")
     orders = load(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority")
     inc.create(_status(orders, "F", "P"), path)
@@ -198,21 +199,23 @@ _COPY_RANK = f"""row_number() OVER (PARTITION BY {", ".join(COPY_KEY)}
 def interval_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Append (twice), refresh staging window by window, refresh the report; one window is rerun."""
     base = workspace(spark, "refresh")
-    trips = ingested_source(spark, sf_dir)
-    append(trips, f"{base}/ingested")
-    ingested = append(trips, f"{base}/ingested")
+    month = "pickup_month"
+    trips = ingested_source(spark, sf_dir).withColumn(month, F.trunc("pickup_datetime", "month"))
+    append(trips, f"{base}/ingested", [month])
+    ingested = append(trips, f"{base}/ingested", [month])
     middle, late = dt.datetime(1998, 7, 1), dt.datetime(2002, 1, 1)
     windows = [(dt.datetime(1995, 1, 1), middle), (middle, late), (middle, late)]
     for start, end in windows:
-        clean = interval_staging(ingested, start, end).withColumn(
-            "pickup_month", F.trunc("pickup_datetime", "month")
+        arrived = inc.within(ingested, "pickup_datetime", start, end, month, "month")
+        clean = interval_staging(arrived, start, end).withColumn(
+            month, F.trunc("pickup_datetime", "month")
         )
         staged = inc.replace_interval(
-            clean, f"{base}/staging", "pickup_datetime", start, end,
-            partition="pickup_month", unit="month",
+            clean, f"{base}/staging", "pickup_datetime", start, end, partition=month, unit="month"
         )
+        current = inc.within(staged, "pickup_datetime", start, end, month, "month")
         report = inc.replace_interval(
-            interval_report(staged, start, end), f"{base}/report", "pickup_date", start, end,
+            interval_report(current, start, end), f"{base}/report", "pickup_date", start, end,
             granularity="date",
         )
     return report

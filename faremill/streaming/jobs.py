@@ -60,7 +60,9 @@ def windowed(
 
 def _trigger(writer: DataStreamWriter, interval: str | None) -> DataStreamWriter:
     # no interval: take everything there is, in bounded batches, and stop
-    return writer.trigger(processingTime=interval) if interval else writer.trigger(availableNow=True)
+    if interval:
+        return writer.trigger(processingTime=interval)
+    return writer.trigger(availableNow=True)
 
 
 def to_files(

@@ -175,6 +175,19 @@ def test_slice(spark, folder):
     assert rows(back.select("id")) == [(2,), (3,)]
 
 
+def test_a_window_opens_its_directories_only(spark, folder):
+    path = folder + "/t"
+    inc.create(
+        stamped(spark, ("2024-01-01T10:00:00", 1), ("2024-01-02T10:00:00", 2), ("2024-01-03T10:00:00", 3)),
+        path, "d",
+    )
+    got = inc.within(
+        inc.read_target(spark, path), "t", dt.datetime(2024, 1, 2), dt.datetime(2024, 1, 3), "d"
+    )
+    assert rows(got.select("id")) == [(2,)]
+    assert "PartitionFilters: [isnotnull(d" in plan(got)
+
+
 def test_newest_partition_reads_one_directory(spark, folder):
     path = folder + "/t"
     inc.create(days(spark, (1, 1, "a"), (2, 2, "b")), path, "d")
