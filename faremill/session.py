@@ -17,6 +17,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.localShuffleReader.enabled": "true",
     "spark.sql.autoBroadcastJoinThreshold": str(10 * 1024 * 1024),
+    # call-site capture costs two extra JVM calls for every column expression
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
@@ -53,12 +55,11 @@ def workspace(spark: SparkSession, label: str) -> str:
     Only a local session without that setting gets a folder of its own, since all of
     its tasks run on this machine; a cluster session without it is an error.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    base = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not base:
-        base = spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-        base = tempfile.mkdtemp(prefix="faremill-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="faremill-"))
+        base = context.getCheckpointDir()
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"

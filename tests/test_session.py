@@ -5,35 +5,38 @@ import pytest
 from faremill import session
 
 
-class Conf:
-    def __init__(self, values):
-        self.values = values
-
-    def get(self, key, default=None):
-        return self.values.get(key, default)
-
-    def set(self, key, value):
-        self.values[key] = value
-
-
 class Fake:
-    """A session of a cluster, as far as the scratch area is concerned."""
+    """A session as far as the scratch area is concerned."""
 
-    def __init__(self, master, **values):
-        self.conf = Conf(values)
+    def __init__(self, master, setting=None, context_dir=None):
+        self.conf = self
         self.sparkContext = self
         self.master = master
+        self.setting = setting
+        self.context_dir = context_dir
 
-    def getConf(self):
-        return Conf({})
+    def get(self, key, default=None):
+        assert key == "spark.checkpoint.dir"
+        return self.setting or default
+
+    def getCheckpointDir(self):
+        return self.context_dir
+
+    def setCheckpointDir(self, path):
+        self.context_dir = path
 
 
 def test_workspace_follows_the_session():
-    shared = Fake("spark://host:7077", **{"spark.checkpoint.dir": "hdfs://shared/area/"})
+    shared = Fake("spark://host:7077", "hdfs://shared/area/")
     a, b = session.workspace(shared, "x"), session.workspace(shared, "x")
     assert a.startswith("hdfs://shared/area/x-") and a != b
 
 
+def test_workspace_follows_the_context():
+    shared = Fake("yarn", None, "s3a://bucket/marks/uuid")
+    assert session.workspace(shared, "x").startswith("s3a://bucket/marks/uuid/x-")
+
+
 def test_no_machine_local_folder_on_a_cluster():
     with pytest.raises(RuntimeError):
         session.workspace(Fake("yarn"), "x")
