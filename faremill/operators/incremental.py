@@ -298,18 +298,28 @@ def incremental_slice(
 ) -> DataFrame:
     """Rows newer than the newest target row; everything without a target or on full refresh.
 
-    The bound is a scalar subquery, so nothing is fetched to the driver and Spark pushes its
-    value into the scan. It is strict: rows equal to the newest, and late ones, are left out
-    unless ``lookback`` moves the bound back; an existing but empty target lets nothing pass.
+    The newest value is fetched first, one row, and becomes a constant: so the filter reaches
+    the scan, also through the cast of a zone-less column. It is strict: rows equal to the
+    newest, and late ones, are left out unless ``lookback`` moves the bound back; an existing
+    but empty target lets nothing pass.
     """
     if target is None or full_refresh:
         return df
-    newest = target.agg(F.max(col)).scalar()
+    newest = _newest(target, col)
     if lookback is not None:
         newest = newest - F.make_dt_interval(secs=F.lit(lookback.total_seconds()))
     return df.filter(F.col(col) > newest)
 
 
+def _newest(target: DataFrame, col: str) -> Column:
+    """The highest value as a constant; times travel as integers, not as local clock times."""
+    dtype = target.schema[col].dataType
+    top = F.max(col)
+    if isinstance(dtype, T.TimestampType):
+        return F.timestamp_micros(F.lit(target.agg(F.unix_micros(top)).head()[0]).cast("long"))
+    return F.lit(target.agg(top.cast("string")).head()[0]).cast(dtype)
+
+
 def newest_partition(spark: SparkSession, path: str, partition: str) -> DataFrame:
     """The latest directory only: enough to find the newest row of a date-partitioned target."""
     prefix = f"{partition}="

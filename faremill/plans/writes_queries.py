@@ -151,7 +151,7 @@ def delete_insert(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    "K13 A16 J8",
+    "K13 A16",
     """SELECT o_orderkey, o_orderdate, o_totalprice FROM orders
        WHERE o_orderdate > (SELECT max(o_orderdate) FROM orders WHERE o_orderstatus = 'P'
                             AND o_orderdate < '2000-01-01')""",

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from faremill.operators import incremental as inc
+from faremill.sources.tables import load
 from tests.conftest import plan, rows, ts
 
 DAY = "d date, id int, v string"
@@ -175,6 +176,24 @@ def test_slice(spark, folder):
     assert rows(back.select("id")) == [(2,), (3,)]
 
 
+def test_slice_reaches_the_scan(spark, sf_dir):
+    orders = load(spark, sf_dir, "orders")
+    target = orders.filter("o_orderdate < '2000-01-01'")
+    got = inc.incremental_slice(orders, target, "o_orderdate")
+    assert "GreaterThan(o_orderdate,1999-12-" in plan(got)
+    assert got.count() == orders.filter("o_orderdate >= '2000-01-01'").count()
+
+
+@pytest.mark.parametrize("kind", ["date", "timestamp_ntz", "int", "decimal(18,2)"])
+def test_slice_by_other_types(spark, kind):
+    values = {"int": ["1", "2", "3"], "decimal(18,2)": ["1.01", "1.02", "1.03"]}.get(
+        kind, ["2024-01-01", "2024-01-02", "2024-01-03"]
+    )
+    df = spark.createDataFrame([(v,) for v in values], "c string").select(F.col("c").cast(kind))
+    assert inc.incremental_slice(df, df.limit(2), "c").count() == 1
+    assert inc.incremental_slice(df, df.limit(0), "c").count() == 0
+
+
 def test_a_window_opens_its_directories_only(spark, folder):
     path = folder + "/t"
     inc.create(

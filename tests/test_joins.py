@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import pytest
 from pyspark.sql import functions as F
 
 from faremill.functions.codes import PAYMENT_DESCRIPTIONS
@@ -85,3 +86,45 @@ def test_orphans(spark):
     child = spark.createDataFrame([(1,), (5,), (5,), (None,)], "fk int")
     parent = spark.createDataFrame([(1,), (2,)], "pk int")
     assert rows(j.orphans(child, parent, "fk", "pk")) == [(5, 2)]
+
+
+@pytest.fixture
+def shuffled_joins(spark):
+    """No broadcasts, and partition sizes at which test data counts as skewed."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "200k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "50k",
+    }
+    old = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in old.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_a_hot_player_is_split(spark, shuffled_joins):
+    """A third of the games on one player: AQE splits that player's partition."""
+    hot = F.when(F.col("id") % 3 == 0, F.lit(1)).otherwise(F.col("id") % 5000)
+    games = spark.range(0, 300_000, 1, 12).select(
+        "id", hot.alias("w"), (F.col("id") * 7 % 6000).alias("b"),
+        F.md5(F.col("id").cast("string")).alias("payload"),
+    )
+    players = spark.range(7000).withColumnRenamed("id", "aid")
+    got = j.either_side_join(players, games, "aid", ["w", "b"])
+    assert "skew=true" in final_plan(got)
+    both = games.filter("w = b").count()
+    assert got.count() == 2 * 300_000 - both + 1000
+
+
+def test_orphan_counts_do_not_shuffle_a_hot_key_row_by_row(spark, shuffled_joins):
+    child = spark.range(0, 100_000, 1, 8).select(
+        F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id") % 100).alias("fk")
+    )
+    parent = spark.range(100).withColumnRenamed("id", "pk")
+    got = j.orphans(child, parent, "fk", "pk")
+    assert rows(got) == [(-1, 33334)]
+    assert "partial_count" in final_plan(got)
