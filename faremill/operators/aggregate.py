@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from faremill.functions.numbers import average, total
 from faremill.functions.times import month_date, to_day
@@ -13,6 +14,18 @@ def row_count(df: DataFrame, name: str = "row_count") -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias(name))
 
 
+def max_value(df: DataFrame, col: str) -> Column:
+    """The highest value as a constant, NULL for an empty frame.
+
+    One row is fetched, so that comparisons with it reach the scan of another table. Times
+    travel as integers, not as local clock times.
+    """
+    dtype, top = df.schema[col].dataType, F.max(col)
+    if isinstance(dtype, T.TimestampType):
+        return F.timestamp_micros(F.lit(df.agg(F.unix_micros(top)).head()[0]).cast("long"))
+    return F.lit(df.agg(top.cast("string")).head()[0]).cast(dtype)
+
+
 def count_by(df: DataFrame, *keys: str, name: str = "row_count") -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
 

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from faremill.operators.aggregate import duplicate_keys
+from faremill.operators.aggregate import duplicate_keys, max_value
 from faremill.operators.shape import in_interval
 from faremill.operators.writers import by_directory
 from faremill.session import workspace
@@ -305,21 +305,12 @@ def incremental_slice(
     """
     if target is None or full_refresh:
         return df
-    newest = _newest(target, col)
+    newest = max_value(target, col)
     if lookback is not None:
         newest = newest - F.make_dt_interval(secs=F.lit(lookback.total_seconds()))
     return df.filter(F.col(col) > newest)
 
 
-def _newest(target: DataFrame, col: str) -> Column:
-    """The highest value as a constant; times travel as integers, not as local clock times."""
-    dtype = target.schema[col].dataType
-    top = F.max(col)
-    if isinstance(dtype, T.TimestampType):
-        return F.timestamp_micros(F.lit(target.agg(F.unix_micros(top)).head()[0]).cast("long"))
-    return F.lit(target.agg(top.cast("string")).head()[0]).cast(dtype)
-
-
 def newest_partition(spark: SparkSession, path: str, partition: str) -> DataFrame:
     """The latest directory only: enough to find the newest row of a date-partitioned target."""
     prefix = f"{partition}="

@@ -10,7 +10,8 @@ from faremill.functions.events import parse_event
 from faremill.functions.times import plus_seconds, to_epoch_ms
 from faremill.registry import query
 from faremill.session import workspace
-from faremill.sources.tables import instants, load, plain, table_path
+from faremill.sources.files import instants
+from faremill.sources.tables import load, plain, table_path
 from faremill.sources.topics import RIDE_EVENT, file_stream
 from faremill.streaming import jobs
 

@@ -52,14 +52,21 @@ def external_csv(
     return df
 
 
+def instants(df: DataFrame) -> DataFrame:
+    """Zone-less timestamps become UTC instants; filters still reach the scan."""
+    zoneless = [f.name for f in df.schema.fields if isinstance(f.dataType, T.TimestampNTZType)]
+    return df.withColumns({c: F.col(c).cast("timestamp") for c in zoneless}) if zoneless else df
+
+
 def read_parquet(
     spark: SparkSession,
     path: str | list[str],
     columns: list[str] | None = None,
     options: dict[str, str] | None = None,
 ) -> DataFrame:
+    """Files, folders or globs; times stored without a zone are read as UTC."""
     paths = [path] if isinstance(path, str) else path
-    df = spark.read.options(**(options or {})).parquet(*paths)
+    df = instants(spark.read.options(**(options or {})).parquet(*paths))
     return df.select(*columns) if columns else df
 
 

@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from faremill.operators.aggregate import max_value
+
 
 def read_pages(spark: SparkSession, path: str, one_per_file: bool = False) -> DataFrame:
     """Landed page bodies as text in column ``body``."""
@@ -96,7 +98,7 @@ def cursor_slice(
     """Records from the stored cursor on (inclusive); from ``initial`` on in the first run."""
     begin: Column = F.lit(initial.isoformat()).cast("timestamp")
     if state is not None:
-        begin = F.coalesce(state.agg(F.max("cursor")).scalar(), begin)
+        begin = F.coalesce(max_value(state, "cursor"), begin)
     return df.filter(F.col(col) >= begin)
 
 

@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from faremill.sources.files import read_parquet
+
 # fixed values: source time columns of each service
 PICKUP_COLUMN = {"yellow": "tpep_pickup_datetime", "green": "lpep_pickup_datetime"}
 DROPOFF_COLUMN = {"yellow": "tpep_dropoff_datetime", "green": "lpep_dropoff_datetime"}
@@ -52,8 +54,7 @@ def read_months(
             for m in months_covering(start, end)
         ]
         frames.append(
-            spark.read.option("mergeSchema", True)
-            .parquet(*paths)
+            read_parquet(spark, paths, options={"mergeSchema": "true"})
             .withColumnsRenamed(
                 {
                     PICKUP_COLUMN[service]: "pickup_datetime",

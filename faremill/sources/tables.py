@@ -6,19 +6,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from faremill.sources.files import read_parquet
+
 
 def table_path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
 
-def instants(df: DataFrame) -> DataFrame:
-    """Zone-less timestamps become UTC instants; filters still reach the scan."""
-    zoneless = [f.name for f in df.schema.fields if isinstance(f.dataType, T.TimestampNTZType)]
-    return df.withColumns({c: F.col(c).cast("timestamp") for c in zoneless}) if zoneless else df
-
-
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return instants(spark.read.parquet(table_path(sf_dir, name)))
+    return read_parquet(spark, table_path(sf_dir, name))
 
 
 def plain(df: DataFrame) -> DataFrame:
