@@ -249,13 +249,15 @@ def green_rows(df: DataFrame, order: str | None = None) -> DataFrame:
     columns = {**STAGED, "congestion_surcharge": MONEY}
     if order is not None:
         columns[order] = "string"
-    staged = _stage(df, GREEN_TIMES, None, columns).withColumn(
-        "unique_row_id", surrogate_key(*ROW_KEY)
-    )
     ties = [c for c in columns if c not in ROW_KEY]
-    kept = dedup(staged, ["unique_row_id"], order or ties[0], "first", ties)
+    # by the id's parts, not by its text: cheaper to sort, and only kept rows are hashed
+    kept = dedup(
+        _stage(df, GREEN_TIMES, None, columns), ROW_KEY, order or ties[0], "first", ties
+    )
     # a missing code is a gap of the records, not an error: it stays NULL
-    return kept.withColumn("payment_type_description", payment_label("payment_type"))
+    return kept.withColumn("unique_row_id", surrogate_key(*ROW_KEY)).withColumn(
+        "payment_type_description", payment_label("payment_type")
+    )
 
 
 def green_fact(rows: DataFrame, zones: DataFrame) -> DataFrame:
