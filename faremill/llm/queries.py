@@ -5,17 +5,41 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from faremill.llm.common import table
 from faremill.llm.exact_dedup import find_copies
+from faremill.llm.kd_search import top_k
 from faremill.llm.packing import pack_documents
 from faremill.llm.token_counts import count_tokens
 from faremill.llm.token_files import write_tokens
+from faremill.llm.url_rules import RULES, judge_urls, rule_table
+from faremill.llm.warc import read_warc, write_warc
 from faremill.session import workspace
 
 Runner = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_kd_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(table(spark, sf_dir, "embeddings"))
+
+
+def op4_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_urls(table(spark, sf_dir, "pages"), rule_table(spark, RULES))
+
+
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    archives = workspace(spark, "warc")
+    write_warc(table(spark, sf_dir, "pages"), archives)
+    return read_warc(spark, archives).select(
+        F.col("key").alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        "refers_to",
+    )
+
+
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"))
 
@@ -34,6 +58,9 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Runner] = {
+    "op1_kd_top_k": op1_kd_top_k,
+    "op4_url_rules": op4_url_rules,
+    "op5_warc": op5_warc,
     "op6_best_fit_packing": op6_best_fit_packing,
     "op7_exact_dedup": op7_exact_dedup,
     "op8_token_files": op8_token_files,
@@ -41,6 +68,70 @@ QUERIES: dict[str, Runner] = {
 }
 
 # DuckDB statements, where SQL can express the operator
+_OP1 = """
+WITH v AS (
+  SELECT DISTINCT vec_id, [floor(256 * x::DOUBLE) FOR x IN embedding] AS e
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e)::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id AND len(c.e) = len(q.e)
+),
+r AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank
+  FROM s
+)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
+"""
+
+_OP4 = """
+WITH rest AS (
+  SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3)
+                       ELSE '' END AS u
+  FROM pages
+),
+p AS (
+  SELECT row_number() OVER () AS n, page_id,
+         translate(regexp_extract(u, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                   'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(u, '^[^/?#]*([^?#]*)', 1) AS path
+  FROM rest
+),
+rules(h, p, verdict) AS (
+  VALUES ('com', '/', 'allow'), ('example.com', '/en/', 'block'),
+         ('www.example.com', '/en/', 'allow'), ('net', '/es/', 'block'), ('net', '/fr/', 'block')
+),
+m AS (
+  SELECT n, h || rules.p AS rule, verdict,
+         row_number() OVER (PARTITION BY n ORDER BY length(h || rules.p) DESC, length(h) DESC) AS k
+  FROM p JOIN rules ON (host = h OR ends_with(host, '.' || h)) AND starts_with(p.path, rules.p)
+)
+SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict
+FROM p LEFT JOIN m ON m.n = p.n AND k = 1
+"""
+
+_OP5 = """
+WITH p AS (
+  SELECT page_id, encode(coalesce(html, '')) AS b, sha1(coalesce(html, '')) AS s FROM pages
+),
+d AS (
+  SELECT page_id, octet_length(b) AS payload_bytes,
+         max(page_id) OVER (PARTITION BY s) AS main,
+         translate(list_aggregate(
+           [to_base(('0x' || substr(s, 1 + 5 * i, 5))::BIGINT, 32, 4) FOR i IN range(8)],
+           'string_agg', ''),
+           '0123456789ABCDEFGHIJKLMNOPQRSTUV', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567')
+           AS payload_digest
+  FROM p
+)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN page_id = main THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id = main THEN NULL ELSE main END AS refers_to
+FROM d
+"""
+
 _OP7 = r"""
 WITH d AS (
   SELECT doc_id, coalesce(text, '') AS t,
@@ -56,5 +147,8 @@ FROM d
 """
 
 SQL: dict[str, str] = {
+    "op1_kd_top_k": _OP1,
+    "op4_url_rules": _OP4,
+    "op5_warc": _OP5,
     "op7_exact_dedup": _OP7,
 }
