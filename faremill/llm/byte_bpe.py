@@ -43,7 +43,7 @@ SPACED = re.compile(f" [{LETTERS}]+")
 JOINED = 500
 
 # pre-tokens that a worker remembers; then it starts anew
-MEMO = 600_000
+MEMO = 1_500_000
 
 
 class ByteBpe:
