@@ -8,11 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from faremill.llm.common import table
+from faremill.llm.dart_minhash import near_duplicates
 from faremill.llm.exact_dedup import find_copies
 from faremill.llm.kd_search import top_k
 from faremill.llm.packing import pack_documents
 from faremill.llm.token_counts import count_tokens
 from faremill.llm.token_files import write_tokens
+from faremill.llm.toxicity import score_documents, train_model
 from faremill.llm.url_rules import RULES, judge_urls, rule_table
 from faremill.llm.warc import read_warc, write_warc
 from faremill.session import workspace
@@ -24,6 +26,10 @@ def op1_kd_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(table(spark, sf_dir, "embeddings"))
 
 
+def op3_dart_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op4_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(table(spark, sf_dir, "pages"), rule_table(spark, RULES))
 
@@ -53,17 +59,25 @@ def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return write_tokens(documents, workspace(spark, "token-files")).positions()
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    model = train_model(documents, table(spark, sf_dir, "labels"))
+    return score_documents(documents, model)
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Runner] = {
     "op1_kd_top_k": op1_kd_top_k,
+    "op3_dart_minhash": op3_dart_minhash,
     "op4_url_rules": op4_url_rules,
     "op5_warc": op5_warc,
     "op6_best_fit_packing": op6_best_fit_packing,
     "op7_exact_dedup": op7_exact_dedup,
     "op8_token_files": op8_token_files,
+    "op9_toxicity": op9_toxicity,
     "op10_token_counts": op10_token_counts,
 }
 
