@@ -5,6 +5,9 @@ the ids of a text are the ids of its pre-tokens one after the other. Words repea
 in front of the library spares most of its work. Texts for which this is not proven go to the
 library whole: those that hold the string of an added token, and those with a character
 outside the ranges below, whose class is the same in every Unicode version in use.
+
+Pre-tokens are found for many texts at once, by array operations on their code points. Equal
+ones of a batch are brought together by a 64-bit hash, then looked up as strings.
 """
 
 from __future__ import annotations
@@ -22,6 +25,8 @@ os.environ.setdefault("RAYON_NUM_THREADS", "1")
 
 from tokenizers import Tokenizer  # noqa: E402
 
+from faremill.llm.word_hash import Spans  # noqa: E402
+
 # Characters by the class that the byte-level pre-tokenizer puts them in.
 LETTERS = "A-Za-zªµºÀ-ÖØ-öø-ʯЀ-ҁҊ-ԯ"
 NUMBERS = "0-9²³¹¼-¾"
@@ -37,13 +42,18 @@ PRE_TOKEN = re.compile(
     f"{CONTRACTIONS}| ?[{LETTERS}]+| ?[{NUMBERS}]+| ?[{OTHERS}]+"
     f"|[{SPACES}]+(?![^{SPACES}])|[{SPACES}]+"
 )
+SPACE, LETTER, NUMBER, OTHER, END = range(5)
+BETWEEN = "\U0010ffff"  # ends a text of a batch; unproven, so never inside one
+KNOWN = 0x20C0  # proven characters are below
+CUT = re.compile("(?<=[A-Za-z]) (?=[A-Za-z])")  # a pre-token begins at the space
+BATCH_CHARS = 1 << 21
 UNPROVEN = re.compile(f"[^{LETTERS}{NUMBERS}{SPACES}{OTHERS}]")
-# such words may be joined to one text, which splits into the same words again
-SPACED = re.compile(f" [{LETTERS}]+")
+# words after a space may be joined to one text, which splits into the same words again
 JOINED = 500
+CALL_WORDS = 10_000
 
 # pre-tokens that a worker remembers; then it starts anew
-MEMO = 1_500_000
+MEMO = 1_000_000
 
 
 class ByteBpe:
@@ -61,6 +71,11 @@ class ByteBpe:
         self.added = re.compile("|".join(map(re.escape, added))) if added else None
         self.most = memo
         self.memo: dict[str, bytes] = {}
+        # bytes of each token: the vocabulary writes a byte as one character
+        size = max(self.library.get_vocab(with_added_tokens=True).values()) + 1
+        self.lengths = np.zeros(size, np.int64)
+        for token, i in self.library.get_vocab(with_added_tokens=True).items():
+            self.lengths[i] = len(token)
 
     def splits(self, text: str) -> bool:
         """Whether the text may be cut into pre-tokens here."""
@@ -70,20 +85,27 @@ class ByteBpe:
         return [e.ids for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
     def encode_words(self, words: list[str]) -> Iterator[tuple[str, bytes]]:
-        """Each pre-token with its ids; words after a space are encoded many to a call."""
-        spaced = [w for w in words if SPACED.fullmatch(w)]
-        alone = [w for w in words if not SPACED.fullmatch(w)]
-        for at in range(0, len(spaced), JOINED):
-            part = spaced[at : at + JOINED]
-            found = self.library.encode("".join(part), add_special_tokens=False)
-            ids = np.array(found.ids, "<u4").tobytes()
-            starts = np.flatnonzero(np.diff(np.array(found.word_ids), prepend=-1))
-            if len(starts) != len(part):  # cannot be, by the pattern above
-                raise RuntimeError("joined words were split in another way")
-            cuts = [*(4 * starts).tolist(), len(ids)]
-            yield from zip(part, (ids[i:j] for i, j in zip(cuts, cuts[1:])), strict=True)
-        for at in range(0, len(alone), 10_000):
-            part = alone[at : at + 10_000]
+        """Each pre-token with its ids; words after a space are encoded many to a call.
+
+        Where one of them ends among the ids of all is told by the tokens' lengths in bytes.
+        """
+        spaced = [w for w in words if w[0] == " " and w[1:].isalpha()]
+        alone = [w for w in words if not (w[0] == " " and w[1:].isalpha())]
+        for at in range(0, len(spaced), CALL_WORDS):
+            part = spaced[at : at + CALL_WORDS]
+            texts = ["".join(part[i : i + JOINED]) for i in range(0, len(part), JOINED)]
+            found = self.library.encode_batch_fast(texts, add_special_tokens=False)
+            ids = np.concatenate([np.array(e.ids, "<u4") for e in found])
+            behind = np.cumsum(self.lengths[ids])
+            sizes = np.cumsum([len(w.encode()) for w in part])
+            cuts = np.searchsorted(behind, sizes) + 1
+            if (behind[cuts - 1] != sizes).any():  # cannot be: merges never cross words
+                raise RuntimeError("a token crosses words")
+            cuts = [0, *(4 * cuts).tolist()]
+            data = ids.tobytes()
+            yield from zip(part, (data[i:j] for i, j in zip(cuts, cuts[1:])), strict=True)
+        for at in range(0, len(alone), CALL_WORDS):
+            part = alone[at : at + CALL_WORDS]
             for word, ids in zip(part, self.encode_whole(part), strict=True):
                 yield word, struct.pack(f"<{len(ids)}I", *ids)
 
@@ -93,17 +115,119 @@ class ByteBpe:
             self.memo = {}
         self.memo.update(self.encode_words([w for w in words if w not in self.memo]))
 
-    def encode(self, text: str) -> bytes:
-        """Ids as little-endian unsigned 32-bit integers."""
-        if not self.splits(text):
-            ids = self.encode_whole([text])[0]
-            return struct.pack(f"<{len(ids)}I", *ids)
-        words = PRE_TOKEN.findall(text)
+    def encode_batch(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text as little-endian unsigned 32-bit integers."""
+        out = [b""] * len(texts)
+        split = [i for i, text in enumerate(texts) if self.splits(text)]
+        for i in set(range(len(texts))) - set(split):
+            ids = self.encode_whole([texts[i]])[0]
+            out[i] = struct.pack(f"<{len(ids)}I", *ids)
+        parts: list[list[bytes]] = [[] for _ in texts]
+        for owners, pieces in batched([(i, texts[i]) for i in split]):
+            found = PreTokens(pieces)
+            for i, ids in zip(owners, self._ids(found), strict=True):
+                parts[i].append(ids)
+        for i in split:
+            out[i] = b"".join(parts[i])
+        return out
+
+    def _ids(self, found: PreTokens) -> list[bytes]:
         try:
-            return b"".join(map(self.memo.__getitem__, words))
+            known = [self.memo[w] for w in found.words]
         except KeyError:
-            self.learn(set(words))
-            return b"".join(map(self.memo.__getitem__, words))
+            self.learn(set(found.words))
+            known = [self.memo[w] for w in found.words]
+        sizes = np.array([len(k) for k in known], np.int64) // 4
+        flat = np.frombuffer(b"".join(known), "<u4")
+        at = found.which
+        lengths = sizes[at]
+        ends = np.cumsum(lengths)
+        total = int(ends[-1]) if len(ends) else 0
+        first = (np.cumsum(sizes) - sizes)[at] - (ends - lengths)
+        ids = flat[np.repeat(first, lengths) + np.arange(total)].tobytes()
+        cuts = np.concatenate([[0], ends])[found.bounds] * 4
+        return [ids[a:b] for a, b in zip(cuts.tolist(), cuts[1:].tolist())]
+
+
+def batched(texts: list[tuple[int, str]]) -> Iterator[tuple[list[int], list[str]]]:
+    """Texts in batches of about ``BATCH_CHARS`` characters; a long one is cut where a
+    pre-token begins, and its number then occurs more than once."""
+    owners: list[int] = []
+    pieces: list[str] = []
+    held = 0
+    for i, text in texts:
+        start = 0
+        while True:
+            cut = CUT.search(text, start + BATCH_CHARS) if len(text) > BATCH_CHARS else None
+            piece = text[start : cut.start()] if cut else text[start:]
+            owners.append(i)
+            pieces.append(piece)
+            held += len(piece)
+            if held >= BATCH_CHARS:
+                yield owners, pieces
+                owners, pieces, held = [], [], 0
+            if not cut:
+                break
+            start = cut.start()
+    if pieces:
+        yield owners, pieces
+
+
+@functools.cache
+def _classes() -> np.ndarray:
+    """Class by code point; beyond the proven ones that of ``BETWEEN``."""
+    table = np.full(KNOWN + 1, END, np.int8)
+    kinds = ((SPACE, SPACES), (LETTER, LETTERS), (NUMBER, NUMBERS), (OTHER, OTHERS))
+    for kind, ranges in kinds:
+        fits = re.compile(f"[{ranges}]").match
+        table[[c for c in range(KNOWN) if fits(chr(c))]] = kind
+    return table
+
+
+class PreTokens:
+    """The pre-tokens of several texts.
+
+    ``words`` are the distinct ones, ``which`` tells for each pre-token in order which of them
+    it is, and text ``i`` has those from ``bounds[i]`` to ``bounds[i + 1]``.
+    """
+
+    def __init__(self, texts: list[str]) -> None:
+        joined = BETWEEN.join(texts) + 3 * BETWEEN  # a contraction looks two ahead
+        points = np.frombuffer(joined.encode("utf-32-le"), "<u4")
+        held = np.minimum(points, KNOWN)
+        kind = _classes()[held]
+        starts = np.flatnonzero(self._starts(points, kind))
+        ends = np.append(starts[1:], len(points))
+        real = kind[starts] != END
+        self.bounds = np.concatenate([[0], np.cumsum(real)[~real]])[: len(texts) + 1]
+        starts, ends = starts[real], ends[real]
+        hashes = Spans(points).hashes(starts, ends)
+        _, first, self.which = np.unique(hashes, return_index=True, return_inverse=True)
+        spans = zip(starts[first].tolist(), ends[first].tolist(), strict=True)
+        self.words = [joined[a:b] for a, b in spans]
+
+    @staticmethod
+    def _starts(points: np.ndarray, kind: np.ndarray) -> np.ndarray:
+        """Where a pre-token, or the end of a text, stands."""
+        before = np.concatenate([[END], kind[:-1]])
+        run = (kind != SPACE) & ((kind != before) | (kind == END))
+        after_space = np.concatenate([[False], points[:-1] == 32])
+        # contractions: an apostrophe that begins a pre-token, and what follows
+        quotes = np.flatnonzero((points == 39) & run & ~after_space)
+        one, two = points[quotes + 1], points[quotes + 2]
+        short = np.isin(one, [ord(c) for c in "stmd"])
+        long = np.zeros(len(quotes), bool)
+        for pair in ("re", "ve", "ll"):
+            long |= (one == ord(pair[0])) & (two == ord(pair[1]))
+        for at, size in ((quotes[short], 2), (quotes[long], 3)):
+            run[at + 1] = False
+            run[at + size] |= kind[at + size] == LETTER
+        blank = kind == SPACE
+        # a space before a word belongs to it; so does no space before a text's end
+        attached = after_space & run & (kind != END)
+        last = np.zeros(len(points), bool)
+        last[:-1] = blank[:-1] & ~blank[1:] & (kind[1:] != END)
+        return (run & ~attached) | (blank & (before != SPACE)) | last
 
 
 @functools.cache

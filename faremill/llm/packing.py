@@ -328,8 +328,8 @@ def cut_documents(
         for batch in batches:
             rows = []
             owners = []
-            for i, text_ in enumerate(batch.column(1)):
-                ids = bpe.encode(text_.as_py()) + end
+            for i, encoded in enumerate(bpe.encode_batch(batch.column(1).to_pylist())):
+                ids = encoded + end
                 for number, (start, length) in enumerate(cut(len(ids) // 4, size)):
                     own = ids[4 * start : 4 * (start + length)]
                     row = (number, start, length, zlib.crc32(own), part, ranks[length])

@@ -11,6 +11,7 @@ from __future__ import annotations
 import functools
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 import public_tokenizers
 from pyspark.sql import DataFrame
@@ -39,18 +40,25 @@ class TokenCounter:
         counts = map(len, self.bpe.encode_whole(single))
         return frozenset(s for s, n in zip(single, counts, strict=True) if n == 1)
 
-    def count(self, text: str) -> int:
-        if not self.bpe.splits(text):
-            return len(self.bpe.encode_whole([text])[0])
-        words = byte_bpe.PRE_TOKEN.findall(text)
-        direct = self.whole
-        rest = [w for w in words if w not in direct]
-        try:
-            merged = sum(map(self.merged.__getitem__, rest))
-        except KeyError:
+    def counts(self, texts: list[str]) -> np.ndarray:
+        out = np.zeros(len(texts), np.int64)
+        split = [i for i, text in enumerate(texts) if self.bpe.splits(text)]
+        for i in set(range(len(texts))) - set(split):
+            out[i] = len(self.bpe.encode_whole([texts[i]])[0])
+        for owners, pieces in byte_bpe.batched([(i, texts[i]) for i in split]):
+            found = byte_bpe.PreTokens(pieces)
+            each = self._each(found.words)
+            total = np.concatenate([[0], np.cumsum(each[found.which])])[found.bounds]
+            np.add.at(out, owners, np.diff(total))
+        return out
+
+    def _each(self, words: list[str]) -> np.ndarray:
+        """Tokens of each pre-token: one if it is a whole token, else what merging leaves."""
+        rest = [w for w in words if w not in self.whole]
+        if any(w not in self.merged for w in rest):
             self._merge(set(rest))
-            merged = sum(map(self.merged.__getitem__, rest))
-        return len(words) - len(rest) + merged
+        merged = self.merged
+        return np.array([1 if w in self.whole else merged[w] for w in words], np.int64)
 
     def _merge(self, words: set[str]) -> None:
         if len(self.merged) + len(words) > self.most:
@@ -81,9 +89,9 @@ def count_tokens(
 
     @F.pandas_udf("long")
     def tokens(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        count = counter(public_tokenizers.path(tokenizer)).count
+        counts = counter(public_tokenizers.path(tokenizer)).counts
         for batch in texts:
-            yield pd.Series([count(t) for t in batch], dtype="int64")
+            yield pd.Series(counts(batch.to_list()), dtype="int64")
 
     counted = df.select(F.col(key).alias("_key"), whole(text).alias("_text"))
     counted = counted.withColumn("_n", tokens("_text"))

@@ -250,8 +250,9 @@ def _frames(
         file = None
         for batch in batches:
             file = file or FileWriter(TaskContext.get().partitionId())
-            for key, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                for row in file.add(key, bpe.encode(text.as_py()) + end):
+            encoded = bpe.encode_batch(batch.column(1).to_pylist())
+            for key, ids in zip(batch.column(0).to_pylist(), encoded, strict=True):
+                for row in file.add(key, ids + end):
                     yield pa.RecordBatch.from_arrays([pa.array([row], pa.binary())], ["data"])
         if file:
             for row in file.end():

@@ -37,15 +37,18 @@ class _Powers:
 _POWERS = _Powers()
 
 
-_POINTS = np.random.default_rng(0xC0DE).integers(1, 1 << 63, 1 << 14, np.uint64)
-
-
-def span_hashes(points: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Hashes of spans of numbers below 2**14."""
-    _POWERS.reach(len(points) + 1)
-    sums = np.zeros(len(points) + 1, np.uint64)
-    np.cumsum(_POINTS[points] * _POWERS.up[: len(points)], out=sums[1:])
-    return mix((sums[ends] - sums[starts]) * _POWERS.down[starts])
+class Spans:
+    """Hashes of spans of code points."""
+
+    def __init__(self, points: np.ndarray) -> None:
+        _POWERS.reach(len(points) + 1)
+        self._sums = np.zeros(len(points) + 1, np.uint64)
+        spread = (points.astype(np.uint64) + np.uint64(1)) * np.uint64(0xD6E8FEB86659FD93)
+        spread ^= spread >> np.uint64(32)
+        np.cumsum(spread * _POWERS.up[: len(points)], out=self._sums[1:])
+
+    def hashes(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        return mix((self._sums[ends] - self._sums[starts]) * _POWERS.down[starts])
 
 
 def mix(h: np.ndarray) -> np.ndarray:
