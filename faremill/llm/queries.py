@@ -12,6 +12,7 @@ from faremill.llm.dart_minhash import near_duplicates
 from faremill.llm.exact_dedup import find_copies
 from faremill.llm.kd_search import top_k
 from faremill.llm.packing import pack_documents
+from faremill.llm.pieces import encode_nbest
 from faremill.llm.token_counts import count_tokens
 from faremill.llm.token_files import write_tokens
 from faremill.llm.toxicity import score_documents, train_model
@@ -26,6 +27,10 @@ def op1_kd_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(table(spark, sf_dir, "embeddings"))
 
 
+def op2_piece_nbest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode_nbest(table(spark, sf_dir, "documents"), keep_ids=False)
+
+
 def op3_dart_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -71,6 +76,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Runner] = {
     "op1_kd_top_k": op1_kd_top_k,
+    "op2_piece_nbest": op2_piece_nbest,
     "op3_dart_minhash": op3_dart_minhash,
     "op4_url_rules": op4_url_rules,
     "op5_warc": op5_warc,
