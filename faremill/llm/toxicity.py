@@ -308,8 +308,6 @@ def train_model(
 
     def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = [r for b in batches for r in b.to_pylist()]
-        if not held:
-            held = [{"text": "", "y": 0, "lang": None}]
         columns = [[r[c] for r in held] for c in ("text", "y", "lang")]
         model = train(*columns, share if share is not None else 0.0)
         yield pa.RecordBatch.from_pydict({"model": [pickle.dumps(model)]})
@@ -317,7 +315,8 @@ def train_model(
     fitted = stored(
         rows.select("text", "y", "lang").mapInArrow(fit, "model binary"), "toxicity-model"
     )
-    return pickle.loads(fitted.first()["model"])
+    found = fitted.first()
+    return pickle.loads(found["model"]) if found else train([""], [0], [None], 0.0)
 
 
 def score_documents(

@@ -1,0 +1,212 @@
+"""Exact and near dedup against brute force."""
+
+from __future__ import annotations
+
+import hashlib
+import itertools
+import random
+import re
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+
+from faremill.llm import dart_minhash, exact_dedup
+from faremill.llm.common import prepare
+from faremill.llm.components import components
+from tests.llm.helpers import edge_documents, empty_documents, words
+
+
+@pytest.fixture(scope="module", autouse=True)
+def ready(spark):
+    prepare(spark)
+
+
+# --- exact ----------------------------------------------------------------------------
+
+
+@pytest.mark.parametrize("k", [0, 1, 5, 40])
+def test_golomb_round_trip(k):
+    rng = np.random.default_rng(k)
+    for n in (0, 1, 2, 500):
+        values = np.unique(rng.integers(0, 1 << min(62, k + 12), n))
+        assert (exact_dedup.rice_decode(exact_dedup.rice_encode(values, k), len(values), k) == values).all()
+
+
+def test_code_is_near_the_entropy():
+    span, n = 1 << 62, 5000
+    values = np.unique(np.random.default_rng(1).integers(0, span, n))
+    k = exact_dedup.rice_parameter(span, n)
+    bits = 8 * len(exact_dedup.rice_encode(values, k)) / len(values)
+    assert bits < np.log2(span / n) + 2.1
+
+
+def brute(rows):
+    """(key, keep, size, kept, sha) by a dictionary of texts."""
+    groups = defaultdict(list)
+    for key, text in rows:
+        groups[re.sub("[\x20\x09-\x0d]", "", text or "")].append((key, len(text or "")))
+    out = Counter()
+    for text, members in groups.items():
+        best = min(members, key=lambda m: (-m[1], m[0] is None, m[0] or 0))
+        for m in members:
+            sha = hashlib.sha256(text.encode()).hexdigest()
+            out[(m[0], best[0], len(members), m == best, sha)] += 1
+    return out
+
+
+@pytest.mark.parametrize("owner_rows", [4, 1_000_000])
+def test_copies_equal_brute_force(spark, owner_rows, monkeypatch):
+    monkeypatch.setattr(exact_dedup, "OWNER_ROWS", owner_rows)
+    df = edge_documents(spark)
+    got = Counter(tuple(r) for r in exact_dedup.find_copies(df.repartition(3)).collect())
+    assert got == brute([(r.doc_id, r.text) for r in df.collect()])
+    assert exact_dedup.find_copies(empty_documents(spark)).count() == 0
+
+
+def test_a_hot_text_and_many_partitions(spark):
+    rows = [(i, "hot text" if i % 3 == 0 else f"t {i % 50}") for i in range(3000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(16)
+    got = Counter(tuple(r) for r in exact_dedup.find_copies(df).collect())
+    assert got == brute(rows)
+
+
+def test_dropping_keeps_one_row_of_each_text_with_all_columns(spark):
+    df = edge_documents(spark)
+    left = exact_dedup.drop_copies(df)
+    assert left.columns == df.columns
+    texts = [re.sub("[\x20\x09-\x0d]", "", r.text or "") for r in left.collect()]
+    assert sorted(texts) == sorted({re.sub("[\x20\x09-\x0d]", "", r.text or "") for r in df.collect()})
+    assert exact_dedup.drop_copies(empty_documents(spark)).count() == 0
+
+
+# --- near -----------------------------------------------------------------------------
+
+
+def jaccard(a: str, b: str) -> float:
+    def grams(t):
+        w = re.findall("[a-z0-9]+", t.lower())
+        n = max(1, len(w) - 4)
+        return Counter(tuple(w[i : i + 5]) for i in range(n)) if w else Counter()
+
+    x, y = grams(a), grams(b)
+    return sum((x & y).values()) / max(1, sum((x | y).values()))
+
+
+def test_signatures_agree_with_the_weighted_similarity():
+    rng = random.Random(1)
+    for n in (6, 40, 300, 900):
+        one = words(rng, n)
+        one += one[: n // 3] * 2
+        two = list(one)
+        for _ in range(n // 25 + 1):
+            two[rng.randrange(len(two))] = "new"
+        a, b = (dart_minhash.shingles(" ".join(t)) for t in (one, two))
+        exact = dart_minhash.similarity(a, b)
+        assert exact == pytest.approx(jaccard(" ".join(one), " ".join(two)))
+        same = dart_minhash.signature(*a, k=3000) == dart_minhash.signature(*b, k=3000)
+        assert abs(same.mean() - exact) < 0.045
+
+
+def test_fractional_weights():
+    rng = np.random.default_rng(0)
+    elements = rng.integers(1, 1 << 63, 400, np.uint64)
+    one = rng.random(400) * 3 + 0.01
+    two = one * rng.choice([1, 0.5], 400)
+    same = dart_minhash.signature(elements, one, 4000) == dart_minhash.signature(elements, two, 4000)
+    assert abs(same.mean() - np.minimum(one, two).sum() / np.maximum(one, two).sum()) < 0.035
+
+
+def test_components(spark):
+    rng = random.Random(2)
+    links = [(i, i + 1) for i in range(40)]  # a chain
+    links += [(100, 100 + i) for i in range(1, 30)]  # a star
+    links += [(rng.randrange(200, 260), rng.randrange(200, 260)) for _ in range(40)]
+    got = {r.id: r.label for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
+    assert got == classes(links, {x for pair in links for x in pair})
+    assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def classes(links, ids):
+    label = {i: i for i in ids}
+
+    def root(i):
+        while label[i] != i:
+            i = label[i]
+        return i
+
+    for a, b in links:
+        x, y = sorted((root(a), root(b)))
+        label[y] = x
+    return {i: root(i) for i in ids}
+
+
+def near_copies(seed: int, families: int, size: int) -> list[tuple[int, str]]:
+    """Families of texts around the limit of similarity, with a passage that all share."""
+    rng = random.Random(seed)
+    passage = words(rng, 60)
+    rows, n = [], 0
+    for f in range(families):
+        base = words(rng, rng.choice([8, 60, 150]))
+        if f % 2:
+            base = passage + base
+        for _ in range(rng.randrange(1, size)):
+            text = list(base)
+            for _ in range(rng.randrange(0, max(2, len(text) // 25))):
+                text[rng.randrange(len(text))] = f"new{rng.randrange(99)}"
+            rows.append((n, " ".join(text).title() if n % 7 == 0 else " ".join(text)))
+            n += 1
+    return rows
+
+
+@pytest.mark.parametrize("seed,block", [(1, 1024), (2, 5)])
+def test_classes_equal_brute_force(spark, seed, block):
+    rows = near_copies(seed, 24, 14)
+    pairs = [
+        (a, b)
+        for (a, x), (b, y) in itertools.combinations(rows, 2)
+        if jaccard(x, y) >= 0.8 or re.findall(r"\w+", x.lower()) == re.findall(r"\w+", y.lower())
+    ]
+    want = classes(pairs, [i for i, _ in rows])
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = dart_minhash.near_duplicates(df, block=block).collect()
+    assert {r.doc_id: r.class_id for r in got} == want
+    sizes = Counter(want.values())
+    assert all(r.class_size == sizes[r.class_id] for r in got)
+    assert all(r.kept == (r.doc_id == r.class_id) for r in got)
+
+
+def test_a_hot_family(spark):
+    """Hundreds of edits of one text: most are no neighbours of each other."""
+    rng = random.Random(9)
+    base = words(rng, 120)
+    rows = []
+    for i in range(250):
+        text = list(base)
+        for at in rng.sample(range(120), rng.randrange(0, 5)):
+            text[at] = f"e{rng.randrange(10**6)}"
+        rows.append((i, " ".join(text)))
+    pairs = [
+        (a, b) for (a, x), (b, y) in itertools.combinations(rows, 2) if jaccard(x, y) >= 0.8
+    ]
+    want = classes(pairs, range(250))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = dart_minhash.near_duplicates(df, block=64).collect()
+    assert {r.doc_id: r.class_id for r in got} == want
+
+
+def test_edge_documents_have_classes(spark):
+    df = edge_documents(spark)
+    got = [tuple(r) for r in dart_minhash.near_duplicates(df).collect()]
+    by = defaultdict(list)
+    for key, label, size, kept in got:
+        by[(label, size)].append((key, kept))
+    assert len(got) == df.count()
+    assert sorted(by[(1, 4)], key=str) == sorted([(1, True), (2, False), (9, False), (None, False)], key=str)
+    assert sorted(by[(3, 3)], key=str) == sorted([(3, True), (4, False), (None, False)], key=str)
+    assert sorted(k for _, k in by[(8, 2)]) == [False, True]
+    assert by[(10, 1)] == [(10, True)] and by[(11, 1)] == [(11, True)] and by[(5, 1)] == [(5, True)]
+    left = dart_minhash.drop_near_duplicates(df)
+    assert left.columns == df.columns and left.count() == len(by)
+    assert dart_minhash.near_duplicates(empty_documents(spark)).count() == 0
+    assert dart_minhash.drop_near_duplicates(empty_documents(spark)).count() == 0
