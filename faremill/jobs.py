@@ -111,7 +111,8 @@ def build_marts(
         rows = q.enforce(t.fact_trips(newer, lookup), t.fact_contract()).withColumn(
             month, F.trunc("pickup_datetime", "month")
         )
-        return inc.merge(rows, fact_path, ["trip_id"], month)
+        # the id is hashed from the pickup time, so it decides the month
+        return inc.merge(rows, fact_path, ["trip_id"], month, moves=False)
 
     built, _ = q.run_layer(
         [
@@ -157,16 +158,18 @@ def refresh_interval(
             month, F.trunc("pickup_datetime", "month")
         )
         return inc.replace_interval(
-            rows, f"{output}/staging", "pickup_datetime", *window, partition=month, unit="month"
+            rows, f"{output}/staging", "pickup_datetime", *window, partition=month
         )
 
     def report() -> DataFrame:
         staged = inc.within(
             inc.read_target(spark, f"{output}/staging"), "pickup_datetime", *window, month, "month"
         )
+        fresh = t.interval_report(staged, *window).withColumn(
+            month, F.trunc("pickup_date", "month")
+        )
         return inc.replace_interval(
-            t.interval_report(staged, *window), f"{output}/report", "pickup_date", *window,
-            granularity="date",
+            fresh, f"{output}/report", "pickup_date", *window, granularity="date", partition=month
         )
 
     built, _ = q.run_layer(

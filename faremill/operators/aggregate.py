@@ -68,7 +68,7 @@ def monthly_revenue(
         *sums,
         *counts,
         F.avg("passenger_count").alias("avg_monthly_passenger_count"),
-        average("trip_distance", digits=3).alias("avg_monthly_trip_distance"),
+        average("trip_distance").alias("avg_monthly_trip_distance"),
     )
 
 
@@ -83,7 +83,7 @@ def daily_report(df: DataFrame, service: str, time: str) -> DataFrame:
         F.count(F.lit(1)).alias("trip_count"),
         total("fare_amount").alias("total_fare_amount"),
         total("total_amount").alias("total_amount"),
-        average("trip_distance", digits=3).alias("avg_trip_distance"),
+        average("trip_distance").alias("avg_trip_distance"),
     )
 
 

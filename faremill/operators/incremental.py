@@ -2,9 +2,11 @@
 
 Two kinds of target:
 
-* a *partitioned* target (``partition`` names its date column): only the directories the new
-  rows belong to are read and replaced, by dynamic partition overwrite, so the cost follows
-  the increment and not the table;
+* a *partitioned* target (``partition`` names its directory column): only the directories the
+  new rows belong to, and those that hold rows to be removed, are read and replaced, by dynamic
+  partition overwrite, so the cost follows the increment and not the table. The replaced
+  directories appear one after the other: a failure in between leaves some old and some new,
+  and the same call again completes it;
 * an *unpartitioned* target: each write stores a complete new version in a fresh directory
   below the target, and readers take the newest complete one. Spark cannot overwrite what it
   is reading, and a failed job leaves the previous version in place.
@@ -31,8 +33,6 @@ from faremill.session import workspace
 
 VERSION = re.compile(r"version-(\d{8})")
 SCHEMA_FILE = "_schema.json"
-# beyond this many touched directories a rewrite reads the whole target
-MOST_PARTITIONS = 10_000
 
 
 class DuplicateKeys(Exception):
@@ -65,7 +65,9 @@ def _versions(spark: SparkSession, path: str) -> list[int]:
 
 
 def exists(spark: SparkSession, path: str) -> bool:
-    return bool([c for c in _children(spark, path) if not c.startswith("_")])
+    """Whether there is a complete version, or a directory of a partitioned target. What a
+    failed first write left behind is no target."""
+    return bool(_versions(spark, path)) or any("=" in c for c in _children(spark, path))
 
 
 def read_target(spark: SparkSession, path: str) -> DataFrame:
@@ -114,10 +116,14 @@ def drop_old_versions(spark: SparkSession, path: str, keep: int = 2) -> None:
         fs.delete(old, True)
 
 
-def _replace_partitions(df: DataFrame, path: str, partition: str) -> None:
+def _replace_partitions(
+    df: DataFrame, path: str, partition: str, cluster_by: list[str] | None = None
+) -> None:
+    dealt = by_directory(df, [partition])
+    if cluster_by:
+        dealt = dealt.sortWithinPartitions(partition, *cluster_by)
     (
-        by_directory(df, [partition])
-        .write.mode("overwrite")
+        dealt.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(partition)
         .parquet(path)
@@ -125,20 +131,31 @@ def _replace_partitions(df: DataFrame, path: str, partition: str) -> None:
     _remember_schema(df.sparkSession, path, df.schema)
 
 
-def _touched(source: DataFrame, partition: str) -> Column | None:
-    """Filter for the directories the source writes to; None when there are very many.
+def _values(rows: DataFrame, partition: str) -> list:
+    """The directories of these rows: calendar values, one per directory, no data."""
+    return [r[0] for r in rows.select(partition).distinct().collect()]
 
-    The list holds calendar values, one per directory, not data.
-    """
-    rows = source.select(partition).distinct().limit(MOST_PARTITIONS + 1).collect()
-    return F.col(partition).isin([r[0] for r in rows]) if len(rows) <= MOST_PARTITIONS else None
+
+def _one_of(partition: str, values: list) -> Column:
+    """Filter for some directories, which Spark prunes by."""
+    some = [v for v in values if v is not None]
+    where = F.col(partition).isin(some) if some else F.lit(False)
+    return where | F.col(partition).isNull() if None in values else where
 
 
-def create(df: DataFrame, path: str, partition: str | None = None) -> DataFrame:
-    """First load, or full rebuild, of a target."""
+def create(
+    df: DataFrame,
+    path: str,
+    partition: str | None = None,
+    cluster_by: list[str] | None = None,
+) -> DataFrame:
+    """First load, or full rebuild, of a target; ``cluster_by`` sorts the rows of a directory."""
     if partition is None:
-        return commit(df, path)
-    by_directory(df, [partition]).write.mode("overwrite").partitionBy(partition).parquet(path)
+        return commit(df.sortWithinPartitions(*cluster_by) if cluster_by else df, path)
+    dealt = by_directory(df, [partition])
+    if cluster_by:
+        dealt = dealt.sortWithinPartitions(partition, *cluster_by)
+    dealt.write.mode("overwrite").partitionBy(partition).parquet(path)
     _remember_schema(df.sparkSession, path, df.schema)
     return read_target(df.sparkSession, path)
 
@@ -151,10 +168,12 @@ def _staged(source: DataFrame) -> Iterator[DataFrame]:
     """
     spark = source.sparkSession
     path = workspace(spark, "increment")
-    source.write.parquet(path)
-    yield spark.read.parquet(path)
-    fs, where = _fs(spark, path)
-    fs.delete(where, True)
+    try:
+        source.write.parquet(path)
+        yield spark.read.parquet(path)
+    finally:
+        fs, where = _fs(spark, path)
+        fs.delete(where, True)
 
 
 # --- strategies -----------------------------------------------------------------------
@@ -171,51 +190,86 @@ def _without_keys(target: DataFrame, source: DataFrame, key: list[str]) -> DataF
 
 
 def merge(
-    source: DataFrame, path: str, key: list[str], partition: str | None = None
+    source: DataFrame,
+    path: str,
+    key: list[str],
+    partition: str | None = None,
+    moves: bool = True,
+    cluster_by: list[str] | None = None,
 ) -> DataFrame:
     """Upsert: rows whose key the source has are replaced, other target rows stay.
 
     New source columns are appended to the target, with NULL in old rows; the source must
-    have one row per key. With ``partition``, a key may not move between directories (true
-    for keys hashed from the pickup time).
+    have one row per key. With ``partition`` a key may move to another directory: the key
+    columns of the target are searched for where it was. ``moves=False`` spares that where the
+    key decides the directory (a key hashed from the pickup time, say).
     """
     with _staged(source) as rows:
         _require_unique(rows, key)
-        return _swap_keys(rows, path, key, partition)
+        return _swap_keys(rows, path, key, partition, moves, cluster_by)
 
 
 def delete_insert(
-    source: DataFrame, path: str, key: list[str], partition: str | None = None
+    source: DataFrame,
+    path: str,
+    key: list[str],
+    partition: str | None = None,
+    moves: bool = True,
+    cluster_by: list[str] | None = None,
 ) -> DataFrame:
     """Delete target rows with a key of the source, then insert all source rows.
 
     Unlike ``merge``, several source rows per key are kept.
     """
     with _staged(source) as rows:
-        return _swap_keys(rows, path, key, partition)
+        return _swap_keys(rows, path, key, partition, moves, cluster_by)
 
 
 def _swap_keys(
-    source: DataFrame, path: str, key: list[str], partition: str | None
+    source: DataFrame,
+    path: str,
+    key: list[str],
+    partition: str | None,
+    moves: bool,
+    cluster_by: list[str] | None,
 ) -> DataFrame:
     spark = source.sparkSession
     if not exists(spark, path):
-        return create(source, path, partition)
+        return create(source, path, partition, cluster_by)
     target = read_target(spark, path)
     if partition is None:
         kept = _without_keys(target, source, key)
-        return commit(kept.unionByName(source, allowMissingColumns=True), path)
-    where = _touched(source, partition)
-    touched = (
-        target.filter(where)
-        if where is not None
-        else target.join(source.select(partition).distinct(), partition, "left_semi")
-    )
-    kept = _without_keys(touched, source, list(dict.fromkeys([*key, partition])))
-    _replace_partitions(kept.unionByName(source, allowMissingColumns=True), path, partition)
+        return create(kept.unionByName(source, allowMissingColumns=True), path, None, cluster_by)
+    directories = _values(source, partition)
+    if moves:
+        columns = target.select(*dict.fromkeys([*key, partition]))
+        left = columns.join(source.select(*key).distinct(), key, "left_semi")
+        directories = [*directories, *(v for v in _values(left, partition) if v not in directories)]
+    kept = _without_keys(target.filter(_one_of(partition, directories)), source, key)
+    rows = kept.unionByName(source, allowMissingColumns=True)
+    _replace_and_empty(rows, path, partition, directories, cluster_by)
     return read_target(spark, path)
 
 
+def _replace_and_empty(
+    rows: DataFrame, path: str, partition: str, directories: list, cluster_by: list[str] | None
+) -> None:
+    """Replace these directories by ``rows``; those without any rows left are removed."""
+    spark = rows.sparkSession
+    filled = set(_values(rows, partition))
+    _replace_partitions(rows, path, partition, cluster_by)
+    for value in directories:
+        if value not in filled:
+            fs, empty = _fs(spark, f"{path}/{_directory(spark, partition, value)}")
+            fs.delete(empty, True)
+
+
+def _directory(spark: SparkSession, partition: str, value: object) -> str:
+    names = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+    text = names.DEFAULT_PARTITION_NAME() if value is None else names.escapePathName(str(value))
+    return f"{partition}={text}"
+
+
 def replace_interval(
     source: DataFrame,
     path: str,
@@ -224,14 +278,16 @@ def replace_interval(
     end: dt.datetime | dt.date,
     granularity: str = "timestamp",
     partition: str | None = None,
-    unit: str = "day",
+    cluster_by: list[str] | None = None,
 ) -> DataFrame:
     """Delete target rows with ``time`` in ``[start, end)``, then insert the source's rows of it.
 
     A window without new rows still empties the target there; source rows outside the window
-    are left out. A date key needs bounds at midnight: part of a day would otherwise replace
-    the whole day. ``partition`` names a date column that holds the day, or with
-    ``unit='month'`` the first of the month, of ``time``.
+    are left out, and no target row outside it goes, whatever the layout: the directories that
+    are replaced are those of the fresh rows and of the target's rows inside the window, and
+    their other rows are written back. A date key needs bounds at midnight: part of a day
+    would otherwise replace the whole day. A ``partition`` of dates holds the start of the
+    day, week, month, quarter or year of ``time``; see ``_around``.
     """
     if granularity == "date":
         for bound in (start, end):
@@ -239,54 +295,56 @@ def replace_interval(
                 raise ValueError("a date key needs an interval from midnight to midnight")
     inside = in_interval(time, start, end)
     with _staged(source.filter(inside)) as fresh:
-        return _swap_interval(fresh, path, inside, _parts(start, end, unit), partition)
-
-
-def _swap_interval(
-    fresh: DataFrame, path: str, inside: Column, parts: list[dt.date], partition: str | None
-) -> DataFrame:
-    spark = fresh.sparkSession
-    if not exists(spark, path):
-        return create(fresh, path, partition)
-    target = read_target(spark, path)
-    outside = ~F.coalesce(inside, F.lit(False))
-    if partition is None:
-        kept = target.filter(outside)
-        return commit(kept.unionByName(fresh, allowMissingColumns=True), path)
-    # only the directories the window overlaps; the first and the last may reach beyond it
-    overlap = F.col(partition).between(F.lit(parts[0]), F.lit(parts[-1]))
-    rows = target.filter(overlap & outside).unionByName(fresh, allowMissingColumns=True)
-    filled = {r[0] for r in rows.select(partition).distinct().collect()}
-    _replace_partitions(rows, path, partition)
-    for part in parts:
-        if part not in filled:
-            fs, empty = _fs(spark, f"{path}/{partition}={part}")
-            fs.delete(empty, True)
-    return read_target(spark, path)
+        spark = fresh.sparkSession
+        if not exists(spark, path):
+            return create(fresh, path, partition, cluster_by)
+        target = read_target(spark, path)
+        outside = ~F.coalesce(inside, F.lit(False))
+        if partition is None:
+            rows = target.filter(outside).unionByName(fresh, allowMissingColumns=True)
+            return create(rows, path, None, cluster_by)
+        left = target.filter(_around(target, partition, start, end) & inside)
+        directories = list(dict.fromkeys([*_values(fresh, partition), *_values(left, partition)]))
+        rest = target.filter(_one_of(partition, directories) & outside)
+        rows = rest.unionByName(fresh, allowMissingColumns=True)
+        _replace_and_empty(rows, path, partition, directories, cluster_by)
+        return read_target(spark, path)
+
+
+def _around(
+    target: DataFrame, partition: str, start: dt.date, end: dt.date, unit: str | None = None
+) -> Column:
+    """The directories that can hold rows of a window.
+
+    A date that is the start of a row's day, week, month, quarter or year is not after the
+    row, and not before the year's start or six days before it. With ``unit`` the start of
+    that unit is the lower bound. Other types of directories are all taken.
+    """
+    if not isinstance(target.schema[partition].dataType, T.DateType):
+        return F.lit(True)
+    step = dt.datetime.resolution if isinstance(end, dt.datetime) else dt.date.resolution
+    first, last = (d.date() if isinstance(d, dt.datetime) else d for d in (start, end - step))
+    lower = F.trunc(F.lit(first), unit) if unit else F.date_sub(F.trunc(F.lit(first), "year"), 6)
+    if unit == "day":
+        lower = F.lit(first)
+    return F.col(partition).between(lower, F.lit(last))
 
 
 def within(
-    target: DataFrame, time: str, start: dt.date, end: dt.date, partition: str, unit: str = "day"
+    target: DataFrame,
+    time: str,
+    start: dt.date,
+    end: dt.date,
+    partition: str,
+    unit: str | None = None,
 ) -> DataFrame:
-    """Rows of a partitioned target with ``time`` in ``[start, end)``, from their directories only.
+    """Rows of a partitioned target with ``time`` in ``[start, end)``, from directories around it.
 
     A filter on the time alone would open every directory: Spark does not know that the
-    directory column is its day or month.
+    directory column comes from it. ``unit`` states what it holds the start of; without it
+    the directories since the year began are opened.
     """
-    parts = _parts(start, end, unit)
-    overlap = F.col(partition).between(F.lit(parts[0]), F.lit(parts[-1]))
-    return target.filter(overlap & in_interval(time, start, end))
-
-
-def _parts(start: dt.date, end: dt.date, unit: str) -> list[dt.date]:
-    """Days, or firsts of months, that ``[start, end)`` overlaps."""
-    step = dt.datetime.resolution if isinstance(end, dt.datetime) else dt.date.resolution
-    last_moment = end - step
-    first, last = (
-        d.date() if isinstance(d, dt.datetime) else d for d in (start, last_moment)
-    )
-    days = [first + dt.timedelta(days=i) for i in range((last - first).days + 1)]
-    return days if unit == "day" else sorted({d.replace(day=1) for d in days})
+    return target.filter(_around(target, partition, start, end, unit) & in_interval(time, start, end))
 
 
 def incremental_slice(

@@ -1,7 +1,7 @@
 """Lookup, role-playing, outer and either-side joins.
 
-A dimension is broadcast only after its rows have been counted against a limit; beyond the
-limit the choice is Catalyst's (by measured bytes), and AQE splits skewed shuffle partitions.
+Which side is sent to all tasks is Catalyst's choice by bytes, its threshold the session's.
+``if_small`` is for callers with a threshold of their own. AQE splits skewed partitions.
 """
 
 from __future__ import annotations
@@ -9,23 +9,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from faremill.session import workspace
 
-# a lookup of up to this many rows goes to every executor
-MOST_LOOKUP_ROWS = 20_000
 
+def estimated_bytes(df: DataFrame) -> int:
+    """The planner's own estimate from file sizes and projections; no job is run."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
-def if_small(dim: DataFrame, most_rows: int = MOST_LOOKUP_ROWS) -> DataFrame:
-    """Hint a broadcast if the frame has at most ``most_rows`` rows, otherwise leave it as it is.
 
-    The check reads only as many partitions as it takes to exceed the limit. Without the
-    hint the size of a joined or filtered lookup is unknown to the planner, and the fact
-    table would be shuffled before AQE learns how small the lookup is.
-    """
-    return F.broadcast(dim) if is_small(dim, most_rows) else dim
+def is_small(df: DataFrame, most_bytes: int | None = None) -> bool:
+    """Whether the estimate is within ``most_bytes``, by default the session's threshold."""
+    if most_bytes is None:
+        jvm = df.sparkSession._jsparkSession
+        most_bytes = jvm.sessionState().conf().autoBroadcastJoinThreshold()
+    return 0 <= estimated_bytes(df) <= most_bytes
 
 
-def is_small(df: DataFrame, most_rows: int = MOST_LOOKUP_ROWS) -> bool:
-    return len(df.select(F.lit(1)).take(most_rows + 1)) <= most_rows
+def if_small(dim: DataFrame, most_bytes: int | None = None) -> DataFrame:
+    """Hint a broadcast if the frame's estimated size allows it, otherwise leave it as it is."""
+    return F.broadcast(dim) if is_small(dim, most_bytes) else dim
 
 
 def code_table(spark: SparkSession, names: dict[int, str], key: str, value: str) -> DataFrame:
@@ -38,7 +40,7 @@ def join_lookup(df: DataFrame, dim: DataFrame, fk: str, pk: str, how: str = "inn
     """Equi-join to a dimension. The dimension key takes the fact key's type once, on its side."""
     key_type = df.schema[fk].dataType
     keyed = dim.withColumn("_pk", F.col(pk).try_cast(key_type)).drop(pk)
-    return df.join(if_small(keyed), df[fk] == keyed["_pk"], how).drop("_pk")
+    return df.join(keyed, df[fk] == keyed["_pk"], how).drop("_pk")
 
 
 def enrich_roles(
@@ -48,13 +50,11 @@ def enrich_roles(
 
     ``roles`` maps a role name to (foreign key, {dimension column: output column}).
     """
-    small = is_small(dim)
     for role, (fk, columns) in roles.items():
         key = f"_{role}_key"
         picked = dim.select(
             F.col(pk).alias(key), *[F.col(c).alias(out) for c, out in columns.items()]
         )
-        picked = F.broadcast(picked) if small else picked
         df = df.join(picked, F.col(fk) == F.col(key), "left").drop(key)
     return df
 
@@ -106,10 +106,18 @@ def either_side_join(
 ) -> DataFrame:
     """``left LEFT JOIN right ON key IN (side_a, side_b)`` without a nested loop.
 
-    Matches go through an inner equi-join, where AQE may split a hot key on either side;
-    left rows without any match are added through an anti join on the distinct keys.
+    The sides are taken apart once, into a stored table of keyed rows: the join reads it, and
+    the search for left rows without any match reads its key column only. Matches go through
+    an inner equi-join, where AQE may split a hot key on either side. Both frames keep their
+    columns, so a name that both have is an error.
     """
+    both = sorted(set(left.columns) & set(right.columns))
+    if both:
+        raise ValueError(f"columns of both sides: {', '.join(both)}")
     keyed = either_side(right, sides, "_side")
+    path = workspace(left.sparkSession, "either-side")
+    keyed.write.parquet(path)
+    keyed = left.sparkSession.read.schema(keyed.schema).parquet(path)
     matched = left.join(keyed, left[left_key] == keyed["_side"]).drop("_side")
     present = keyed.select("_side").distinct()
     alone = left.join(present, left[left_key] == present["_side"], "left_anti")

@@ -24,15 +24,19 @@ def write(
     merge, say) into as few tasks: only for results that are small all the way. With
     ``partition_by`` the rows of one directory are brought together and sorted by
     ``cluster_by``, so that row-group statistics can skip data; see ``by_directory`` for hot
-    directories.
+    directories. ``cluster_by`` alone sorts the files of each task. Only one of ``repartition``,
+    ``coalesce`` and ``partition_by`` can decide how rows are dealt; more are an error.
     """
+    if sum(map(bool, (repartition, coalesce, partition_by))) > 1:
+        raise ValueError("choose one of repartition, coalesce and partition_by")
     if coalesce:
         df = df.coalesce(coalesce)
     elif partition_by:
         df = by_directory(df, partition_by)
-        df = df.sortWithinPartitions(*partition_by, *(cluster_by or []))
     elif repartition:
         df = df.repartition(repartition)
+    if partition_by or cluster_by:
+        df = df.sortWithinPartitions(*(partition_by or []), *(cluster_by or []))
     writer = df.write.mode(mode).format(fmt).options(**(options or {}))
     if partition_by:
         writer = writer.partitionBy(*partition_by)

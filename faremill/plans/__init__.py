@@ -6,6 +6,7 @@ import importlib
 
 QUERY_MODULES = (
     "scans", "scalars", "revenue", "star", "matches", "landing", "writes", "checks", "streams",
+    "outputs",
 )
 
 

@@ -246,7 +246,7 @@ staging AS (
 ),
 report AS (
   SELECT taxi_type, CAST(pickup_datetime AS DATE) AS pickup_date, count(*) AS trip_count,
-         sum(CAST(total_amount AS DECIMAL(18,2))) AS total_amount
+         sum(CAST(total_amount AS DECIMAL(38,9))) AS total_amount
   FROM staging GROUP BY 1, 2
 )"""
 
@@ -275,7 +275,7 @@ _SANITY = {
     "reports.trips_report row count (days x taxi_type)": "report_rows",
     "reports.trips_report duplicate (taxi_type, pickup_date) count (expect 0)": "repeated_days",
     "staging vs reports trip_count diff (expect 0)": "clean_rows - reported_trips",
-    "staging vs reports total_amount diff (expect ~0)": "clean_total - reported_total",
+    "staging vs reports total_amount diff (expect ~0)": "round(clean_total - reported_total, 6)",
 }
 
 _SANITY_SQL = f"""{_LAYERS_SQL},
@@ -287,7 +287,7 @@ clean_facts AS (
          count(*) FILTER (WHERE fare_amount < 0) AS below_fare,
          count(*) FILTER (WHERE total_amount < 0) AS below_total,
          count(DISTINCT taxi_type) AS services,
-         sum(CAST(total_amount AS DECIMAL(18,2))) AS clean_total
+         sum(CAST(total_amount AS DECIMAL(38,9))) AS clean_total
   FROM staging
 ),
 report_facts AS (
@@ -318,8 +318,8 @@ def dq_sanity_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"""WITH {_LAYERS_SQL}
     SELECT CAST((SELECT count(*) FROM ingested)
                 - (SELECT coalesce(sum(trip_count), 0) FROM report) AS BIGINT) AS trip_count_diff,
-           CAST(round((SELECT coalesce(sum(CAST(total_amount AS DECIMAL(18,2))), 0) FROM ingested)
-                - (SELECT coalesce(sum(total_amount), 0) FROM report), 2) AS DOUBLE)
+           CAST(round((SELECT coalesce(sum(CAST(total_amount AS DECIMAL(38,9))), 0) FROM ingested)
+                - (SELECT coalesce(sum(total_amount), 0) FROM report), 6) AS DOUBLE)
              AS total_amount_diff""",
 )
 def reconcile_report(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -52,13 +52,13 @@ from faremill.sources.tables import load, plain
 
 def _money_sums(measures: list[str]) -> str:
     return ", ".join(
-        f"CAST(sum(CAST({m} AS DECIMAL(18,2))) AS DOUBLE) AS {revenue_name(m)}" for m in measures
+        f"CAST(CAST(sum(CAST({m} AS DECIMAL(38,9))) AS VARCHAR) AS DOUBLE) AS {revenue_name(m)}" for m in measures
     )
 
 
 _AVERAGES = """
   CAST(sum(passenger_count) AS DOUBLE) / count(passenger_count) AS avg_monthly_passenger_count,
-  CAST(sum(CAST(trip_distance AS DECIMAL(18,3))) AS DOUBLE) / count(trip_distance)
+  CAST(CAST(sum(CAST(trip_distance AS DECIMAL(38,9))) AS VARCHAR) AS DOUBLE) / count(trip_distance)
     AS avg_monthly_trip_distance"""
 
 _RAW_SQL = f"""{GREEN_SQL}, {YELLOW_SQL},
@@ -93,7 +93,7 @@ def service_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    "A3 A18 X1 S10",
+    "A3 A18 X1",
     f"""WITH {_RAW_SQL}
     SELECT PULocationID AS revenue_zone, CAST(date_trunc('month', pickup_datetime) AS DATE)
              AS revenue_month, service_type, {_money_sums(ZONE_ID_MEASURES)}, {_AVERAGES}
@@ -140,7 +140,7 @@ def report_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "A19 O2",
     f"""WITH {GREEN_SQL}, {ZONES_SQL}
-    SELECT zone, CAST(sum(CAST(total_amount AS DECIMAL(18,2))) AS DOUBLE) AS revenue
+    SELECT zone, CAST(CAST(sum(CAST(total_amount AS DECIMAL(38,9))) AS VARCHAR) AS DOUBLE) AS revenue
     FROM green_raw JOIN zones ON PULocationID = location_id
     WHERE year(pickup_datetime) = 1998
     GROUP BY zone ORDER BY revenue DESC, zone LIMIT 1""",
@@ -167,7 +167,7 @@ def _hours_sql(name: str, kinds: list[str]) -> str:
     return f"""
 {name} AS (
   SELECT date_trunc('hour', ts) AS hour, CAST(user_id % 27 AS INTEGER) AS zone,
-         CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS amount, count(*) AS number_records
+         CAST(CAST(sum(CAST(value AS DECIMAL(38,9))) AS VARCHAR) AS DOUBLE) AS amount, count(*) AS number_records
   FROM events WHERE event_type IN ({quoted}) AND ts >= TIMESTAMP '{SINCE}'
   GROUP BY 1, 2
 )"""
@@ -217,9 +217,9 @@ def revenue_with_zone(spark: SparkSession, sf_dir: str) -> DataFrame:
     "A6 X3",
     f"""WITH {INGESTED_SQL}
     SELECT taxi_type, CAST(pickup_datetime AS DATE) AS pickup_date, count(*) AS trip_count,
-           CAST(sum(CAST(fare_amount AS DECIMAL(18,2))) AS DOUBLE) AS total_fare_amount,
-           CAST(sum(CAST(total_amount AS DECIMAL(18,2))) AS DOUBLE) AS total_amount,
-           CAST(sum(CAST(trip_distance AS DECIMAL(18,3))) AS DOUBLE) / count(trip_distance)
+           CAST(CAST(sum(CAST(fare_amount AS DECIMAL(38,9))) AS VARCHAR) AS DOUBLE) AS total_fare_amount,
+           CAST(CAST(sum(CAST(total_amount AS DECIMAL(38,9))) AS VARCHAR) AS DOUBLE) AS total_amount,
+           CAST(CAST(sum(CAST(trip_distance AS DECIMAL(38,9))) AS VARCHAR) AS DOUBLE) / count(trip_distance)
              AS avg_trip_distance
     FROM ingested GROUP BY 1, 2""",
 )
@@ -230,7 +230,7 @@ def daily_service_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "A7 P7 O1",
     """SELECT CAST(ts AS DATE) AS trip_date,
-              CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS daily_revenue,
+              CAST(CAST(sum(CAST(value AS DECIMAL(38,9))) AS VARCHAR) AS DOUBLE) AS daily_revenue,
               count(*) AS trip_count
        FROM events GROUP BY 1 ORDER BY 1""",
 )
@@ -242,7 +242,7 @@ def daily_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
     "A8 X14 F9",
     f"""WITH {GREEN_SQL}
     SELECT CAST(floor(tip_amount / 4) AS BIGINT) AS distance_bucket,
-           CAST(sum(CAST(fare_amount AS DECIMAL(18,2))) AS DOUBLE) / count(fare_amount) AS avg_fare,
+           CAST(CAST(sum(CAST(fare_amount AS DECIMAL(38,9))) AS VARCHAR) AS DOUBLE) / count(fare_amount) AS avg_fare,
            count(*) AS trip_count
     FROM green_raw WHERE tip_amount / 4 > 0 AND fare_amount > 0 GROUP BY 1 ORDER BY 1""",
 )

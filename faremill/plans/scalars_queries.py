@@ -45,7 +45,7 @@ STAGED_OUT = ", ".join(
 
 
 @query(
-    "F3 F8 F9 F10 X9 P2 P5",
+    "F3 F8 F9 X9 P2 P5",
     f"""WITH {STAGED_SQL}
     SELECT {STAGED_OUT} FROM staged
     WHERE vendor_id IS NOT NULL AND year(pickup_datetime) IN (1996, 1997, 1999)
@@ -64,7 +64,7 @@ def staging_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    "S5 F3 P2",
+    "F3 P2",
     f"WITH {FHV_SQL} SELECT * FROM fhv WHERE dispatching_base_num IS NOT NULL",
 )
 def fhv_staging(spark: SparkSession, sf_dir: str) -> DataFrame:

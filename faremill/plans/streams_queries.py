@@ -43,7 +43,7 @@ def _send(rows: DataFrame, topic: str) -> None:
 
 
 def _typed(spark: SparkSession, topic: str) -> DataFrame:
-    messages = file_stream(spark, topic)
+    messages = file_stream(spark, topic, max_files=16)  # bounded batches
     return jobs.passthrough(messages, RIDE_EVENT, "tpep_pickup_datetime", "pickup_datetime")
 
 
@@ -116,7 +116,7 @@ def event_json_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """WITH hours AS (
       SELECT date_trunc('hour', ts) AS window_start, CAST(user_id % 25 AS INTEGER) AS zone,
              count(*) AS number_records,
-             CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS amount
+             CAST(CAST(sum(CAST(value AS DECIMAL(38,9))) AS VARCHAR) AS DOUBLE) AS amount
       FROM events GROUP BY 1, 2)
     SELECT * FROM hours
     WHERE window_start + to_hours(1) <= (SELECT max(ts) - to_seconds(10) FROM events)""",

@@ -188,9 +188,9 @@ _COPY_RANK = f"""row_number() OVER (PARTITION BY {", ".join(COPY_KEY)}
     "K8 K10 W2 X16 F9 A6",
     f"""WITH {INGESTED_SQL}, ranked AS (SELECT *, {_COPY_RANK} AS rn FROM ingested)
     SELECT taxi_type, CAST(pickup_datetime AS DATE) AS pickup_date, count(*) AS trip_count,
-           CAST(sum(CAST(fare_amount AS DECIMAL(18,2))) AS DOUBLE) AS total_fare_amount,
-           CAST(sum(CAST(total_amount AS DECIMAL(18,2))) AS DOUBLE) AS total_amount,
-           CAST(sum(CAST(trip_distance AS DECIMAL(18,3))) AS DOUBLE) / count(trip_distance)
+           CAST(CAST(sum(CAST(fare_amount AS DECIMAL(38,9))) AS VARCHAR) AS DOUBLE) AS total_fare_amount,
+           CAST(CAST(sum(CAST(total_amount AS DECIMAL(38,9))) AS VARCHAR) AS DOUBLE) AS total_amount,
+           CAST(CAST(sum(CAST(trip_distance AS DECIMAL(38,9))) AS VARCHAR) AS DOUBLE) / count(trip_distance)
              AS avg_trip_distance
     FROM ranked WHERE rn = 1 AND dropoff_datetime >= pickup_datetime AND trip_distance >= 0
       AND fare_amount >= 0 AND total_amount >= 0
@@ -211,14 +211,16 @@ def interval_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
             month, F.trunc("pickup_datetime", "month")
         )
         staged = inc.replace_interval(
-            clean, f"{base}/staging", "pickup_datetime", start, end, partition=month, unit="month"
+            clean, f"{base}/staging", "pickup_datetime", start, end, partition=month
         )
         current = inc.within(staged, "pickup_datetime", start, end, month, "month")
+        fresh = interval_report(current, start, end).withColumn(
+            month, F.trunc("pickup_date", "month")
+        )
         report = inc.replace_interval(
-            interval_report(current, start, end), f"{base}/report", "pickup_date", start, end,
-            granularity="date",
+            fresh, f"{base}/report", "pickup_date", start, end, granularity="date", partition=month
         )
-    return report
+    return report.drop(month)
 
 
 _ROW_KEY_TEXT = ", ".join(f"coalesce(CAST({c} AS VARCHAR), '_null_')" for c in ROW_KEY)
@@ -231,7 +233,7 @@ _GREEN_OUT = [*GREEN_FACT, "pickup_month"]
 
 
 @query(
-    "K13 K9 K5 J3 F9 W3",
+    "K13 K9 K5 J3 F9",
     f"""WITH {STAGED_SQL}, {ZONES_SQL}, rows_with_surcharge AS (
       SELECT {STAGED_FORM.format(trip_type="trip_type", ehail_fee="ehail_fee")},
              CAST(congestion_surcharge AS DECIMAL(18,2)) AS congestion_surcharge
@@ -264,8 +266,11 @@ def green_fact_build(spark: SparkSession, sf_dir: str) -> DataFrame:
         .select(*_GREEN_OUT)
     )
     first = fact.filter(F.col("pickup_datetime") < _stamp("2000-01-01"))
-    inc.create(first, path, "pickup_month")
+    inc.create(first, path, "pickup_month", cluster_by=["pickup_borough"])
     newest = inc.newest_partition(spark, path, "pickup_month")
     newer = inc.incremental_slice(fact, newest, "pickup_datetime")
-    result = inc.merge(newer, path, ["unique_row_id"], "pickup_month")
+    # the id is hashed from the pickup time too, so it decides the month
+    result = inc.merge(
+        newer, path, ["unique_row_id"], "pickup_month", moves=False, cluster_by=["pickup_borough"]
+    )
     return plain(result.select(*_GREEN_OUT))

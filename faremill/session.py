@@ -12,6 +12,7 @@ from pyspark.sql import SparkSession
 # back to a (skew-split) shuffle join beyond it.
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
+    "spark.sql.ansi.enabled": "true",  # casts and sums that overflow raise
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",

@@ -28,7 +28,7 @@ def read_csv(
 
 
 def infer_from_sample(spark: SparkSession, path: str, rows: int = 1000) -> T.StructType:
-    """Column types judged on the first ``rows`` data lines only."""
+    """Column types judged on the first ``rows`` data lines; see ``read_sampled``."""
     header, *data = [r.value for r in spark.read.text(path).head(rows + 1)]
     # a short first file is followed by the next one, which brings its header line again
     lines = [header, *[line for line in data if line != header]]
@@ -36,6 +36,13 @@ def infer_from_sample(spark: SparkSession, path: str, rows: int = 1000) -> T.Str
     return spark.read.option("header", True).option("inferSchema", True).csv(sample).schema
 
 
+def read_sampled(spark: SparkSession, path: str, rows: int = 1000) -> DataFrame:
+    """CSV with the types of its first ``rows`` lines; a later value that does not fit them is
+    an error when it is read."""
+    schema = infer_from_sample(spark, path, rows)
+    return read_csv(spark, path, schema=schema, options={"mode": "FAILFAST"})
+
+
 def external_csv(
     spark: SparkSession,
     name: str,

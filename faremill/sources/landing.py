@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from faremill.operators.aggregate import max_value
+from faremill.operators.rows import dedup
 
 
 def read_pages(spark: SparkSession, path: str, one_per_file: bool = False) -> DataFrame:
@@ -23,11 +24,19 @@ def read_pages(spark: SparkSession, path: str, one_per_file: bool = False) -> Da
 
 
 def page_records(body: Column | str, selector: str, record: T.StructType) -> Column:
-    """The record list of a page: ``$`` is the whole body, otherwise a key of the envelope."""
-    many = T.ArrayType(record)
+    """The record list of a page: ``$`` is the whole body, otherwise a key of the envelope.
+
+    A body that is cut short, or that does not have this form, is an error.
+    """
+    many, strict = T.ArrayType(record), {"mode": "FAILFAST"}
     if selector == "$":
-        return F.from_json(body, many)
-    return F.from_json(body, T.StructType([T.StructField(selector, many)]))[selector]
+        return F.from_json(body, many, strict)
+    return F.from_json(body, T.StructType([T.StructField(selector, many)]), strict)[selector]
+
+
+def unreadable_pages(pages: DataFrame, body: str = "body") -> DataFrame:
+    """Pages whose body is missing or no JSON document, to look at or to count."""
+    return pages.filter(F.try_parse_json(body).isNull())
 
 
 def json_records(
@@ -45,24 +54,36 @@ def limit_pages(pages: DataFrame, number: str, most: int) -> DataFrame:
 
 
 def pages_until_empty(pages: DataFrame, number: str, size: Column) -> DataFrame:
-    """Pages before the first empty one; all pages when none is empty."""
+    """Pages before the first empty one; all pages when none is empty.
+
+    ``size`` is 0 for an empty page. A page without a size (NULL, as of a body that cannot be
+    read) is not taken for an empty one: it stays, for the reader of its records to fail on.
+    """
     sized = pages.withColumn("_size", size)
     first_empty = sized.filter(F.col("_size") == 0).agg(F.min(number)).scalar()
     return sized.filter(F.col(number) < F.coalesce(first_empty, F.col(number) + 1)).drop("_size")
 
 
-def date_chunks(start: dt.date, end: dt.date, days: int) -> list[tuple[dt.date, dt.date]]:
-    """Inclusive ranges of at most ``days`` days, walking back from ``end`` to ``start``.
+def chunk_count(start: dt.date, end: dt.date, days: int) -> int:
+    """How many ranges of ``days + 1`` days it takes to cover both ends."""
+    return max(0, (end - start).days // (days + 1) + 1)
 
-    Each next range ends one day before the previous one begins.
-    """
-    chunks = []
-    high = end
-    while high >= start:
-        low = max(start, high - dt.timedelta(days=days))
-        chunks.append((low, high))
-        high = low - dt.timedelta(days=1)
-    return chunks
+
+def chunk_bounds(
+    start: dt.date, end: dt.date, days: int, number: int
+) -> tuple[dt.date, dt.date]:
+    """The inclusive range with this number, counted back from ``end``; the last is cut at
+    ``start``. The form of ``chunk_table`` for a caller that names resources by their dates."""
+    offset = number * (days + 1)
+    return (
+        max(start, end - dt.timedelta(days=offset + days)),
+        end - dt.timedelta(days=offset),
+    )
+
+
+def date_chunks(start: dt.date, end: dt.date, days: int) -> list[tuple[dt.date, dt.date]]:
+    """All ranges, newest first."""
+    return [chunk_bounds(start, end, days, n) for n in range(chunk_count(start, end, days))]
 
 
 def chunk_table(spark: SparkSession, start: dt.date, end: dt.date, days: int) -> DataFrame:
@@ -84,8 +105,10 @@ def chunk_of(day: Column, start: dt.date, end: dt.date, days: int) -> Column:
 
 
 def union_chunks(frames: list[DataFrame], key: list[str]) -> DataFrame:
-    """Several chunk resources in one table, one row per key."""
-    return reduce(DataFrame.unionByName, frames).dropDuplicates(key)
+    """Several chunk resources in one table, one row per key: the copy of the first resource
+    in the list that has it, among its own copies the lowest in all columns."""
+    numbered = [f.withColumn("_resource", F.lit(i)) for i, f in enumerate(frames)]
+    return dedup(reduce(DataFrame.unionByName, numbered), key, "_resource").drop("_resource")
 
 
 def initial_cursor(as_of: dt.datetime, days: int = 30) -> dt.datetime:

@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# fixed values: the pool of zones rides start and end in
-ZONE_POOL = [161, 162, 170, 237, 239, 186, 164, 236]
 LATE_SHARE = 0.2
 LATE_SECONDS = (3, 10)
 
@@ -14,19 +12,21 @@ LATE_SECONDS = (3, 10)
 def make_events(
     spark: SparkSession,
     n: int,
+    zones: list[int],
     start_ms: int,
     every_ms: int = 500,
     late_share: float = LATE_SHARE,
     seed: int = 42,
 ) -> DataFrame:
-    """``n`` ride events, one per ``every_ms``; a share happened some seconds before it is sent."""
+    """``n`` ride events between ``zones``, one per ``every_ms``; a share happened some seconds
+    before it is sent."""
 
     def uniform(i: int, low: float, high: float):
         return F.round(F.rand(seed + i) * (high - low) + low, 2)
 
     def pick(i: int):
-        pool = F.array(*[F.lit(z) for z in ZONE_POOL])
-        return F.element_at(pool, (F.floor(F.rand(seed + i) * len(ZONE_POOL)) + 1).cast("int"))
+        pool = F.array(*[F.lit(z) for z in zones])
+        return F.element_at(pool, (F.floor(F.rand(seed + i) * len(zones)) + 1).cast("int"))
 
     low, high = LATE_SECONDS
     lateness = F.when(

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import datetime as dt
 import hashlib
+from decimal import Decimal
 
 import pandas as pd
 import pytest
@@ -150,12 +151,23 @@ def test_dates(spark):
     assert got[4] == ts("2024-03-01T00:00:00")
 
 
-def test_totals_round_halves_away_from_zero_and_refuse_to_wrap(spark):
-    df = spark.createDataFrame([(0.125,), (-0.125,), (1.0,), (None,)], "v double")
-    assert [r[0] for r in df.select(fn.numbers.units("v")).collect()] == [13, -13, 100, None]
-    big = spark.range(3).select(F.lit(9e16).alias("v"))
+def test_totals_keep_what_is_stored(spark):
+    small = spark.range(1000).select(F.lit(0.004).alias("v"))
+    assert small.agg(fn.total("v"), average("v")).head()[0:2] == (4.0, 0.004)
+    mixed = spark.createDataFrame([(1e15 + 0.5,), (-0.125,), (2.000000001,), (None,)], "v double")
+    assert mixed.agg(fn.numbers.exact_sum("v")).head()[0] == Decimal("1000000000000002.375000001")
+    wide = spark.createDataFrame([(Decimal("9007199254740993.01"),)] * 3, "v decimal(18,2)")
+    assert wide.agg(fn.numbers.exact_sum("v")).head()[0] == Decimal("27021597764222979.03")
+
+
+@pytest.mark.parametrize("bad", [float("nan"), float("inf"), -float("inf"), 1e20])
+def test_totals_refuse_what_they_cannot_hold(spark, bad):
+    df = spark.createDataFrame([(bad,), (1.0,)], "v double")
+    with pytest.raises(ArithmeticException):
+        df.agg(fn.total("v")).collect()
+    many = spark.range(3).select(F.lit(9e18).alias("v"))
     with pytest.raises(ArithmeticException):
-        big.agg(fn.total("v")).collect()
+        many.agg(fn.total("v")).collect()
 
 
 def test_totals_of_decimals_equal_decimal_sums(spark):

@@ -51,12 +51,44 @@ def test_an_empty_source_changes_nothing(spark, folder, partition):
     assert rows(got.select("id", "v")) == [(1, "a"), (2, "b")]
 
 
-def test_very_many_touched_directories_fall_back_to_a_join(spark, folder, monkeypatch):
-    monkeypatch.setattr(inc, "MOST_PARTITIONS", 1)
+@pytest.mark.parametrize("change", [inc.merge, inc.delete_insert])
+def test_a_key_moves_to_another_directory(spark, folder, change):
     path = folder + "/t"
-    inc.create(days(spark, (1, 1, "a"), (2, 2, "b"), (3, 3, "c")), path, "d")
-    got = inc.merge(days(spark, (1, 1, "A"), (2, 2, "B")), path, ["id"], "d")
-    assert rows(got.select("id", "v")) == [(1, "A"), (2, "B"), (3, "c")]
+    inc.create(days(spark, (1, 1, "a"), (1, 9, "z"), (2, 2, "b"), (3, 3, "c")), path, "d")
+    got = change(days(spark, (4, 1, "A"), (2, 3, "C")), path, ["id"], "d")
+    want = [("2024-01-01", 9, "z"), ("2024-01-02", 2, "b"), ("2024-01-02", 3, "C"), ("2024-01-04", 1, "A")]
+    assert [(str(r.d), r.id, r.v) for r in got.orderBy("d", "id").collect()] == want
+    assert not os.path.exists(path + "/d=2024-01-03")
+
+
+def test_a_failed_first_write_is_no_target(spark, folder):
+    os.makedirs(folder + "/t/version-00000001")
+    assert not inc.exists(spark, folder + "/t")
+    got = inc.merge(days(spark, (1, 1, "a")), folder + "/t", ["id"])
+    assert rows(got.select("id", "v")) == [(1, "a")]
+
+
+def test_a_failed_increment_leaves_no_folder(spark, folder):
+    from faremill.session import workspace
+
+    base = os.path.dirname(workspace(spark, "x").removeprefix("file:"))
+    before = set(os.listdir(base))
+    with pytest.raises(inc.DuplicateKeys):
+        inc.merge(days(spark, (1, 1, "a"), (1, 1, "b")), folder + "/t", ["id"])
+    assert {n for n in set(os.listdir(base)) - before if n.startswith("increment")} == set()
+
+
+def test_clustered_directories(spark, folder):
+    path = folder + "/t"
+    source = spark.range(200).select(
+        F.lit(dt.date(2024, 1, 1)).alias("d"), (F.col("id") * 7 % 200).alias("id")
+    )
+    for write in (
+        lambda: inc.create(source, path, "d", cluster_by=["id"]),
+        lambda: inc.merge(source, path, ["id"], "d", cluster_by=["id"]),
+    ):
+        ids = [r.id for r in write().coalesce(1).collect()]
+        assert ids == sorted(ids) and len(ids) == 200
 
 
 def test_increment_folders_do_not_stay(spark, folder):
@@ -139,7 +171,7 @@ def test_interval_by_month_directories(spark, folder):
     inc.create(full, path, "m")
     got = inc.replace_interval(
         month(stamped(spark, ("2024-03-01T00:00:00", 9))), path, "t", dt.datetime(2024, 2, 1),
-        dt.datetime(2024, 3, 2), partition="m", unit="month",
+        dt.datetime(2024, 3, 2), partition="m",
     )
     assert rows(got.select("id")) == [(1,), (3,), (9,)]
     assert not os.path.exists(path + "/m=2024-02-01")
@@ -207,6 +239,25 @@ def test_a_window_opens_its_directories_only(spark, folder):
     assert "PartitionFilters: [isnotnull(d" in plan(got)
 
 
+def test_no_row_outside_a_window_goes(spark, folder):
+    """Part of a month is replaced in a target laid out by month, quarter and year."""
+    every = spark.range(31 * 3).select(
+        F.timestamp_seconds(F.lit(1704067200) + F.col("id") * 86400).alias("t"), "id"
+    )
+    fresh = spark.createDataFrame([(ts("2024-01-11T05:00:00"), 1000)], "t timestamp, id long")
+    for unit in ("month", "quarter", "year", "week"):
+        path = f"{folder}/{unit}"
+        inc.create(every.withColumn("p", F.trunc("t", unit)), path, "p")
+        got = inc.replace_interval(
+            fresh.withColumn("p", F.trunc("t", unit)), path, "t", dt.datetime(2024, 1, 10),
+            dt.datetime(2024, 1, 20), partition="p",
+        )
+        want = [i for i in range(93) if not 9 <= i < 19] + [1000]
+        assert sorted(r.id for r in got.collect()) == want, unit
+        near = inc.within(got, "t", dt.datetime(2024, 1, 8), dt.datetime(2024, 1, 12), "p")
+        assert sorted(r.id for r in near.collect()) == [7, 8, 1000]
+
+
 def test_newest_partition_reads_one_directory(spark, folder):
     path = folder + "/t"
     inc.create(days(spark, (1, 1, "a"), (2, 2, "b")), path, "d")

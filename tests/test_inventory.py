@@ -14,16 +14,10 @@ INVENTORY = {
 # operators without a query of their own, and the test that covers them
 BY_TEST = {
     "S7": "test_landing.test_paths_are_uris",
-    "S10": "test_jobs.test_monthly_report",
     "S18": "test_streaming.test_generated_events",
-    "K2": "test_writers.test_file_counts",
-    "K3": "test_writers.test_file_counts",
     "K6": "test_writers.test_connector_write",
     "K15": "test_streaming.test_jdbc_writer_options",
     "K16": "test_streaming.test_console_writer",
-    "P8": "test_writers.test_preview",
-    "J9": "test_joins.test_broadcast_only_below_the_limit",
-    "T4": "test_streaming.test_readers_have_their_own_bookmarks",
     "D1": "test_functions.test_base_code_equals_a_python_version_and_stays_in_the_jvm",
 }
 

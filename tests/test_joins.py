@@ -11,7 +11,9 @@ ZONES = [(1, "EWR", "Newark"), (264, "Unknown", "N/A"), (56, "Queens", "Corona")
 
 
 def zones(spark):
-    return spark.createDataFrame(ZONES, "location_id int, borough string, zone string")
+    """As a stored lookup has: a size that the planner knows."""
+    quoted = ", ".join(f"({i}, '{b}', '{z}')" for i, b, z in ZONES)
+    return spark.sql(f"SELECT * FROM VALUES {quoted} AS t(location_id, borough, zone)")
 
 
 def test_lookup_casts_the_dimension_key(spark):
@@ -30,11 +32,21 @@ def test_roles_keep_unmatched(spark):
     assert "BroadcastHashJoin" in plan(got) and "SortMergeJoin" not in plan(got)
 
 
-def test_broadcast_only_below_the_limit(spark):
-    big = spark.range(30_000).withColumn("x", F.col("id") * 2)
-    assert j.is_small(zones(spark)) and not j.is_small(big)
-    assert "ResolvedHint" not in j.if_small(big)._jdf.queryExecution().analyzed().toString()
-    assert "ResolvedHint" in j.if_small(zones(spark))._jdf.queryExecution().analyzed().toString()
+def test_broadcast_only_below_the_limit(spark, tmp_path):
+    spark.range(30_000).withColumn("x", F.md5(F.col("id").cast("string"))).write.parquet(str(tmp_path / "big"))
+    big = spark.read.parquet(str(tmp_path / "big"))
+    assert j.is_small(zones(spark), 1_000_000) and not j.is_small(big, 1_000_000)
+    assert "ResolvedHint" not in j.if_small(big, 1_000_000)._jdf.queryExecution().analyzed().toString()
+    assert "ResolvedHint" in j.if_small(big)._jdf.queryExecution().analyzed().toString()
+    # a projection of few columns is judged by what is left
+    assert j.estimated_bytes(big.select("id")) < j.estimated_bytes(big)
+
+
+def test_either_side_refuses_names_that_both_sides_have(spark):
+    left = spark.createDataFrame([(1, "x")], "aid int, v string")
+    right = spark.createDataFrame([(1, 2, "y")], "a int, b int, v string")
+    with pytest.raises(ValueError, match="v"):
+        j.either_side_join(left, right, "aid", ["a", "b"])
 
 
 def test_default_payment(spark):

@@ -46,6 +46,24 @@ def test_sample_schema_ignores_later_rows_and_repeated_headers(spark, tmp_path):
     assert two.simpleString() == "struct<id:int,v:int>"
 
 
+def test_a_value_outside_the_sampled_type_is_an_error(spark, tmp_path):
+    write_text(tmp_path / "s" / "a.csv", "id,v", "1,2", "3,4", "5,12.5")
+    assert rows(files.read_sampled(spark, str(tmp_path / "s"), 3)) == [(1, 2.0), (3, 4.0), (5, 12.5)]
+    with pytest.raises(Exception, match="MALFORMED|FAILED_READ"):
+        files.read_sampled(spark, str(tmp_path / "s"), 2).collect()
+
+
+def test_unreadable_pages_are_not_lost(spark):
+    good, cut = '{"docs": [{"id": 1, "name": "x"}]}', '{"docs": [{"id": 2, "na'
+    df = spark.createDataFrame([(1, good), (2, cut), (3, None), (4, '{"docs": []}')], "page int, body string")
+    assert [r.page for r in landing.unreadable_pages(df).orderBy("page").collect()] == [2, 3]
+    with pytest.raises(Exception, match="MALFORMED"):
+        landing.json_records(df, "docs", RECORD).collect()
+    size = F.json_array_length(F.get_json_object("body", "$.docs"))
+    left = landing.pages_until_empty(df, "page", size)
+    assert sorted(r.page for r in left.collect()) == [1, 2, 3]
+
+
 def test_external_gz(spark, tmp_path):
     df = spark.createDataFrame([(1, "a"), (2, "b")], "id int, v string")
     df.write.option("header", True).option("compression", "gzip").csv(str(tmp_path / "gz"))
@@ -181,6 +199,9 @@ def test_chunk_rows_equal_the_list(spark, length, days):
 def test_union_chunks_drops_repeats(spark):
     a = spark.createDataFrame([(1, "x"), (2, "y")], "id int, v string")
     assert landing.union_chunks([a, a.filter("id = 2")], ["id"]).count() == 2
+    b = spark.createDataFrame([(2, "a"), (3, "z"), (3, "b")], "id int, v string")
+    assert rows(landing.union_chunks([a, b], ["id"])) == [(1, "x"), (2, "y"), (3, "b")]
+    assert rows(landing.union_chunks([b, a], ["id"])) == [(1, "x"), (2, "a"), (3, "b")]
 
 
 def test_cursor(spark):

@@ -166,7 +166,7 @@ def test_hourly_comparison_loses_unknown_zones(spark):
     assert both.count() == 3
     named = t.comparison_with_zones(both, table(spark, ZONE_CSV, {"LocationID": 1, "Zone": "Newark"}))
     assert rows(named.select("Zone", "green_amount", "yellow_amount")) == [
-        ("Newark", 12.35, 6.0)
+        ("Newark", 12.345, 6.0)
     ]
     assert "LocationID" not in named.columns
 
