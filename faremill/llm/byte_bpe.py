@@ -7,11 +7,12 @@ library whole: those that hold the string of an added token, and those with a ch
 outside the ranges below, whose class is the same in every Unicode version in use.
 
 Pre-tokens are found for many texts at once, by array operations on their code points. Equal
-ones of a batch are brought together by a 64-bit hash, then looked up as strings.
+ones of a batch are brought together by a 64-bit hash; the memo compares the characters too.
 """
 
 from __future__ import annotations
 
+import copy
 import functools
 import os
 import re
@@ -46,14 +47,93 @@ SPACE, LETTER, NUMBER, OTHER, END = range(5)
 BETWEEN = "\U0010ffff"  # ends a text of a batch; unproven, so never inside one
 KNOWN = 0x20C0  # proven characters are below
 CUT = re.compile("(?<=[A-Za-z]) (?=[A-Za-z])")  # a pre-token begins at the space
-BATCH_CHARS = 1 << 21
+BATCH_CHARS = 1 << 19
 UNPROVEN = re.compile(f"[^{LETTERS}{NUMBERS}{SPACES}{OTHERS}]")
 # words after a space may be joined to one text, which splits into the same words again
 JOINED = 500
 CALL_WORDS = 10_000
 
 # pre-tokens that a worker remembers; then it starts anew
-MEMO = 1_000_000
+MEMO = 700_000
+
+
+class Memo:
+    """Ids of pre-tokens by hash, in flat arrays that take little more room than the ids."""
+
+    def __init__(self) -> None:
+        self.hashes = np.empty(0, np.uint64)  # ascending
+        self.row = np.empty(0, np.int64)  # of each hash
+        self.ids = Flat("<u4")
+        self.characters = Flat("<u2")  # proven characters have two bytes
+
+    def __len__(self) -> int:
+        return len(self.hashes)
+
+    def find(self, found: PreTokens) -> np.ndarray:
+        """The row of each distinct pre-token, -1 if it is not known."""
+        if not len(self):
+            return np.full(len(found.hashes), -1)
+        at = np.minimum(np.searchsorted(self.hashes, found.hashes), len(self) - 1)
+        row = np.where(self.hashes[at] == found.hashes, self.row[at], -1)
+        known = np.flatnonzero(row >= 0)
+        own, _ = found.characters(known)
+        kept, sizes = self.characters.take(row[known])
+        same_size = sizes == found.ends[known] - found.starts[known]
+        if not same_size.all() or (own != kept).any():  # a hash that two pre-tokens share
+            raise HashClash
+        return row
+
+    def add(self, found: PreTokens, new: np.ndarray, ids: list[bytes]) -> None:
+        characters, sizes = found.characters(new)
+        first = self.characters.add(characters, sizes)
+        sizes = np.array([len(x) // 4 for x in ids], np.int64)
+        self.ids.add(np.frombuffer(b"".join(ids), "<u4"), sizes)
+        order = np.argsort(found.hashes[new])
+        at = np.searchsorted(self.hashes, found.hashes[new][order])
+        self.hashes = np.insert(self.hashes, at, found.hashes[new][order])
+        self.row = np.insert(self.row, at, first + order)
+
+
+class HashClash(Exception):
+    """Two pre-tokens with one hash; the texts are then encoded by the library."""
+
+
+class Flat:
+    """Rows of numbers one after the other, in an array that grows by doubling."""
+
+    def __init__(self, kind: str) -> None:
+        self.data, self.used = np.empty(1 << 16, kind), 0
+        self.bounds, self.rows = np.zeros(1 << 14, np.int64), 0
+
+    def add(self, data: np.ndarray, sizes: np.ndarray) -> int:
+        """Append rows of these sizes; the number of the first."""
+        while self.used + len(data) > len(self.data):
+            self.data = np.concatenate([self.data, np.empty_like(self.data)])
+        while self.rows + len(sizes) + 1 > len(self.bounds):
+            self.bounds = np.concatenate([self.bounds, np.empty_like(self.bounds)])
+        self.data[self.used : self.used + len(data)] = data
+        ends = self.used + np.cumsum(sizes)
+        self.bounds[self.rows + 1 : self.rows + 1 + len(sizes)] = ends
+        first = self.rows
+        self.used += len(data)
+        self.rows += len(sizes)
+        return first
+
+    def sizes(self, rows: np.ndarray) -> np.ndarray:
+        return self.bounds[rows + 1] - self.bounds[rows]
+
+    def take(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """These rows one after the other, and their sizes."""
+        starts = self.bounds[rows]
+        sizes = self.bounds[rows + 1] - starts
+        return self.data[along(starts, sizes)], sizes
+
+
+def along(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The positions of spans, span after span."""
+    ends = np.cumsum(sizes)
+    total = int(ends[-1]) if len(ends) else 0
+    return np.repeat(starts - (ends - sizes), sizes) + np.arange(total)
 
 
 class ByteBpe:
@@ -70,11 +150,11 @@ class ByteBpe:
         added = [t.content for t in self.library.get_added_tokens_decoder().values()]
         self.added = re.compile("|".join(map(re.escape, added))) if added else None
         self.most = memo
-        self.memo: dict[str, bytes] = {}
+        self.memo = Memo()
         # bytes of each token: the vocabulary writes a byte as one character
-        size = max(self.library.get_vocab(with_added_tokens=True).values()) + 1
-        self.lengths = np.zeros(size, np.int64)
-        for token, i in self.library.get_vocab(with_added_tokens=True).items():
+        vocabulary = self.library.get_vocab(with_added_tokens=True)
+        self.lengths = np.zeros(max(vocabulary.values()) + 1, np.int64)
+        for token, i in vocabulary.items():
             self.lengths[i] = len(token)
 
     def splits(self, text: str) -> bool:
@@ -84,11 +164,12 @@ class ByteBpe:
     def encode_whole(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def encode_words(self, words: list[str]) -> Iterator[tuple[str, bytes]]:
-        """Each pre-token with its ids; words after a space are encoded many to a call.
+    def encode_words(self, words: list[str]) -> dict[str, bytes]:
+        """Ids of each pre-token; words after a space are encoded many to a call.
 
         Where one of them ends among the ids of all is told by the tokens' lengths in bytes.
         """
+        out: dict[str, bytes] = {}
         spaced = [w for w in words if w[0] == " " and w[1:].isalpha()]
         alone = [w for w in words if not (w[0] == " " and w[1:].isalpha())]
         for at in range(0, len(spaced), CALL_WORDS):
@@ -103,50 +184,57 @@ class ByteBpe:
                 raise RuntimeError("a token crosses words")
             cuts = [0, *(4 * cuts).tolist()]
             data = ids.tobytes()
-            yield from zip(part, (data[i:j] for i, j in zip(cuts, cuts[1:])), strict=True)
+            out.update(zip(part, (data[i:j] for i, j in zip(cuts, cuts[1:])), strict=True))
         for at in range(0, len(alone), CALL_WORDS):
             part = alone[at : at + CALL_WORDS]
             for word, ids in zip(part, self.encode_whole(part), strict=True):
-                yield word, struct.pack(f"<{len(ids)}I", *ids)
+                out[word] = struct.pack(f"<{len(ids)}I", *ids)
+        return out
 
-    def learn(self, words: set[str]) -> None:
-        """Fill the memo with what it lacks of ``words``."""
-        if len(self.memo) + len(words) > self.most:
-            self.memo = {}
-        self.memo.update(self.encode_words([w for w in words if w not in self.memo]))
+    def rows(self, found: PreTokens) -> np.ndarray:
+        """The memo's row of each distinct pre-token, which is learned if need be."""
+        if len(self.memo) + len(found.hashes) > self.most:
+            self.memo = Memo()
+        row = self.memo.find(found)
+        new = np.flatnonzero(row < 0)
+        if len(new):
+            words = found.words(new)
+            ids = self.encode_words(words)
+            first = self.memo.ids.rows
+            self.memo.add(found, new, [ids[w] for w in words])
+            row[new] = first + np.arange(len(new))
+        return row
+
+    def memo_sizes(self, found: PreTokens) -> np.ndarray:
+        """How many tokens each distinct pre-token has."""
+        row = self.rows(found)
+        return self.memo.ids.sizes(row)
 
     def encode_batch(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
-        out = [b""] * len(texts)
         split = [i for i, text in enumerate(texts) if self.splits(text)]
-        for i in set(range(len(texts))) - set(split):
-            ids = self.encode_whole([texts[i]])[0]
-            out[i] = struct.pack(f"<{len(ids)}I", *ids)
         parts: list[list[bytes]] = [[] for _ in texts]
+        for i in set(range(len(texts))) - set(split):
+            parts[i].append(self._whole(texts[i]))
         for owners, pieces in batched([(i, texts[i]) for i in split]):
-            found = PreTokens(pieces)
-            for i, ids in zip(owners, self._ids(found), strict=True):
+            for i, ids in zip(owners, self._ids(pieces), strict=True):
                 parts[i].append(ids)
-        for i in split:
-            out[i] = b"".join(parts[i])
-        return out
+        return [b"".join(p) for p in parts]
+
+    def _whole(self, text: str) -> bytes:
+        ids = self.encode_whole([text])[0]
+        return struct.pack(f"<{len(ids)}I", *ids)
 
-    def _ids(self, found: PreTokens) -> list[bytes]:
+    def _ids(self, texts: list[str]) -> list[bytes]:
         try:
-            known = [self.memo[w] for w in found.words]
-        except KeyError:
-            self.learn(set(found.words))
-            known = [self.memo[w] for w in found.words]
-        sizes = np.array([len(k) for k in known], np.int64) // 4
-        flat = np.frombuffer(b"".join(known), "<u4")
-        at = found.which
-        lengths = sizes[at]
-        ends = np.cumsum(lengths)
-        total = int(ends[-1]) if len(ends) else 0
-        first = (np.cumsum(sizes) - sizes)[at] - (ends - lengths)
-        ids = flat[np.repeat(first, lengths) + np.arange(total)].tobytes()
-        cuts = np.concatenate([[0], ends])[found.bounds] * 4
-        return [ids[a:b] for a, b in zip(cuts.tolist(), cuts[1:].tolist())]
+            found = PreTokens(texts)
+            row = self.rows(found)[found.which]
+        except HashClash:
+            return [self._whole(t) for t in texts]
+        ids, sizes = self.memo.ids.take(row)
+        data = ids.tobytes()
+        cuts = 4 * np.concatenate([[0], np.cumsum(sizes)])[found.bounds]
+        return [data[a:b] for a, b in zip(cuts.tolist(), cuts[1:].tolist())]
 
 
 def batched(texts: list[tuple[int, str]]) -> Iterator[tuple[list[int], list[str]]]:
@@ -187,24 +275,39 @@ def _classes() -> np.ndarray:
 class PreTokens:
     """The pre-tokens of several texts.
 
-    ``words`` are the distinct ones, ``which`` tells for each pre-token in order which of them
-    it is, and text ``i`` has those from ``bounds[i]`` to ``bounds[i + 1]``.
+    The distinct ones have ``hashes`` (ascending) and stand, among other places, from
+    ``starts`` to ``ends``; ``which`` tells for each pre-token in order which of them it is,
+    and text ``i`` has those from ``bounds[i]`` to ``bounds[i + 1]``.
     """
 
     def __init__(self, texts: list[str]) -> None:
-        joined = BETWEEN.join(texts) + 3 * BETWEEN  # a contraction looks two ahead
-        points = np.frombuffer(joined.encode("utf-32-le"), "<u4")
-        held = np.minimum(points, KNOWN)
-        kind = _classes()[held]
+        self.joined = BETWEEN.join(texts) + 3 * BETWEEN  # a contraction looks two ahead
+        self.points = points = np.frombuffer(self.joined.encode("utf-32-le"), "<u4")
+        kind = _classes()[np.minimum(points, KNOWN)]
         starts = np.flatnonzero(self._starts(points, kind))
         ends = np.append(starts[1:], len(points))
         real = kind[starts] != END
         self.bounds = np.concatenate([[0], np.cumsum(real)[~real]])[: len(texts) + 1]
         starts, ends = starts[real], ends[real]
-        hashes = Spans(points).hashes(starts, ends)
-        _, first, self.which = np.unique(hashes, return_index=True, return_inverse=True)
-        spans = zip(starts[first].tolist(), ends[first].tolist(), strict=True)
-        self.words = [joined[a:b] for a, b in spans]
+        self.hashes, first, self.which = np.unique(
+            Spans(points).hashes(starts, ends), return_index=True, return_inverse=True
+        )
+        self.starts, self.ends = starts[first], ends[first]
+
+    def only(self, some: np.ndarray) -> PreTokens:
+        """Some of the distinct ones, without their places."""
+        part = copy.copy(self)
+        part.hashes = self.hashes[some]
+        part.starts, part.ends = self.starts[some], self.ends[some]
+        return part
+
+    def words(self, some: np.ndarray) -> list[str]:
+        spans = zip(self.starts[some].tolist(), self.ends[some].tolist(), strict=True)
+        return [self.joined[a:b] for a, b in spans]
+
+    def characters(self, some: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        sizes = self.ends[some] - self.starts[some]
+        return self.points[along(self.starts[some], sizes)], sizes
 
     @staticmethod
     def _starts(points: np.ndarray, kind: np.ndarray) -> np.ndarray:

@@ -26,16 +26,17 @@ LIMIT = 1024
 
 class TokenCounter:
     def __init__(self, path: str, memo: int = byte_bpe.MEMO) -> None:
-        self.bpe = byte_bpe.ByteBpe(path)
+        self.bpe = byte_bpe.ByteBpe(path, memo)
         self.whole = self._prove()
-        self.most = memo
-        self.merged: dict[str, int] = {}
+        self.table = byte_bpe.Memo()
+        known = byte_bpe.PreTokens(sorted(self.whole))
+        self.table.add(known, np.arange(len(known.hashes)), [b""] * len(known.hashes))
 
     def _prove(self) -> frozenset[str]:
         """Vocabulary strings that are one pre-token and that encode alone as one token."""
         library = self.bpe.library
         strings = {library.decode([i]) for i in range(library.get_vocab_size())}
-        single = [s for s in strings if self.bpe.splits(s) and byte_bpe.PRE_TOKEN.fullmatch(s)]
+        single = [s for s in strings if self.bpe.splits(s)]
         single = [s for s in single if byte_bpe.PRE_TOKEN.findall(s) == [s]]
         counts = map(len, self.bpe.encode_whole(single))
         return frozenset(s for s, n in zip(single, counts, strict=True) if n == 1)
@@ -46,25 +47,18 @@ class TokenCounter:
         for i in set(range(len(texts))) - set(split):
             out[i] = len(self.bpe.encode_whole([texts[i]])[0])
         for owners, pieces in byte_bpe.batched([(i, texts[i]) for i in split]):
-            found = byte_bpe.PreTokens(pieces)
-            each = self._each(found.words)
-            total = np.concatenate([[0], np.cumsum(each[found.which])])[found.bounds]
-            np.add.at(out, owners, np.diff(total))
+            np.add.at(out, owners, self._counts(pieces))
         return out
 
-    def _each(self, words: list[str]) -> np.ndarray:
-        """Tokens of each pre-token: one if it is a whole token, else what merging leaves."""
-        rest = [w for w in words if w not in self.whole]
-        if any(w not in self.merged for w in rest):
-            self._merge(set(rest))
-        merged = self.merged
-        return np.array([1 if w in self.whole else merged[w] for w in words], np.int64)
-
-    def _merge(self, words: set[str]) -> None:
-        if len(self.merged) + len(words) > self.most:
-            self.merged = {}
-        new = [w for w in words if w not in self.merged]
-        self.merged.update((w, len(ids) // 4) for w, ids in self.bpe.encode_words(new))
+    def _counts(self, texts: list[str]) -> np.ndarray:
+        try:
+            found = byte_bpe.PreTokens(texts)
+            each = np.ones(len(found.hashes), np.int64)
+            rest = np.flatnonzero(self.table.find(found) < 0)  # not whole tokens
+            each[rest] = self.bpe.memo_sizes(found.only(rest))
+        except byte_bpe.HashClash:
+            return np.array([len(ids) for ids in self.bpe.encode_whole(texts)], np.int64)
+        return np.diff(np.concatenate([[0], np.cumsum(each[found.which])])[found.bounds])
 
 
 @functools.cache

@@ -31,7 +31,8 @@ class _Powers:
 
     def reach(self, n: int) -> None:
         if n > len(self.up):
-            self.up, self.down = _powers(BASE, 2 * n), _powers(_INVERSE, 2 * n)
+            n += n // 4
+            self.up, self.down = _powers(BASE, n), _powers(_INVERSE, n)
 
 
 _POWERS = _Powers()
