@@ -53,6 +53,28 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+# rows below this size are not worth a filter; by default Spark waits for 10 GB
+FILTERED = "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold"
+
+
+def rows_of(df: DataFrame, column: str, wanted: DataFrame, label: str) -> DataFrame:
+    """The rows of ``df`` whose ``column`` is among the ``wanted``, as a stored table.
+
+    ``wanted`` is a stored table of distinct numbers in a column of that name. Spark then drops
+    most other rows with a Bloom filter of bounded size before they are shuffled; a filter that
+    is too small for its numbers lets more rows pass, and the join removes them.
+    """
+    spark = df.sparkSession
+    before = spark.conf.get(FILTERED)
+    spark.conf.set(FILTERED, "0")
+    try:
+        # always true for a number; Spark makes such a filter only from a side with a condition
+        some = wanted.filter(F.col(column) >= F.lit(-(1 << 62) * 2))
+        return stored(df.join(some, column, "left_semi"), label)
+    finally:
+        spark.conf.set(FILTERED, before)
+
+
 def whole(text: str) -> Column:
     """A text column with NULL as the empty text."""
     return F.coalesce(F.col(text), F.lit(""))

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from faremill.llm.common import stored, whole
+from faremill.llm.common import rows_of, stored, whole
 from faremill.llm.components import components
 from faremill.llm.word_hash import mix, word_hashes
 
@@ -314,10 +314,13 @@ def _links(
     pairs = pairs.select(
         F.least("id", "lead").alias("a"), F.greatest("id", "lead").alias("b")
     ).distinct()
-    links = stored(_verified(stored(pairs, "near-pairs"), texts, least, words), "near-links")
+    pairs = stored(pairs, "near-pairs")
+    ends = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id")))
+    ends = stored(ends.distinct(), "near-ends")
+    texts = rows_of(texts, "id", ends, "near-texts")
+    links = stored(_verified(pairs, texts, least, words), "near-links")
     dealt = _crossing(bands, groups, components(links), block)
-    wanted = dealt.select("id").distinct().join(texts, "id").join(bands_of, "id")
-    rows = dealt.join(wanted, "id")
+    rows = dealt.join(texts, "id").join(bands_of, "id")
 
     def compare(group: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame(_compare(group, least, words), columns=["a", "b"], dtype="int64")
