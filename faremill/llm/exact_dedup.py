@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from faremill.llm.common import parts_for, stored, whole
+from faremill.llm.common import parts_for, rows_of, stored, whole
 
 # The characters that are deleted before texts are compared.
 DELETED = " \t\n\x0b\f\r"
@@ -195,9 +195,10 @@ def find_copies(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataF
     bitmaps = _bitmaps(runs.select("run", "owner", "n", "k", "code", "counts"))
     flagged = stored(_flagged(runs, bitmaps), "dedup-rows")
     suspects = flagged.filter("suspect")
-    # the texts of suspects only; how their keys are joined is Catalyst's choice by size
-    wanted = suspects.select(F.col("key").alias("_key")).distinct()
-    texts = rows.join(wanted, F.col("key").eqNullSafe(F.col("_key")), "left_semi")
+    # the texts of suspects only; rows without a key cannot be looked up and all come along
+    wanted = suspects.filter(F.col("key").isNotNull()).select("key").distinct()
+    texts = rows_of(rows, "key", stored(wanted, "dedup-suspects"), "dedup-texts")
+    texts = texts.unionByName(rows.filter(F.col("key").isNull()))
     best = F.max_by(
         "key",
         F.struct(
