@@ -10,6 +10,10 @@ solved once while it is remembered:
   cost at best, exactly; so complete segmentations leave the queue in the order of their
   scores, and the search ends after the nth.
 
+Parts are looked at many at once. Scores from both ends show what the best segmentation
+without a certain piece loses; where that is too much for the texts, the best one is enough
+and no queue is needed.
+
 A text's n best follow from those of its parts: at most n - 1 parts deviate from their best,
 and only the n - 1 deviations that lose least can take part. So once frequent parts are known,
 the losses they offer a text bound what is worth finding in its other parts.
@@ -40,9 +44,9 @@ from faremill.llm.word_hash import Spans
 
 MODEL = "piece_bpe_32k.model"
 NBEST = 4
-MEMO = 800_000  # parts that a worker remembers
+MEMO = 1_000_000  # parts that a worker remembers
 FREQUENT = 4000  # parts of a batch that are searched without a limit
-BATCH_CHARS = 1 << 21
+BATCH_CHARS = 1 << 20
 LONGEST = 256  # longer parts are solved by lists: a queue would copy long rows of ids
 UNKNOWN_LOSS = 10.0  # an unknown character scores so much less than the worst piece
 SPACE = "▁"
@@ -64,8 +68,8 @@ class Solved:
         self.best, self.limit = np.empty(0), np.empty(0)
         self.loss = np.empty((0, nbest))
         self.start = np.empty((0, nbest), np.int64)
-        self.size = np.empty((0, nbest), np.int64)
-        self.rank = np.empty((0, nbest), np.int64)
+        self.size = np.empty((0, nbest), np.int32)
+        self.rank = np.empty((0, nbest), np.int16)
 
     def add(self, found: list[tuple[float, tuple[int, ...]]], limit: float) -> tuple:
         """A row; ids come reversed."""
@@ -83,18 +87,35 @@ class Solved:
 
     def put(self, parts: list[str], rows: list[tuple]) -> None:
         """Append rows of new parts, and replace those of known ones."""
-        if not parts:
-            return
-        at = np.array([self.number.setdefault(p, len(self.number)) for p in parts], np.int64)
-        columns = zip(*rows, strict=True)
-        for name, new in zip(("best", "limit", "loss", "start", "size", "rank"), columns):
+        if parts:
+            self._put(parts, *(np.array(c) for c in zip(*rows, strict=True)))
+
+    def put_best(
+        self, parts: list[str], best: np.ndarray, limit: np.ndarray, ids: np.ndarray, size: np.ndarray
+    ) -> None:
+        """Parts of which only the best segmentation is within the limit; ``ids`` of one part
+        after the other."""
+        many = np.zeros((len(parts), self.nbest), np.int64)
+        loss = np.full(many.shape, np.inf)
+        loss[:, 0] = 0
+        start, sizes = many.copy(), many.copy()
+        start[:, 0] = len(self.flat) + np.cumsum(size) - size
+        sizes[:, 0] = size
+        self.flat.frombytes(ids.astype("<u4").tobytes())
+        self._put(parts, best, limit, loss, start, sizes, many)
+
+    def _put(self, parts: list[str], *columns: np.ndarray) -> None:
+        number = self.number
+        at = np.array([number.setdefault(p, len(number)) for p in parts], np.int64)
+        names = ("best", "limit", "loss", "start", "size", "rank")
+        for name, new in zip(names, columns, strict=True):
             old = getattr(self, name)
-            if len(self.number) > len(old):
-                more = np.empty((2 * len(self.number), *old.shape[1:]), old.dtype)
+            if len(number) > len(old):
+                more = np.empty((len(number) + len(number) // 2, *old.shape[1:]), old.dtype)
                 more[: len(old)] = old
                 old = more
                 setattr(self, name, old)
-            old[at] = np.array(new, old.dtype)
+            old[at] = new
 
 
 class Pieces:
@@ -124,6 +145,8 @@ class Pieces:
         self.index = hashes[order]
         scores = [math.nan if known is None else known[1] for known in self.begun.values()]
         self.index_scores = np.array(scores)[order]
+        ids = [0 if known is None else known[0] for known in self.begun.values()]
+        self.index_ids = np.array(ids)[order]
         self.unknown = min((s for _, s in self.vocabulary.values()), default=0.0) - UNKNOWN_LOSS
         self.bytes = {
             int(p.id_to_piece(i)[1:-1], 16): i
@@ -166,52 +189,32 @@ class Pieces:
             return [(score, self._expanded(part, ids[::-1])[::-1]) for score, ids in found]
         return found
 
-    def forward(
-        self, spans: Spans, starts: np.ndarray, ends: np.ndarray
-    ) -> list[list[float]]:
-        """For each part the best score from its start to every place, by Viterbi; for all
-        parts of about one length at once. Long parts get none."""
-        lengths = ends - starts
-        out: list[list[float]] = [[]] * len(starts)
+    def solve_all(
+        self, spans: Spans, parts: list[str], starts: np.ndarray, limits: np.ndarray
+    ) -> None:
+        """Solve parts that stand at ``starts``, each up to its limit, and keep the results."""
+        lengths = np.array([len(p) for p in parts], np.int64)
+        solved, nothing = self.solved, np.empty(0)
         order = np.argsort(-lengths, kind="stable")
-        order = order[lengths[order] <= LONGEST]
         magnitude = np.ceil(np.log2(np.maximum(lengths[order], 1))).astype(int)
+        magnitude[lengths[order] > LONGEST] = 99
         for size in np.unique(magnitude):
             group = order[magnitude == size]
-            best = self._forward_group(spans, starts[group], lengths[group])
-            for k, row, n in zip(group.tolist(), best.tolist(), lengths[group].tolist()):
-                out[k] = row[: n + 1]
-        return out
-
-    def _forward_group(
-        self, spans: Spans, starts: np.ndarray, lengths: np.ndarray
-    ) -> np.ndarray:
-        """Lengths descend, so the parts that reach a place come first."""
-        most = int(lengths[0])
-        best = np.full((len(starts), most + 1), -np.inf)
-        best[:, 0] = 0
-        for i in range(most):
-            count = int(np.searchsorted(-lengths, -i, "left"))
-            single = np.zeros(count, bool)
-            live = np.arange(count)
-            for n in range(1, min(self.longest, most - i) + 1):
-                live = live[lengths[live] >= i + n]
-                if not len(live):
-                    break
-                at = starts[live] + i
-                hashes = spans.hashes(at, at + n)
-                entry = np.minimum(np.searchsorted(self.index, hashes), len(self.index) - 1)
-                begun = self.index[entry] == hashes
-                live, scores = live[begun], self.index_scores[entry[begun]]
-                ends = ~np.isnan(scores)
-                rows = live[ends]
-                through = best[rows, i] + scores[ends]
-                best[rows, i + n] = np.maximum(best[rows, i + n], through)
-                if n == 1:
-                    single[rows] = True
-            rows = np.flatnonzero(~single)
-            best[rows, i + 1] = np.maximum(best[rows, i + 1], best[rows, i] + self.unknown)
-        return best
+            if size == 99:
+                rest, best = group.tolist(), [nothing] * len(group)
+            else:
+                places = Places(self, spans, starts[group], lengths[group])
+                alone, ids, sizes = places.alone(limits[group])
+                some = group[alone]
+                total = places.total[alone]
+                solved.put_best([parts[k] for k in some], total, limits[some], ids, sizes)
+                rest = group[~alone].tolist()
+                best = places.best[~alone].tolist()
+            rows = [
+                solved.add(self.solve(parts[k], row, limits[k]), limits[k])
+                for k, row in zip(rest, best, strict=True)
+            ]
+            solved.put([parts[k] for k in rest], rows)
 
     def _into(self, part: str, at: int) -> list[tuple[int, int, float]]:
         """The pieces that end at a place: (start, id, score). An unknown character gets an id
@@ -299,7 +302,8 @@ class Pieces:
         parts: list[str],
         which: np.ndarray,
         bounds: np.ndarray,
-        forward: Callable[[list[int]], list[list[float]]],
+        spans: Spans,
+        starts: np.ndarray,
     ) -> np.ndarray:
         """The parts' numbers, solved as far as the texts that they stand in need them."""
         if len(self.solved.number) + len(parts) > self.most:
@@ -307,11 +311,7 @@ class Pieces:
         solved = self.solved
         frequent = np.argsort(-np.bincount(which, minlength=len(parts)))[:FREQUENT]
         new = [k for k in frequent.tolist() if parts[k] not in solved.number]
-        rows = [
-            solved.add(self.solve(parts[k], best), math.inf)
-            for k, best in zip(new, forward(new), strict=True)
-        ]
-        solved.put([parts[k] for k in new], rows)
+        self.solve_all(spans, [parts[k] for k in new], starts[new], np.full(len(new), np.inf))
         at = np.array([solved.number.get(p, -1) for p in parts], np.int64)
         need = np.zeros(len(parts))
         for a, b in zip(bounds.tolist(), bounds[1:].tolist()):
@@ -322,12 +322,8 @@ class Pieces:
             most = np.partition(losses, n)[n] if 0 <= n < len(losses) else math.inf
             need[own] = np.maximum(need[own], most)
         searched = np.where(at >= 0, solved.limit[np.maximum(at, 0)], -1.0)
-        open_ = np.flatnonzero(searched < need).tolist()
-        rows = [
-            solved.add(self.solve(parts[k], best, need[k]), need[k])
-            for k, best in zip(open_, forward(open_), strict=True)
-        ]
-        solved.put([parts[k] for k in open_], rows)
+        open_ = np.flatnonzero(searched < need)
+        self.solve_all(spans, [parts[k] for k in open_.tolist()], starts[open_], need[open_])
         return np.array([solved.number[p] for p in parts], np.int64)
 
     # --- texts --------------------------------------------------------------------------
@@ -363,11 +359,7 @@ class Pieces:
         )
         starts, ends = starts[first], ends[first]
         words = [joined[a:b] for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
-
-        def forward(some: list[int]) -> list[list[float]]:
-            return self.forward(spans, starts[some], ends[some])
-
-        which = self.numbers(words, which, bounds, forward)[which]
+        which = self.numbers(words, which, bounds, spans, starts)[which]
         solved = self.solved
         size = solved.size[which, 0]
         ends = np.cumsum(size)
@@ -439,6 +431,80 @@ class Pieces:
         return text[1:] if text[:1] == b" " else text
 
 
+class Places:
+    """Scores of parts of about one length, longest first, for all of them at once.
+
+    ``best`` holds the best score from a part's start to every place, by Viterbi.
+    """
+
+    def __init__(
+        self, pieces: Pieces, spans: Spans, starts: np.ndarray, lengths: np.ndarray
+    ) -> None:
+        most = int(lengths[0])
+        self.lengths = lengths
+        self.best = best = np.full((len(starts), most + 1), -np.inf)
+        best[:, 0] = 0
+        self.unknown = np.zeros(len(starts), bool)
+        # per start and size of a piece: the parts that hold it, its score and its id
+        self.edges: list[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]] = []
+        index = pieces.index
+        for i in range(most):
+            count = int(np.searchsorted(-lengths, -i, "left"))
+            single = np.zeros(count, bool)
+            live = np.arange(count)
+            for n in range(1, min(pieces.longest, most - i) + 1):
+                live = live[lengths[live] >= i + n]
+                if not len(live):
+                    break
+                at = starts[live] + i
+                hashes = spans.hashes(at, at + n)
+                entry = np.minimum(np.searchsorted(index, hashes), len(index) - 1)
+                begun = index[entry] == hashes
+                live, entry = live[begun], entry[begun]
+                scores = pieces.index_scores[entry]
+                whole = ~np.isnan(scores)
+                rows, scores = live[whole], scores[whole]
+                best[rows, i + n] = np.maximum(best[rows, i + n], best[rows, i] + scores)
+                self.edges.append((i, n, rows, scores, pieces.index_ids[entry[whole]]))
+                if n == 1:
+                    single[rows] = True
+            rows = np.flatnonzero(~single)
+            self.unknown[rows] = True
+            best[rows, i + 1] = np.maximum(best[rows, i + 1], best[rows, i] + pieces.unknown)
+        self.total = best[np.arange(len(starts)), lengths]
+
+    def alone(self, limits: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Which parts have one best segmentation and no other that loses ``limits`` at most;
+        the ids of these, part after part, and how many each has.
+
+        A segmentation that is not the best holds a piece that the best does not hold, and
+        loses at least what the best one through that piece loses.
+        """
+        count = len(self.lengths)
+        if np.isinf(limits).all():
+            return np.zeros(count, bool), np.empty(0, np.int64), np.empty(0, np.int64)
+        onward = np.full(self.best.shape, -np.inf)
+        onward[np.arange(count), self.lengths] = 0
+        for i, n, rows, scores, _ in reversed(self.edges):
+            onward[rows, i] = np.maximum(onward[rows, i], scores + onward[rows, i + n])
+        covered, next_ = np.zeros(count, np.int64), np.full(count, np.inf)
+        taken = []
+        for i, n, rows, scores, ids in self.edges:
+            loss = self.total[rows] - (self.best[rows, i] + scores + onward[rows, i + n])
+            on = loss == 0
+            covered[rows[on]] += n
+            taken.append((rows[on], ids[on]))
+            off = rows[~on]
+            next_[off] = np.minimum(next_[off], loss[~on])
+        rounding = 1e-9 * np.abs(self.total)
+        alone = ~self.unknown & (covered == self.lengths) & (next_ > limits + rounding)
+        rows = np.concatenate([t[0] for t in taken])
+        ids = np.concatenate([t[1] for t in taken])
+        rows, ids = rows[alone[rows]], ids[alone[rows]]
+        order = np.argsort(rows, kind="stable")  # pieces come by their starts
+        return alone, ids[order], np.bincount(rows, minlength=count)[alone]
+
+
 @functools.cache
 def classes() -> np.ndarray:
     """Class by code point: 0 between texts, 1 space, 2 letter, 3 number, 4 other."""
