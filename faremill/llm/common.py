@@ -49,7 +49,7 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     evaluation could deliver in another order (partition numbers, arrival order).
     """
     path = workspace(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

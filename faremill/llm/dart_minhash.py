@@ -223,11 +223,9 @@ def _groups(bands: DataFrame) -> DataFrame:
     return groups.filter("n > 1").select("band", lead, "n")
 
 
-def _crossing(
-    bands: DataFrame, groups: DataFrame, labels: DataFrame, block: int
-) -> DataFrame:
+def _crossing(shared: DataFrame, labels: DataFrame, block: int) -> DataFrame:
     """Members of bands that several components share, dealt to pairs of blocks."""
-    large = bands.join(groups.filter("n > 2").select("band", "n"), "band")
+    large = shared.filter("n > 2").drop("lead")
     members = large.join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
     members = stored(members, "near-members")
     open_ = members.groupBy("band").agg(
@@ -309,9 +307,9 @@ def _links(
 ) -> DataFrame:
     """(a, b): enough links between representatives to connect all that are similar."""
     bands = bands_of.select("id", F.explode("bands").alias("band"))
-    groups = stored(_groups(bands), "near-groups")
-    pairs = bands.join(groups, "band").filter("id <> lead")
-    pairs = pairs.select(
+    # most bands hold one text; what follows reads the others only
+    shared = stored(bands.join(_groups(bands), "band"), "near-shared")
+    pairs = shared.filter("id <> lead").select(
         F.least("id", "lead").alias("a"), F.greatest("id", "lead").alias("b")
     ).distinct()
     pairs = stored(pairs, "near-pairs")
@@ -319,7 +317,7 @@ def _links(
     ends = stored(ends.distinct(), "near-ends")
     texts = rows_of(texts, "id", ends, "near-texts")
     links = stored(_verified(pairs, texts, least, words), "near-links")
-    dealt = _crossing(bands, groups, components(links), block)
+    dealt = _crossing(shared, components(links), block)
     rows = dealt.join(texts, "id").join(bands_of, "id")
 
     def compare(group: pd.DataFrame) -> pd.DataFrame:
