@@ -32,7 +32,7 @@ FILTERS = 8
 WIDTHS = (1, 2, 3)
 PREFIXES = (4, 5, 6)  # bytes
 PIECE = 1 << 16  # words that are scored at once
-SAMPLE = {1: 3000, 0: 5000}  # most labelled rows of each class that training takes
+SAMPLE = {1: 3000, 0: 5000}  # most labelled keys of each class, one row each, to train on
 UPDATES = 2000  # steps of training, whatever the size of the sample,
 EPOCHS = 30  # but at most so many passes over it
 SPREAD = 0.05  # of the embeddings before training
@@ -284,8 +284,10 @@ def train_model(
     """Fit on a bounded sample: of each class the rows with the smallest hashes of their keys.
 
     Only labelled rows outside the held-out fold are considered, with NULL keys and labels left
-    out; a key with several labels is toxic if any of them says so. Whole texts are used, a
-    NULL text as empty. Without labels the model scores by chance near 0.
+    out; a key with several labels is toxic if any of them says so. A key that several rows
+    share is learned from one of them, that with the smallest hash of its text, so the one task
+    that fits gets no more rows than the sample has keys, however hot a key is. Whole texts are
+    used, a NULL text as empty. Without labels the model scores by chance near 0.
     """
     sample = sample or SAMPLE
     usable = labels.filter(
@@ -304,7 +306,10 @@ def train_model(
         whole(text).alias("text"),
         F.col(lang).cast("string").alias("lang"),
     )
-    rows = rows.join(F.broadcast(keys), "key").repartition(1).sortWithinPartitions("key", "text")
+    one = F.min(F.struct(F.xxhash64("text").alias("hash"), "text", "lang")).alias("one")
+    rows = rows.join(F.broadcast(keys), "key").groupBy("key", "y").agg(one)
+    rows = rows.select("key", "y", "one.text", "one.lang").repartition(1)
+    rows = rows.sortWithinPartitions("key")
 
     def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = [r for b in batches for r in b.to_pylist()]

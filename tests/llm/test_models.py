@@ -11,6 +11,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 import sentencepiece
+from pyspark.sql import functions as F
 
 from faremill.llm import pieces, toxicity
 from faremill.llm.common import prepare
@@ -165,6 +166,18 @@ def test_held_out_labels_are_never_learned(spark, trained):
     assert (other.embeddings == model.embeddings).all() and other.shift == model.shift
 
 
+def test_a_hot_key_is_learned_from_one_row(spark):
+    rows, labels = corpus(400, seed=4)
+    hot = next(i for i, _, bad in labels if bad and zlib.crc32(str(i).encode()) % 4 != 2)
+    copies = [(hot, f"{rows[hot][1]} more{k % 700}", "en", "x") for k in range(1000)]
+    docs = spark.createDataFrame([r for r in rows if r[0] != hot] + copies, DOCS).repartition(6)
+    one = docs.filter(f"doc_id = {hot}").orderBy(F.xxhash64("text")).limit(1)
+    alone = docs.filter(f"doc_id <> {hot}").unionByName(one)
+    table = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    got, want = toxicity.train_model(docs, table), toxicity.train_model(alone, table)
+    assert (got.embeddings == want.embeddings).all() and got.shift == want.shift
+
+
 def test_the_score_is_the_texts_alone(spark, trained):
     docs, _, model = trained
     moved = docs.selectExpr("doc_id + 7 as doc_id", "text", "'zz' as lang", "score")
