@@ -7,7 +7,7 @@ which Platt scaling turns into a probability. Thresholds for rejecting are calib
 language; the language is no input of a score, and neither are key, source or labels.
 
 Training takes a bounded sample of the labelled rows outside the held-out fold and runs in one
-task. For scoring, embeddings and filters are multiplied beforehand: the response at a place
+task. The thresholds come from a histogram of the scores of all labelled rows outside that fold. For scoring, embeddings and filters are multiplied beforehand: the response at a place
 is a sum of table rows, so a text costs a few gathers a word.
 """
 
@@ -42,6 +42,7 @@ RATE = 0.2
 HELD_OUT = 2  # the fold, of crc32(key) mod 4
 CUT = 0.3
 CUTS = (0.3, 0.9)  # thresholds by language stay within
+BINS = 1024  # of the histogram of scores; a power of two, so that its edges are exact
 
 
 @dataclass
@@ -125,7 +126,7 @@ def train(
     """A model from a sample; ``prior`` is the share of toxic rows among all labelled ones.
 
     A quarter of the sample does not train the network: it calibrates the scores, weighted to
-    the prior, and the thresholds by language.
+    the prior. The languages are no input of it.
     """
     rng = np.random.default_rng(seed)
     ids = [buckets(t) for t in texts]
@@ -147,13 +148,6 @@ def train(
     prior = min(max(prior, 1e-3), 1 - 1e-3)
     weight = np.where(y[hold] > 0, prior / max(share, 1e-9), (1 - prior) / max(1 - share, 1e-9))
     model.slope, model.shift = _platt(logits, y[hold], weight, prior)
-    scores = 1 / (1 + np.exp(-np.clip(model.slope * logits + model.shift, -40, 40)))
-    held_langs = np.array([langs[i] or "" for i in hold], object)
-    model.thresholds[""] = _threshold(scores, y[hold], weight)
-    for lang in set(held_langs) - {""}:
-        at = held_langs == lang
-        if min(y[hold][at].sum(), (1 - y[hold][at]).sum()) >= 10:
-            model.thresholds[lang] = _threshold(scores[at], y[hold][at], weight[at])
     model.table = None
     return model
 
@@ -251,18 +245,18 @@ def _platt(
     return a, b
 
 
-def _threshold(scores: np.ndarray, y: np.ndarray, weight: np.ndarray) -> float:
-    """The cut with the best weighted F1; half way to the next lower score."""
-    order = np.argsort(-scores)
-    hits, taken = np.cumsum((weight * y)[order]), np.cumsum(weight[order])
-    total = (weight * y).sum()
-    if not total:
-        return CUT
-    at = int(np.argmax(2 * hits / (taken + total)))
-    last = scores[order][at]
-    below = scores[scores < last]
-    middle = (last + below.max()) / 2 if len(below) else last
-    return float(np.clip(middle, *CUTS))
+def _threshold(counts: np.ndarray) -> float | None:
+    """The cut with the best F1 for the rows by label and bin of score; half way to the next
+    lower bin that holds rows. None unless there are rows of both labels."""
+    total = counts[1].sum()
+    if not total or not counts[0].sum():
+        return None
+    rows = counts.sum(axis=0)
+    hits, taken = np.cumsum(counts[1, ::-1]), np.cumsum(rows[::-1])
+    at = BINS - 1 - int(np.argmax(2 * hits / (taken + total)))
+    below = np.flatnonzero(rows[:at])
+    lowest = below[-1] + 1 if len(below) else at
+    return float(np.clip((at + lowest) / 2 / BINS, *CUTS))
 
 
 # --- Spark ----------------------------------------------------------------------------
@@ -280,6 +274,7 @@ def train_model(
     lang: str = "lang",
     label: str = "toxic",
     sample: dict[int, int] | None = None,
+    thresholds: bool = True,
 ) -> Model:
     """Fit on a bounded sample: of each class the rows with the smallest hashes of their keys.
 
@@ -288,6 +283,11 @@ def train_model(
     share is learned from one of them, that with the smallest hash of its text, so the one task
     that fits gets no more rows than the sample has keys, however hot a key is. Whole texts are
     used, a NULL text as empty. Without labels the model scores by chance near 0.
+
+    Unless ``thresholds`` is false, all labelled rows outside the held-out fold, the sample's
+    among them, are scored for the thresholds: each language's is the best for F1 on its rows. A
+    language that lacks toxic or other labelled rows, and a NULL or empty one, gets the general
+    threshold, of the rows of all languages; if those lack one label it is ``CUT``.
     """
     sample = sample or SAMPLE
     usable = labels.filter(
@@ -301,13 +301,13 @@ def train_model(
         for y, n in sample.items()
     ]
     keys = stored(chosen[0].unionByName(chosen[1]), "toxicity-sample")  # bounded by ``sample``
-    rows = df.select(
+    documents = df.select(
         F.col(key).alias("key"),
         whole(text).alias("text"),
         F.col(lang).cast("string").alias("lang"),
     )
     one = F.min(F.struct(F.xxhash64("text").alias("hash"), "text", "lang")).alias("one")
-    rows = rows.join(F.broadcast(keys), "key").groupBy("key", "y").agg(one)
+    rows = documents.join(F.broadcast(keys), "key").groupBy("key", "y").agg(one)
     rows = rows.select("key", "y", "one.text", "one.lang").repartition(1)
     rows = rows.sortWithinPartitions("key")
 
@@ -321,7 +321,35 @@ def train_model(
         rows.select("text", "y", "lang").mapInArrow(fit, "model binary"), "toxicity-model"
     )
     found = fitted.first()
-    return pickle.loads(found["model"]) if found else train([""], [0], [None], 0.0)
+    if not found:
+        return train([""], [0], [None], 0.0)
+    model = pickle.loads(found["model"])
+    if thresholds:
+        model.thresholds = _thresholds(documents, usable, model)
+    return model
+
+
+def _thresholds(documents: DataFrame, usable: DataFrame, model: Model) -> dict[str, float]:
+    """The general threshold, under the empty text, and those of languages with both labels.
+
+    Texts are scored where they are read; what is joined to the labels are counts by key,
+    language and bin, so a hot key comes as few rows. The driver gets at most ``2 * BINS``
+    counts a language.
+    """
+    rows = documents.filter(F.col("key").isNotNull() & ~held_out(F.col("key")))
+    place = F.least(F.floor(_scorer(model)("text") * BINS), F.lit(BINS - 1)).cast("int")
+    counts = rows.select("key", F.coalesce("lang", F.lit("")).alias("lang"), place.alias("bin"))
+    counts = counts.groupBy("key", "lang", "bin").agg(F.count(F.lit(1)).alias("n"))
+    counts = counts.join(usable, "key").groupBy("lang", "y", "bin").agg(F.sum("n").alias("n"))
+    by_lang: dict[str, np.ndarray] = {}
+    general = np.zeros((2, BINS), np.int64)
+    for r in counts.collect():
+        own = by_lang.setdefault(r["lang"], np.zeros((2, BINS), np.int64))
+        own[r["y"], r["bin"]] += r["n"]
+        general[r["y"], r["bin"]] += r["n"]
+    by_lang[""] = general
+    found = {lang: _threshold(own) for lang, own in by_lang.items()}
+    return {"": CUT} | {lang: cut for lang, cut in found.items() if cut is not None}
 
 
 def score_documents(

@@ -198,6 +198,38 @@ def test_rejecting_keeps_columns_and_clean_documents(spark, trained):
     assert set(model.thresholds) == {"", "en", "de"}
 
 
+def test_rare_languages_get_thresholds_of_their_own(spark):
+    rows, labels = corpus(1500)
+    outside = [i for i, *_ in rows if zlib.crc32(str(i).encode()) % 4 != 2]
+    toxic = {i: bad for i, _, bad in labels}
+    rare = {i: "sv" for i in [i for i in outside if toxic[i]][:7] + [i for i in outside if not toxic[i]][:20]}
+    clean = {i: "it" for i in [i for i in outside if not toxic[i]][-30:]}
+    docs = spark.createDataFrame([(i, t, (clean | rare).get(i, lang), x) for i, t, lang, x in rows], DOCS)
+    table = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    model = toxicity.train_model(docs, table)
+    assert set(model.thresholds) == {"", "en", "de", "sv"}
+    scores = {r.doc_id: r.score for r in toxicity.score_documents(docs, model).collect()}
+    want = np.zeros((2, toxicity.BINS), np.int64)
+    for i in rare:
+        want[toxic[i], min(int(scores[i] * toxicity.BINS), toxicity.BINS - 1)] += 1
+    assert model.thresholds["sv"] == toxicity._threshold(want)
+
+
+def test_thresholds_have_the_best_f1():
+    rng = np.random.default_rng(5)
+    for _ in range(30):
+        scores = rng.integers(320, 910, 60) / 1024
+        y = (rng.random(60) < scores).astype(int)
+        counts = np.zeros((2, toxicity.BINS), np.int64)
+        np.add.at(counts, (y, (scores * toxicity.BINS).astype(int)), 1)
+
+        def f1(cut):
+            return 2 * (y * (scores >= cut)).sum() / ((scores >= cut).sum() + y.sum())
+
+        assert f1(toxicity._threshold(counts)) == max(f1(s) for s in scores)
+    assert toxicity._threshold(np.zeros((2, toxicity.BINS))) is None
+
+
 def test_edge_documents_get_scores(spark, trained):
     model = trained[2]
     df = edge_documents(spark)
