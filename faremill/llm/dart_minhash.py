@@ -15,7 +15,8 @@ computed exactly from the shingles. Links are then found in two steps:
    each band. That is linear in the size of a group, and joins most groups to one component.
 2. In bands whose texts are still in several components, texts of different components are
    compared with each other, block by block, each pair in the first band it shares. Texts
-   that are joined already are not compared, so a large group of copies costs little.
+   that are joined already are not compared, and those of a band's largest component meet only
+   the others in the band, so a large group of copies costs little.
 
 Texts with the same words are one text in all of this.
 """
@@ -224,20 +225,34 @@ def _groups(bands: DataFrame) -> DataFrame:
 
 
 def _crossing(shared: DataFrame, labels: DataFrame, block: int) -> DataFrame:
-    """Members of bands that several components share, dealt to pairs of blocks."""
+    """Members of bands that several components share, dealt to pairs of blocks.
+
+    Members outside the largest component of their band (``out`` of ``n``) are dealt to blocks
+    of their own, the first ones; each pair of blocks has one of these. So a member of the
+    largest component comes ``out / block`` times, another one ``n / block`` times, rounded up.
+    """
     large = shared.filter("n > 2").drop("lead")
     members = large.join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
     members = stored(members, "near-members")
-    open_ = members.groupBy("band").agg(
-        F.min("label").alias("_low"), F.max("label").alias("_high")
+    sizes = members.groupBy("band", "label").agg(F.count(F.lit(1)).alias("size"))
+    largest = F.max(F.struct("size", "label"))
+    open_ = sizes.groupBy("band").agg(largest.alias("_largest")).select(
+        "band", F.col("_largest.label").alias("main"), F.col("_largest.size").alias("size")
+    )
+    dealt = members.join(open_, "band").filter("size < n").withColumns(
+        {
+            "outer": F.ceil((F.col("n") - F.col("size")) / block).cast("long"),
+            "inner": F.ceil(F.col("size") / block).cast("long"),
+            "hash": F.xxhash64("id"),
+        }
     )
-    open_ = open_.filter("_low <> _high").select("band")
-    blocks = F.ceil(F.col("n") / block).cast("long")
-    dealt = members.join(open_, "band").withColumns(
-        {"blocks": blocks, "own": F.pmod(F.xxhash64("id"), blocks)}
+    inside = F.col("label") == F.col("main")
+    own = F.when(inside, F.col("outer") + F.pmod("hash", "inner")).otherwise(
+        F.pmod("hash", "outer")
     )
-    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
-    return dealt.withColumn("other", other).select(
+    last = F.col("outer") + F.when(inside, F.lit(0)).otherwise(F.col("inner")) - 1
+    other = F.explode(F.sequence(F.lit(0).cast("long"), last))
+    return dealt.withColumn("own", own).withColumn("other", other).select(
         "band",
         F.least("own", "other").alias("i"),
         F.greatest("own", "other").alias("j"),

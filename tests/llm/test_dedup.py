@@ -195,6 +195,26 @@ def test_a_hot_family(spark):
     assert {r.doc_id: r.class_id for r in got} == want
 
 
+@pytest.mark.parametrize("strays", [1, 25])
+def test_only_members_outside_the_largest_component_meet_all(spark, strays):
+    label = {i: 0 if i < 200 else i for i in range(200 + strays)}
+    n = len(label)
+    shared = spark.createDataFrame([(i, 7, 0, n) for i in label], "id long, band long, lead long, n long")
+    labels = spark.createDataFrame([(i, 0) for i in range(200)], "id long, label long")
+    dealt = dart_minhash._crossing(shared, labels, 10).collect()
+    assert len(dealt) == 200 * -(-strays // 10) + strays * (20 + -(-strays // 10))
+    groups = defaultdict(list)
+    for r in dealt:
+        assert r.label == label[r.id] and r.own in (r.i, r.j)
+        groups[r.i, r.j].append((r.id, r.own))
+    met = Counter()
+    for (i, j), members in groups.items():
+        for (a, x), (b, y) in itertools.combinations(sorted(members), 2):
+            if label[a] != label[b] and (i == j or x != y):
+                met[a, b] += 1
+    assert met == Counter((a, b) for a, b in itertools.combinations(label, 2) if label[a] != label[b])
+
+
 def test_edge_documents_have_classes(spark):
     df = edge_documents(spark)
     got = [tuple(r) for r in dart_minhash.near_duplicates(df).collect()]
