@@ -380,8 +380,8 @@ def near_duplicates(
     Texts are linked if the weighted Jaccard similarity of their shingles is at least
     ``least``, or if they have the same words; a class is what links connect. Its id is the
     smallest key in it, and the row with that key is kept (one of them, if keys repeat).
-    Words are runs of letters and digits in lower case; a text of fewer than ``words`` words
-    is one shingle. Texts without words, NULL as the empty one, are linked only if equal.
+    Words are runs of letters, marks and digits in lower case, single letters in scripts without
+    spaces (see ``word_hash``); a text of fewer than ``words`` words is one shingle. Texts without words, NULL as the empty one, are linked only if equal.
     NULL keys come last; an empty table gives an empty result. Keys are integers.
     """
     base = _based(df.select(F.col(key).alias("key"), F.col(text).alias("text")))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 import struct
+import unicodedata
 import zlib
 from collections import Counter
 
@@ -280,3 +281,40 @@ def test_words():
     assert (words.prefixes(99) == h).all()
     assert Words("abcdef abcxyz").prefixes(3)[0] == Words("abcdef abcxyz").prefixes(3)[1]
     assert len(Words("")) == 0 and len(Words("!?").hashes()) == 0
+
+
+def test_words_beyond_ascii():
+    plain = Words("the café isn t far").hashes().tolist()
+    for text in ("the\u00a0café\u3000isn’t far", "«The café» — ‘isn’t’… “far”", "the\u2003café、isn・t。far 🙂\ufe0f"):
+        assert Words(text).hashes().tolist() == plain, text
+    quoted, bare = Words("“vilezzard”"), Words("vilezzard")
+    assert (quoted.prefixes(4) == bare.prefixes(4)).all()
+    assert len(Words("日本語のテキスト。東京2025年")) == 8 + 2 + 1 + 1
+    assert len(Words("भाषा e\u0301te x\u0301")) == 3 and len(Words("ก\u0e34น abc")) == 3
+    assert Words("東京abc東").hashes().tolist() == Words("東 京 abc 東").hashes().tolist()
+    assert len(Words("“…” — 🙂")) == len(Words("\u00a0")) == 0
+    assert len(Words("a\ud800b é")) == 3
+
+
+def test_words_equal_a_loop_over_characters():
+    rng = random.Random(6)
+    signs = "aZ9_ -é\u0301ß«”\u00a0—日のーก\u0e34٣я🙂\u200d\ufe0f\u3000。İ"
+    for _ in range(2000):
+        text = "".join(rng.choices(signs, k=rng.randrange(0, 14)))
+        found = [[]]
+        for c in text.lower():
+            kind = unicodedata.category(c)[0]
+            if c == "\ufe0f" or kind not in "LMN":
+                found.append([])
+            elif kind == "M" or c in "٣9":
+                if kind != "M" and found[-1] and found[-1][0] in "日のーก":
+                    found.append([])
+                found[-1].append(c)
+            elif c in "日のーก" or (found[-1] and found[-1][0] in "日のーก"):
+                found.append([c])
+            else:
+                found[-1].append(c)
+        want = ["".join(w) for w in found if w]
+        data, words = text.lower().encode(), Words(text)
+        got = [data[a:b].decode() for a, b in zip(words.starts, words.ends, strict=True)]
+        assert got == want, text
