@@ -13,6 +13,7 @@ from faremill.llm.exact_dedup import find_copies
 from faremill.llm.kd_search import top_k
 from faremill.llm.packing import pack_documents
 from faremill.llm.pieces import encode_nbest
+from faremill.llm.secret_scan import scan_secrets
 from faremill.llm.token_counts import count_tokens
 from faremill.llm.token_files import write_tokens
 from faremill.llm.toxicity import score_documents, train_model
@@ -75,6 +76,10 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"))
 
 
+def op13_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_secrets(table(spark, sf_dir, "documents")).drop("findings")
+
+
 QUERIES: dict[str, Runner] = {
     "op1_kd_top_k": op1_kd_top_k,
     "op2_piece_nbest": op2_piece_nbest,
@@ -86,6 +91,7 @@ QUERIES: dict[str, Runner] = {
     "op8_token_files": op8_token_files,
     "op9_toxicity": op9_toxicity,
     "op10_token_counts": op10_token_counts,
+    "op13_secret_scan": op13_secret_scan,
 }
 
 # DuckDB statements, where SQL can express the operator

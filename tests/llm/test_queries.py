@@ -24,7 +24,7 @@ def test_same_answer(spark, sf_dir, name):
 def test_every_operator_is_registered():
     names = set(contract.queries())
     numbers = {int(m[1]) for n in names if (m := re.match(r"op(\d+)_", n))}
-    assert numbers == set(range(1, 11)) and "pipeline" in names
+    assert numbers == set(range(1, 14)) and "pipeline" in names
     assert [name for name, _ in corpus_pipeline.STAGES] == [
         "toxicity", "exact dedup", "MinHash near-dedup", "best-fit packing",
     ]
