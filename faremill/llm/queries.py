@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import string
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,6 +12,7 @@ from faremill.llm.common import table
 from faremill.llm.dart_minhash import near_duplicates
 from faremill.llm.exact_dedup import find_copies
 from faremill.llm.kd_search import top_k
+from faremill.llm.merkle import write_manifest
 from faremill.llm.packing import pack_documents
 from faremill.llm.pieces import encode_nbest
 from faremill.llm.secret_scan import scan_secrets
@@ -76,6 +78,17 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"))
 
 
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lower = F.translate("text", string.ascii_uppercase, string.ascii_lowercase)
+    manifest = write_manifest(
+        table(spark, sf_dir, "documents"),
+        workspace(spark, "manifest"),
+        altered={"text": lower},
+        where=F.crc32(F.col("doc_id").cast("string")) % 3 == 0,
+    )
+    return manifest.proofs()
+
+
 def op13_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_secrets(table(spark, sf_dir, "documents")).drop("findings")
 
@@ -91,6 +104,7 @@ QUERIES: dict[str, Runner] = {
     "op8_token_files": op8_token_files,
     "op9_toxicity": op9_toxicity,
     "op10_token_counts": op10_token_counts,
+    "op12_merkle_manifest": op12_merkle_manifest,
     "op13_secret_scan": op13_secret_scan,
 }
 
@@ -173,9 +187,83 @@ SELECT doc_id,
 FROM d
 """
 
+# a row number stands for the row, a dense number (0: the tree over them) for the language;
+# crc32 takes eight steps for each sign of the number
+_OP12 = """
+WITH RECURSIVE d AS (
+  SELECT doc_id, lang, text, coalesce(octet_length(encode(doc_id::VARCHAR)) || ':' || doc_id, '-')
+    || coalesce(octet_length(encode(source)) || ':' || source, '-')
+    || coalesce(octet_length(encode(lang)) || ':' || lang, '-')
+    || coalesce(octet_length(encode(n_chars::VARCHAR)) || ':' || n_chars, '-') AS head,
+    dense_rank() OVER (ORDER BY lang NULLS FIRST) AS k,
+    xor(4294967295, list_reduce(
+      [4294967295] || flatten([[ord(c), 0, 0, 0, 0, 0, 0, 0] FOR c IN split(doc_id::VARCHAR, '')]),
+      lambda crc, x: xor((xor(crc, x) >> 1), (xor(crc, x) & 1) * 3988292384))) % 3 = 0 AS altered
+  FROM documents
+),
+hashed AS (
+  SELECT *, sha256(head || coalesce(octet_length(encode(text)) || ':' || text, '-')) AS leaf,
+         translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS low
+  FROM d
+),
+leaves AS (
+  SELECT doc_id, k, leaf,
+         CASE WHEN altered THEN sha256(head || coalesce(octet_length(encode(low)) || ':' || low, '-'))
+              ELSE leaf END AS read_leaf,
+         row_number() OVER (ORDER BY k, doc_id, leaf) AS rn,
+         row_number() OVER (PARTITION BY k ORDER BY doc_id, leaf) - 1 AS pos,
+         count(*) OVER (PARTITION BY k) AS n
+  FROM hashed
+),
+lower_nodes(k, lvl, pos, n, h) AS (
+  SELECT k, 0, pos, n, leaf FROM leaves
+  UNION ALL
+  SELECT k, lvl + 1, pos // 8, (n + 7) // 8, sha256(string_agg(h, '' ORDER BY pos))
+  FROM lower_nodes WHERE n > 1 GROUP BY k, lvl, pos // 8, n
+),
+subroots AS (SELECT k, lvl, h, count(*) OVER () AS n FROM lower_nodes WHERE n = 1),
+upper_nodes(lvl, pos, n, h) AS (
+  SELECT 0, k - 1, n, h FROM subroots
+  UNION ALL
+  SELECT lvl + 1, pos // 8, (n + 7) // 8, sha256(string_agg(h, '' ORDER BY pos))
+  FROM upper_nodes WHERE n > 1 GROUP BY lvl, pos // 8, n
+),
+root AS (SELECT h AS root FROM upper_nodes WHERE n = 1),
+siblings AS (
+  SELECT rn, lvl, s.pos, s.h FROM leaves l JOIN lower_nodes s ON s.k = l.k AND s.n > 1
+    AND s.pos // 8 = l.pos // (8 ** (lvl + 1))::BIGINT AND s.pos <> l.pos // (8 ** lvl)::BIGINT
+  UNION ALL
+  SELECT rn, 1000 + lvl, s.pos, s.h FROM leaves l JOIN upper_nodes s ON s.n > 1
+    AND s.pos // 8 = (l.k - 1) // (8 ** (lvl + 1))::BIGINT AND s.pos <> (l.k - 1) // (8 ** lvl)::BIGINT
+),
+proofs AS (SELECT rn, sha256(string_agg(h, '' ORDER BY lvl, pos)) AS p FROM siblings GROUP BY rn),
+lower_fold(rn, k, lvl, pos, h) AS (
+  SELECT rn, k, 0, pos, read_leaf FROM leaves
+  UNION ALL
+  SELECT f.rn, f.k, f.lvl + 1, f.pos // 8,
+         sha256(string_agg(CASE WHEN s.pos = f.pos THEN f.h ELSE s.h END, '' ORDER BY s.pos))
+  FROM lower_fold f
+  JOIN lower_nodes s ON s.k = f.k AND s.lvl = f.lvl AND s.n > 1 AND s.pos // 8 = f.pos // 8
+  GROUP BY f.rn, f.k, f.lvl, f.pos
+),
+upper_fold(rn, lvl, pos, h) AS (
+  SELECT f.rn, 0, f.k - 1, f.h FROM lower_fold f JOIN subroots USING (k, lvl)
+  UNION ALL
+  SELECT f.rn, f.lvl + 1, f.pos // 8,
+         sha256(string_agg(CASE WHEN s.pos = f.pos THEN f.h ELSE s.h END, '' ORDER BY s.pos))
+  FROM upper_fold f JOIN upper_nodes s ON s.lvl = f.lvl AND s.n > 1 AND s.pos // 8 = f.pos // 8
+  GROUP BY f.rn, f.lvl, f.pos
+),
+folded AS (SELECT rn, arg_max(h, lvl) AS folded_root FROM upper_fold GROUP BY rn)
+SELECT doc_id, leaf, subroots.h AS subroot, root, coalesce(p, sha256('')) AS proof_sha256,
+       folded_root, folded_root = root AS verified
+FROM leaves JOIN subroots USING (k) JOIN folded USING (rn) LEFT JOIN proofs USING (rn), root
+"""
+
 SQL: dict[str, str] = {
     "op1_kd_top_k": _OP1,
     "op4_url_rules": _OP4,
     "op5_warc": _OP5,
     "op7_exact_dedup": _OP7,
+    "op12_merkle_manifest": _OP12,
 }
