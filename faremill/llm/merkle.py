@@ -280,18 +280,15 @@ class Manifest:
 
     def proofs(self, with_proof: bool = False) -> DataFrame:
         """One row per row of the dataset; see ``write_manifest``."""
-        top = _roots(self.spark, self.top_tiers).select(F.col("digest").alias("root"))
-        # one row: the tree over the groups is one tree, named by the empty text
-        whole = top.select(
-            F.lit("").alias("tree"),
+        # one row, as the groups' roots form one tree
+        top = _roots(self.spark, self.top_tiers).select(
+            "tree",
             F.lit(b"").alias("path"),
             F.lit(b"").alias("subroot"),
-            "root",
-        )
-        upper = _ways(self.spark, self.top_tiers, whole)
-        groups = self.group_order.select(
-            F.lit("").alias("tree"), "group", "digest", "pos", _block_of("pos")
+            F.col("digest").alias("root"),
         )
+        upper = _ways(self.spark, self.top_tiers, top)
+        groups = self.group_order.select("tree", "group", "digest", "pos", _block_of("pos"))
         tops = _along(groups, self.spark.read.schema(TIER).parquet(self.top_tiers[0]), upper)
         ways = _ways(self.spark, self.tiers, stored(tops, "merkle-tops"))
         blocks = self.spark.read.schema(TIER).parquet(self.tiers[0])

@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from faremill.llm.alignment import align_documents
 from faremill.llm.common import table
 from faremill.llm.dart_minhash import near_duplicates
 from faremill.llm.exact_dedup import find_copies
@@ -78,6 +79,10 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"))
 
 
+def op11_cross_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align_documents(table(spark, sf_dir, "documents"))
+
+
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     lower = F.translate("text", string.ascii_uppercase, string.ascii_lowercase)
     manifest = write_manifest(
@@ -104,6 +109,7 @@ QUERIES: dict[str, Runner] = {
     "op8_token_files": op8_token_files,
     "op9_toxicity": op9_toxicity,
     "op10_token_counts": op10_token_counts,
+    "op11_cross_alignment": op11_cross_alignment,
     "op12_merkle_manifest": op12_merkle_manifest,
     "op13_secret_scan": op13_secret_scan,
 }
