@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from faremill.functions.codes import PAYMENT_DESCRIPTIONS
 from faremill.operators import incremental as inc
+from faremill.operators.buckets import merge_bucketed
 from faremill.operators import quality as q
 from faremill.operators.joins import code_table
 from faremill.operators.writers import append, write, write_months, write_table
@@ -140,6 +141,13 @@ def build_marts(
     return built
 
 
+def merge_by_key(
+    spark: SparkSession, source: str, target: str, key: list[str], buckets: int
+) -> DataFrame:
+    """An increment into a table without a date column; only the buckets of its keys are touched."""
+    return merge_bucketed(read_parquet(spark, source), target, key, buckets)
+
+
 def refresh_interval(
     spark: SparkSession, base: str, output: str, services: list[str], start: dt.date, end: dt.date,
     extracted_at: dt.datetime,
@@ -209,6 +217,7 @@ def _arguments() -> argparse.ArgumentParser:
     job("hourly-report", "green", "yellow", "zones", "output", since="2020-01-01 00:00:00")
     job("convert-months", "service", "csv", "output")
     job("build-marts", "green", "yellow", "zones", "output", years="2019,2020")
+    job("merge-by-key", "source", "target", "key", buckets="64")
     job(
         "refresh-interval", "base", "output", "start", "end", "extracted_at",
         services="yellow,green",
@@ -222,6 +231,9 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
     name = options.pop("job")
     if "years" in options:
         options["years"] = [int(y) for y in options["years"].split(",")]
+    if name == "merge-by-key":
+        options["key"] = options["key"].split(",")
+        options["buckets"] = int(options["buckets"])
     if name == "refresh-interval":
         options["services"] = options["services"].split(",")
         options["start"] = dt.date.fromisoformat(options["start"])
@@ -232,6 +244,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
         "hourly-report": hourly_report,
         "convert-months": convert_months,
         "build-marts": build_marts,
+        "merge-by-key": merge_by_key,
         "refresh-interval": refresh_interval,
         "stream-rides": stream_rides,
     }[name]

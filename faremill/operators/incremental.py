@@ -254,13 +254,17 @@ def _swap_keys(
 def _replace_and_empty(
     rows: DataFrame, path: str, partition: str, directories: list, cluster_by: list[str] | None
 ) -> None:
-    """Replace these directories by ``rows``; those without any rows left are removed."""
+    """Replace these directories by ``rows``; those without any rows left are removed.
+
+    Which of them got rows is told by their files afterwards, so the rows are computed once.
+    """
     spark = rows.sparkSession
-    filled = set(_values(rows, partition))
+    names = [_directory(spark, partition, value) for value in directories]
+    before = {n: set(_children(spark, f"{path}/{n}")) for n in names}
     _replace_partitions(rows, path, partition, cluster_by)
-    for value in directories:
-        if value not in filled:
-            fs, empty = _fs(spark, f"{path}/{_directory(spark, partition, value)}")
+    for name, files in before.items():
+        if files and set(_children(spark, f"{path}/{name}")) == files:
+            fs, empty = _fs(spark, f"{path}/{name}")
             fs.delete(empty, True)
 
 

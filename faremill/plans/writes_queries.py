@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from faremill.operators import buckets
 from faremill.operators import incremental as inc
 from faremill.operators.rows import dedup
 from faremill.operators.writers import append
@@ -180,6 +181,41 @@ def schema_evolution(spark: SparkSession, sf_dir: str) -> DataFrame:
     return inc.merge(customer.filter(F.col("c_mktsegment") == "BUILDING"), path, ["c_custkey"])
 
 
+@query(
+    "K9 K14",
+    """SELECT c_custkey, CASE WHEN c_custkey % 7 = 3 THEN 'moved' ELSE c_mktsegment END AS c_mktsegment,
+              CASE WHEN c_custkey % 7 = 3 THEN c_acctbal END AS c_acctbal
+       FROM customer""",
+)
+def merge_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table without a date: some keys are updated, some added, with a new column; twice."""
+    path = workspace(spark, "merge-buckets")
+    customer = load(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment", "c_acctbal")
+    known = customer.filter(F.col("c_custkey") % 14 != 3).drop("c_acctbal")
+    buckets.merge_bucketed(known, path, ["c_custkey"])
+    changed = customer.filter(F.col("c_custkey") % 7 == 3).withColumn(
+        "c_mktsegment", F.lit("moved")
+    )
+    buckets.merge_bucketed(changed, path, ["c_custkey"])
+    return buckets.merge_bucketed(changed, path, ["c_custkey"])
+
+
+@query(
+    "K11",
+    """SELECT o_orderkey, o_custkey, o_orderpriority FROM orders
+       WHERE o_orderpriority = '1-URGENT'
+          OR o_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderpriority = '1-URGENT')""",
+)
+def delete_insert_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Several rows per key, in a table laid out by the key's buckets."""
+    path = workspace(spark, "delete-insert-buckets")
+    orders = load(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
+    buckets.create_bucketed(orders, path, ["o_custkey"])
+    urgent = orders.filter(F.col("o_orderpriority") == "1-URGENT")
+    buckets.delete_insert_bucketed(urgent, path, ["o_custkey"])
+    return buckets.delete_insert_bucketed(urgent, path, ["o_custkey"])
+
+
 _COPY_RANK = f"""row_number() OVER (PARTITION BY {", ".join(COPY_KEY)}
   ORDER BY extracted_at DESC NULLS LAST, {", ".join(f"{t} ASC NULLS LAST" for t in COPY_TIES)})"""
 
