@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from faremill.session import workspace
+from faremill.session import remove, workspace
 
 
 def dedup(
@@ -41,43 +43,51 @@ def dedup_by_file(df: DataFrame, keys: list[str], ties: list[str]) -> DataFrame:
     return dedup(named, keys, "source_file", "first", ties)
 
 
-def running_total(
-    df: DataFrame,
-    by: list[str],
-    order: list[str],
-    value: str,
-    name: str,
-    pieces: int | None = None,
-) -> DataFrame:
-    """Running sum of ``value`` per group, from the group's first row to the current one.
-
-    A plain window would sort a whole group in one task. Here the rows are cut into
-    ``pieces`` ranges of equal size along (group, order), whatever the sizes of the groups;
-    rows are summed inside their piece, and the group's earlier pieces are added, of which
-    there is one row each. ``pieces`` defaults to the session's shuffle partitions.
+@contextmanager
+def cut_in_ranges(
+    df: DataFrame, by: list[str], order: list[str], pieces: int | None = None
+) -> Iterator[DataFrame]:
+    """The rows cut into ``pieces`` ranges of equal size along (group, order), as ``_piece``.
 
-    The cut table is stored: the boundaries come from a sample, and both readers of the
-    pieces must see the same ones, also after a task is repeated.
+    ``pieces`` defaults to the session's shuffle partitions. The cut table is stored while it is
+    in use: the boundaries come from a sample, and both readers of the pieces must see the same
+    ones, also after a task is repeated.
     """
     spark = df.sparkSession
-    along = [F.col(c).asc_nulls_last() for c in order]
     count = pieces or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    along = [F.col(c).asc_nulls_last() for c in order]
     path = workspace(spark, "pieces")
-    (
-        df.repartitionByRange(count, *[F.col(c).asc() for c in by], *along)
-        .withColumn("_piece", F.spark_partition_id())
-        .write.parquet(path)
-    )
-    cut = spark.read.parquet(path)
+    try:
+        (
+            df.repartitionByRange(count, *[F.col(c).asc() for c in by], *along)
+            .withColumn("_piece", F.spark_partition_id())
+            .write.parquet(path)
+        )
+        yield spark.read.parquet(path)
+    finally:
+        remove(spark, path)
+
 
+def running(
+    cut: DataFrame, by: list[str], order: list[str], value: str, name: str, kind: str = "sum"
+) -> DataFrame:
+    """Running ``sum`` or ``max`` of ``value`` per group over rows of ``cut_in_ranges``.
+
+    From the group's first row to the current one. A plain window would sort a whole group in
+    one task; here rows are folded inside their piece, and the result of the group's earlier
+    pieces, of which there is one row each, is added. NULL values count as 0 in a sum and are
+    passed over by a maximum, which is NULL until there is a value.
+    """
+    fold = {"sum": F.sum, "max": F.max}[kind]
+    along = [F.col(c).asc_nulls_last() for c in order]
     parts = [*by, "_piece"]
     earlier = Window.partitionBy(*by).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         cut.groupBy(*parts)
-        .agg(F.sum(value).alias("_sum"))
+        .agg(fold(value).alias("_folded"))
         .select(
             *[F.col(c).alias(f"_of_{c}") for c in parts],
-            F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_before"),
+            fold("_folded").over(earlier).alias("_before"),
         )
     )
     within = (
@@ -85,11 +95,33 @@ def running_total(
         .orderBy(*along)
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    local = cut.withColumn("_local", F.coalesce(F.sum(value).over(within), F.lit(0)))
+    local = cut.withColumn("_local", fold(value).over(within))
     # null-safe: a NULL group key is a group like any other
     same = reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in parts])
+    both = [F.col("_before"), F.col("_local")]
+    if kind == "sum":
+        result = reduce(Column.__add__, [F.coalesce(c, F.lit(0)) for c in both])
+    else:
+        result = F.greatest(*both)
     return (
         local.join(offsets, same)
-        .withColumn(name, F.col("_before") + F.col("_local"))
+        .withColumn(name, result)
         .drop("_piece", "_local", "_before", *[f"_of_{c}" for c in parts])
     )
+
+
+def running_total(
+    df: DataFrame,
+    by: list[str],
+    order: list[str],
+    value: str,
+    name: str,
+    pieces: int | None = None,
+    path: str | None = None,
+) -> DataFrame:
+    """Running sum of ``value`` per group, written to ``path`` (by default a new folder)."""
+    path = path or workspace(df.sparkSession, "running")
+    with cut_in_ranges(df, by, order, pieces) as cut:
+        result = running(cut, by, order, value, name)
+        result.write.parquet(path)
+    return df.sparkSession.read.schema(result.schema).parquet(path)

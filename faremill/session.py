@@ -64,3 +64,9 @@ def workspace(spark: SparkSession, label: str) -> str:
         context.setCheckpointDir(tempfile.mkdtemp(prefix="faremill-"))
         base = context.getCheckpointDir()
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of this library's making, if it is there."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)

@@ -1,11 +1,15 @@
 from __future__ import annotations
 
+import os
+
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from faremill.operators.rows import dedup, dedup_by_file, running_total
+from faremill.operators.rows import cut_in_ranges, dedup, dedup_by_file, running, running_total
 from faremill.operators.writers import append
+from faremill.session import workspace
 from tests.conftest import final_plan, plan, rows
 
 
@@ -83,10 +87,34 @@ def test_running_total_cuts_the_hot_group(spark):
     got = running_total(df, ["g"], ["id"], "v", "total", pieces=9)
     assert got.filter(F.col("total") != F.col("id") + 1).count() == 0
     # rows are sorted per (group, piece), never per group alone
-    text = final_plan(got)
+    with cut_in_ranges(df, ["g"], ["id"], 9) as cut:
+        text = final_plan(running(cut, ["g"], ["id"], "v", "total"))
     assert "hashpartitioning(g" in text and "_piece" in text
 
 
+def test_running_total_leaves_no_copy(spark):
+    base = os.path.dirname(workspace(spark, "x").removeprefix("file:"))
+    df = spark.range(10).select(F.lit(1).alias("g"), "id", F.lit(1).alias("v"))
+    assert running_total(df, ["g"], ["id"], "v", "total").count() == 10
+    with pytest.raises(ArithmeticError), cut_in_ranges(df, ["g"], ["id"], 2):
+        raise ArithmeticError
+    assert not [n for n in os.listdir(base) if n.startswith("pieces-")]
+
+
+def test_running_maximum(spark):
+    """Per group over several pieces; NULL values are passed over."""
+    data = [(i % 3 or None, i, None if i % 5 == 0 else i * 7919 % 1000) for i in range(600)]
+    df = spark.createDataFrame(data, "g int, id int, v int").repartition(4)
+    with cut_in_ranges(df, ["g"], ["id"], 7) as cut:
+        got = rows(running(cut, ["g"], ["id"], "v", "top", "max"))
+    want, top = [], {}
+    for g, i, v in data:
+        if v is not None:
+            top[g] = max(top.get(g, v), v)
+        want.append((g, i, v, top.get(g)))
+    assert got == sorted(want, key=lambda r: tuple((x is None, str(x)) for x in r))
+
+
 @settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(
     st.lists(
