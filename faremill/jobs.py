@@ -13,8 +13,9 @@ from pyspark.sql import functions as F
 
 from faremill.functions.codes import PAYMENT_DESCRIPTIONS
 from faremill.operators import incremental as inc
-from faremill.operators.buckets import merge_bucketed
+from faremill.operators import partials
 from faremill.operators import quality as q
+from faremill.operators.buckets import merge_bucketed
 from faremill.operators.joins import code_table
 from faremill.operators.writers import append, write, write_months, write_table
 from faremill.plans import declared_checks as checks
@@ -96,7 +97,10 @@ def convert_months(spark: SparkSession, service: str, csv: str, output: str) ->
 def build_marts(
     spark: SparkSession, green: str, yellow: str, zones: str, output: str, years: list[int]
 ) -> dict[str, DataFrame]:
-    """Cleaned trips, fact table (merged by trip id, newer trips only) and monthly mart."""
+    """Cleaned trips, fact table (merged by trip id, newer trips only) and monthly mart.
+
+    The mart is made of stored parts, to which a run adds those of its new trips.
+    """
     lookup = t.dim_zones(read_csv(spark, zones, ZONE_CSV))
     payments = code_table(spark, PAYMENT_DESCRIPTIONS, "payment_type", "description")
     staged = t.union_staged(
@@ -115,17 +119,17 @@ def build_marts(
         # the id is hashed from the pickup time, so it decides the month
         return inc.merge(rows, fact_path, ["trip_id"], month, moves=False)
 
+    def mart() -> DataFrame:
+        report, parts = t.monthly_zone_mart_report(), f"{output}/monthly_zone_parts"
+        trips = inc.read_target(spark, fact_path)
+        partials.add_newer_rows(report, trips, parts, "pickup_datetime", month)
+        current = partials.current_report(spark, report, parts)
+        return write(current, f"{output}/monthly_zone_revenue", "overwrite")
+
     built, _ = q.run_layer(
         [
             ("fact_trips", fact, lambda df: checks.fact_trips(lookup)),
-            (
-                "monthly_zone_revenue",
-                lambda: write(
-                    t.monthly_zone_mart(inc.read_target(spark, fact_path)),
-                    f"{output}/monthly_zone_revenue", "overwrite",
-                ),
-                lambda df: checks.monthly_zone_mart(),
-            ),
+            ("monthly_zone_revenue", mart, lambda df: checks.monthly_zone_mart()),
             (
                 "dim_vendors",
                 lambda: write(t.dim_vendors(staged), f"{output}/dim_vendors", "overwrite"),

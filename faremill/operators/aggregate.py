@@ -60,7 +60,8 @@ def monthly_revenue(
     that name form one group.
     """
     place = F.col(zone) if unknown is None else F.coalesce(F.col(zone), F.lit(unknown))
-    sums = [total(m).alias(revenue_name(m)) for m in measures]
+    types = {f.name: f.dataType for f in df.schema}
+    sums = [total(m, types[m]).alias(revenue_name(m)) for m in measures]
     counts = [] if trip_key is None else [F.count(F.col(trip_key)).alias("total_monthly_trips")]
     return df.groupBy(
         place.alias(zone_name), month_date(time).alias("revenue_month"), F.col(service)
@@ -68,7 +69,7 @@ def monthly_revenue(
         *sums,
         *counts,
         F.avg("passenger_count").alias("avg_monthly_passenger_count"),
-        average("trip_distance").alias("avg_monthly_trip_distance"),
+        average("trip_distance", types["trip_distance"]).alias("avg_monthly_trip_distance"),
     )
 
 

@@ -19,6 +19,7 @@ from faremill.operators.aggregate import (
     top_group,
     top_n,
 )
+from faremill.operators import partials
 from faremill.operators.joins import enrich_roles, join_lookup
 from faremill.operators.shape import between_dates
 from faremill.plans.scalars_queries import staged
@@ -44,9 +45,11 @@ from faremill.plans.trips import (
     hourly_comparison,
     monthly_zone_id_report,
     monthly_zone_mart,
+    monthly_zone_mart_report,
     union_raw,
 )
 from faremill.registry import query
+from faremill.session import workspace
 from faremill.sources.tables import load, plain
 
 
@@ -113,11 +116,15 @@ mart AS (
 )"""
 
 
-def _mart(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _named_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     pickup = {"pickup": ("pickup_location_id", {"zone": "pickup_zone"})}
     zones = dim_zones(zone_source(spark, sf_dir))
     named = enrich_roles(staged(spark, sf_dir), zones, "location_id", pickup)
-    return monthly_zone_mart(named.withColumn("trip_id", F.col("service_type")))
+    return named.withColumn("trip_id", F.col("service_type"))
+
+
+def _mart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return monthly_zone_mart(_named_trips(spark, sf_dir))
 
 
 @query("A4 A10 X2 J3", f"WITH {_MART_SQL} SELECT * FROM mart")
@@ -125,6 +132,22 @@ def monthly_zone_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _mart(spark, sf_dir)
 
 
+@query("A4 A18 K10", f"WITH {_MART_SQL} SELECT * FROM mart")
+def monthly_zone_revenue_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mart after three increments, one of them repeated; each reads its own trips only, and
+    the months it touches are made anew from parts."""
+    base = workspace(spark, "mart-parts")
+    report, trips = monthly_zone_mart_report(), _named_trips(spark, sf_dir)
+    early = F.col("pickup_datetime") < F.lit("1998-03-10").cast("timestamp")
+    green = F.col("service_type") == "Green"
+    for name, some in (
+        ("first", early), ("green", ~early & green), ("rest", ~early & ~green), ("green", ~early & green),
+    ):
+        months = partials.add_increment(report, trips.filter(some), f"{base}/parts", name)
+        mart = partials.refresh_report(spark, report, f"{base}/parts", f"{base}/mart", months)
+    return mart
+
+
 @query(
     "A20",
     f"""WITH {_MART_SQL}
@@ -227,6 +250,27 @@ def daily_service_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return daily_report(ingested_source(spark, sf_dir), "taxi_type", "pickup_datetime")
 
 
+@query(
+    "A6",
+    f"""WITH {INGESTED_SQL}
+    SELECT taxi_type, CAST(pickup_datetime AS DATE) AS pickup_date, count(*) AS trip_count,
+           CAST(CAST(sum(CAST(fare_amount AS DECIMAL(38,9))) AS VARCHAR) AS DOUBLE) AS total_fare_amount,
+           CAST(CAST(sum(CAST(total_amount AS DECIMAL(38,9))) AS VARCHAR) AS DOUBLE) AS total_amount,
+           CAST(CAST(sum(CAST(trip_distance AS DECIMAL(38,9))) AS VARCHAR) AS DOUBLE) / count(trip_distance)
+             AS avg_trip_distance
+    FROM ingested GROUP BY 1, 2""",
+)
+def daily_service_report_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The daily report from the parts of two increments."""
+    path = workspace(spark, "daily-parts")
+    report = partials.daily_service_report("taxi_type", "pickup_datetime")
+    trips = ingested_source(spark, sf_dir)
+    backwards = F.col("dropoff_datetime") < F.col("pickup_datetime")
+    for name, some in (("one", backwards), ("two", ~backwards), ("two", ~backwards)):
+        partials.add_increment(report, trips.filter(some), path, name)
+    return partials.current_report(spark, report, path)
+
+
 @query(
     "A7 P7 O1",
     """SELECT CAST(ts AS DATE) AS trip_date,

@@ -15,6 +15,7 @@ from faremill.functions.numbers import DISTANCE, MONEY
 from faremill.functions.times import minutes_between
 from faremill.operators.aggregate import daily_report, hourly_revenue, monthly_revenue
 from faremill.operators.joins import enrich_default, enrich_roles, join_lookup, outer_compare
+from faremill.operators.partials import Report, monthly_revenue_report
 from faremill.operators.rows import dedup
 from faremill.operators.shape import (
     align,
@@ -280,6 +281,14 @@ def monthly_zone_mart(fact: DataFrame) -> DataFrame:
     )
 
 
+def monthly_zone_mart_report() -> Report:
+    """The same mart, to be kept up to date from the parts of increments."""
+    return monthly_revenue_report(
+        "pickup_zone", "pickup_datetime", MART_MEASURES, unknown="Unknown Zone",
+        trip_key="trip_id", zone_name="pickup_zone",
+    )
+
+
 def monthly_zone_id_report(unioned: DataFrame) -> DataFrame:
     return monthly_revenue(unioned, "PULocationID", "pickup_datetime", ZONE_ID_MEASURES)
 
