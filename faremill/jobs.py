@@ -145,6 +145,21 @@ def build_marts(
     return built
 
 
+def build_green_fact(spark: SparkSession, green: str, zones: str, output: str) -> DataFrame:
+    """Green trips newer than the table's newest one, merged by row id into a table with a
+    directory per day, whose files hold ranges of boroughs."""
+    day = "pickup_day"
+    rows = t.green_rows(read_parquet(spark, green))
+    lookup = t.dim_zones(read_csv(spark, zones, ZONE_CSV))
+    known = inc.newest_partition(spark, output, day) if inc.exists(spark, output) else None
+    newer = inc.incremental_slice(rows, known, "pickup_datetime")
+    # the id is hashed from the pickup time too, so it decides the day
+    return inc.merge(
+        t.green_fact(newer, lookup), output, ["unique_row_id"], day, moves=False,
+        cluster_by=["pickup_borough"],
+    )
+
+
 def merge_by_key(
     spark: SparkSession, source: str, target: str, key: list[str], buckets: int
 ) -> DataFrame:
@@ -221,6 +236,7 @@ def _arguments() -> argparse.ArgumentParser:
     job("hourly-report", "green", "yellow", "zones", "output", since="2020-01-01 00:00:00")
     job("convert-months", "service", "csv", "output")
     job("build-marts", "green", "yellow", "zones", "output", years="2019,2020")
+    job("green-fact", "green", "zones", "output")
     job("merge-by-key", "source", "target", "key", buckets="64")
     job(
         "refresh-interval", "base", "output", "start", "end", "extracted_at",
@@ -248,6 +264,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
         "hourly-report": hourly_report,
         "convert-months": convert_months,
         "build-marts": build_marts,
+        "green-fact": build_green_fact,
         "merge-by-key": merge_by_key,
         "refresh-interval": refresh_interval,
         "stream-rides": stream_rides,

@@ -1,6 +1,6 @@
 """Incremental writers for targets without a date column, laid out by buckets of the hashed key.
 
-The rows of a bucket lie in one directory, sorted by key. An increment reads and replaces only
+The rows of a bucket lie in one directory. An increment reads and replaces only
 the buckets its keys fall into: the cost follows the increment, not the table, as long as it
 has fewer keys than there are buckets; a larger one rewrites all of them. The number of buckets
 stands in the directories' names, so a target cannot be read with another one. ``rebucket``
@@ -85,7 +85,7 @@ def create_bucketed(
     spark = df.sparkSession
     column = _column(buckets)
     routed = df.withColumn(column, bucket_of(df, key, buckets, df.schema))
-    inc.create(routed, _next_version(spark, path), column, cluster_by=key)
+    inc.create(routed, _next_version(spark, path), column)
     return read_bucketed(spark, path) if exists(spark, path) else df.limit(0)
 
 
@@ -119,7 +119,7 @@ def _change(change, source: DataFrame, path: str, key: list[str], buckets: int)
     column = _column(count)
     routed = source.withColumn(column, bucket_of(source, key, count, types))
     # the key decides the bucket, so no other directory can hold it
-    change(routed, where, key, column, moves=False, cluster_by=key)
+    change(routed, where, key, column, moves=False)
     return read_bucketed(spark, path)
 
 

@@ -28,7 +28,7 @@ from pyspark.sql import types as T
 
 from faremill.operators.aggregate import duplicate_keys, max_value
 from faremill.operators.shape import in_interval
-from faremill.operators.writers import by_directory
+from faremill.operators.writers import by_range, dealt
 from faremill.session import workspace
 
 VERSION = re.compile(r"version-(\d{8})")
@@ -119,11 +119,9 @@ def drop_old_versions(spark: SparkSession, path: str, keep: int = 2) -> None:
 def _replace_partitions(
     df: DataFrame, path: str, partition: str, cluster_by: list[str] | None = None
 ) -> None:
-    dealt = by_directory(df, [partition])
-    if cluster_by:
-        dealt = dealt.sortWithinPartitions(partition, *cluster_by)
     (
-        dealt.write.mode("overwrite")
+        dealt(df, [partition], cluster_by)
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(partition)
         .parquet(path)
@@ -149,13 +147,11 @@ def create(
     partition: str | None = None,
     cluster_by: list[str] | None = None,
 ) -> DataFrame:
-    """First load, or full rebuild, of a target; ``cluster_by`` sorts the rows of a directory."""
+    """First load, or full rebuild, of a target; ``cluster_by`` deals its rows to files by ranges."""
     if partition is None:
-        return commit(df.sortWithinPartitions(*cluster_by) if cluster_by else df, path)
-    dealt = by_directory(df, [partition])
-    if cluster_by:
-        dealt = dealt.sortWithinPartitions(partition, *cluster_by)
-    dealt.write.mode("overwrite").partitionBy(partition).parquet(path)
+        return commit(by_range(df, [], cluster_by) if cluster_by else df, path)
+    rows = dealt(df, [partition], cluster_by)
+    rows.write.mode("overwrite").partitionBy(partition).parquet(path)
     _remember_schema(df.sparkSession, path, df.schema)
     return read_target(df.sparkSession, path)
 

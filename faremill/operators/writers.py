@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def write(
@@ -22,21 +23,22 @@ def write(
     ``repartition`` fixes the number of files by a shuffle, which keeps the work before it
     parallel. ``coalesce`` avoids that shuffle, but pulls the preceding stage (an aggregation's
     merge, say) into as few tasks: only for results that are small all the way. With
-    ``partition_by`` the rows of one directory are brought together and sorted by
-    ``cluster_by``, so that row-group statistics can skip data; see ``by_directory`` for hot
-    directories. ``cluster_by`` alone sorts the files of each task. Only one of ``repartition``,
-    ``coalesce`` and ``partition_by`` can decide how rows are dealt; more are an error.
+    ``partition_by`` the rows of one directory are brought together; with ``cluster_by`` too
+    each file holds a range of these columns, so that row-group statistics can skip data; see
+    ``by_directory`` and ``by_range`` for hot directories. ``cluster_by`` alone sorts the files of
+    each task. Only one of ``repartition``, ``coalesce`` and ``partition_by`` can decide how rows
+    are dealt; more are an error.
     """
     if sum(map(bool, (repartition, coalesce, partition_by))) > 1:
         raise ValueError("choose one of repartition, coalesce and partition_by")
     if coalesce:
         df = df.coalesce(coalesce)
     elif partition_by:
-        df = by_directory(df, partition_by)
+        df = dealt(df, partition_by, cluster_by)
     elif repartition:
         df = df.repartition(repartition)
-    if partition_by or cluster_by:
-        df = df.sortWithinPartitions(*(partition_by or []), *(cluster_by or []))
+    if cluster_by and not partition_by:
+        df = df.sortWithinPartitions(*cluster_by)
     writer = df.write.mode(mode).format(fmt).options(**(options or {}))
     if partition_by:
         writer = writer.partitionBy(*partition_by)
@@ -56,6 +58,26 @@ def by_directory(df: DataFrame, partition_by: list[str]) -> DataFrame:
     return df.hint("rebalance", *partition_by)
 
 
+def by_range(df: DataFrame, partition_by: list[str], cluster_by: list[str]) -> DataFrame:
+    """Deal rows by ranges of (directory, cluster columns), sorted: the files of a directory
+    hold ranges of the cluster columns that hardly overlap, and so do their row groups.
+
+    A hash of the whole row comes last, so that rows alike in directory and cluster, be they a
+    third of the table, are dealt to several tasks too. AQE packs small ranges together. The
+    rows are computed once more for the sample that sets the bounds.
+    """
+    plain = [f.name for f in df.schema if not isinstance(f.dataType, T.MapType)]
+    order = [F.col(c) for c in (*partition_by, *cluster_by)]
+    return df.repartitionByRange(*order, F.xxhash64(*plain)).sortWithinPartitions(*order)
+
+
+def dealt(df: DataFrame, partition_by: list[str], cluster_by: list[str] | None) -> DataFrame:
+    """Rows as a partitioned write wants them: ``by_range`` if clustered, else ``by_directory``."""
+    if cluster_by:
+        return by_range(df, partition_by, cluster_by)
+    return by_directory(df, partition_by).sortWithinPartitions(*partition_by)
+
+
 def materialize(df: DataFrame, kind: str, name: str, path: str | None = None) -> DataFrame:
     """``view``: recomputed by every reader; ``table``: stored, replaced as a whole.
 

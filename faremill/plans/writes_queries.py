@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from faremill.operators import buckets
 from faremill.operators import incremental as inc
 from faremill.operators.rows import dedup
-from faremill.operators.writers import append
+from faremill.operators.writers import append, write
 from faremill.plans.scalars_queries import doubles
 from faremill.plans.stand_ins import (
     INGESTED_SQL,
@@ -310,3 +310,27 @@ def green_fact_build(spark: SparkSession, sf_dir: str) -> DataFrame:
         newer, path, ["unique_row_id"], "pickup_month", moves=False, cluster_by=["pickup_borough"]
     )
     return plain(result.select(*_GREEN_OUT))
+
+
+@query(
+    "K5 K1 J1 F1",
+    f"""WITH {ZONES_SQL}
+    SELECT event_id, CAST(user_id % 27 AS INTEGER) AS zone_id, zone, borough, value AS total_amount,
+           CAST(ts AS DATE) AS pickup_day
+    FROM events JOIN zones ON user_id % 27 = location_id
+    WHERE borough IN ('ASIA', 'AFRICA') AND CAST(ts AS DATE) <> DATE '2024-01-13'""",
+)
+def clustered_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rides in a directory per day whose files hold ranges of boroughs; two boroughs are read."""
+    zones = dim_zones(zone_source(spark, sf_dir)).select("location_id", "zone", "borough")
+    rides = load(spark, sf_dir, "events").select(
+        "event_id",
+        (F.col("user_id") % 27).cast("int").alias("zone_id"),
+        F.col("value").alias("total_amount"),
+        F.to_date("ts").alias("pickup_day"),
+    )
+    named = rides.join(zones, F.col("zone_id") == F.col("location_id")).drop("location_id")
+    path = workspace(spark, "clustered-days")
+    table = write(named, path, partition_by=["pickup_day"], cluster_by=["borough"])
+    other_days = F.col("pickup_day") != F.lit("2024-01-13").cast("date")
+    return table.filter(F.col("borough").isin("ASIA", "AFRICA") & other_days)
