@@ -20,7 +20,7 @@ from faremill.plans.stand_ins import (
 )
 from faremill.registry import query
 from faremill.session import workspace
-from faremill.sources import landing, months
+from faremill.sources import landing, months, nested, quarantine
 from faremill.sources.files import read_parquet
 from faremill.sources.tables import load, plain
 
@@ -219,3 +219,135 @@ def json_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = workspace(spark, "nested")
     nested.write.json(path)
     return plain(landing.flatten(spark.read.schema(nested.schema).json(path)))
+
+
+# --- lists below records --------------------------------------------------------------
+
+
+@query(
+    "R3 S12 S16",
+    """WITH items AS (
+      SELECT l_orderkey, l_linenumber, l_quantity, [l_returnflag, l_linestatus] AS flags,
+             row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_quantity,
+               l_returnflag, l_linestatus) - 1 AS item
+      FROM lineitem)
+    SELECT o_orderkey AS id, o_custkey AS customer__id, CAST(item AS INTEGER) AS item,
+           l_linenumber AS line, l_quantity AS quantity, CAST(k AS INTEGER) AS place,
+           flags[k + 1] AS flag
+    FROM items JOIN orders ON l_orderkey = o_orderkey, (SELECT unnest([0, 1]) AS k)""",
+)
+def nested_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders with their items, and those with their flags, landed as nested records; they become
+    three tables, which are joined back by their keys."""
+    items = load(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(
+        F.sort_array(
+            F.collect_list(
+                F.struct(
+                    F.col("l_linenumber").alias("line"),
+                    F.col("l_quantity").alias("quantity"),
+                    F.array("l_returnflag", "l_linestatus").alias("lineFlags"),
+                )
+            )
+        ).alias("orderItems")
+    )
+    orders = load(spark, sf_dir, "orders")
+    records = orders.join(items, F.col("o_orderkey") == F.col("l_orderkey")).select(
+        F.col("o_orderkey").alias("id"),
+        F.struct(F.col("o_custkey").alias("id")).alias("customer"),
+        "orderItems",
+    )
+    base = workspace(spark, "lists")
+    records.write.json(f"{base}/landed")
+    landed = spark.read.schema(records.schema).json(f"{base}/landed")
+    tables = nested.write_lists(landed, "orders", f"{base}/tables", ["id"])
+    line = nested.with_parent(tables["orders__order_items"], tables["orders"], ["id", "customer__id"])
+    line = line.withColumnRenamed(nested.PLACE, "item")
+    columns = ["id", "customer__id", "item", "line", "quantity"]
+    flags = nested.with_parent(tables["orders__order_items__line_flags"], line, columns)
+    return flags.select(*columns, F.col(nested.PLACE).alias("place"), F.col("value").alias("flag"))
+
+
+# --- bad lines and pages --------------------------------------------------------------
+
+# one line in 101 has a word for the customer's number, and one a field too many
+_WORD, _WIDE = "o_orderkey % 101 = 7", "o_orderkey % 101 = 9"
+_LINE = "o_orderkey long, o_custkey long, o_orderstatus string, order_day date"
+
+
+def _split_lines(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    customer = F.when(F.expr(_WORD), "none").otherwise(F.col("o_custkey").cast("string"))
+    status = F.when(F.expr(_WIDE), "a,b").otherwise(F.col("o_orderstatus"))
+    day = F.to_date("o_orderdate").cast("string")
+    line = F.concat_ws(",", F.col("o_orderkey").cast("string"), customer, status, day)
+    base = workspace(spark, "lines")
+    load(spark, sf_dir, "orders").select(line).write.text(base)
+    return quarantine.split_csv(spark, base, _LINE, header=False)
+
+
+@query(
+    "S4 S2",
+    f"""SELECT o_orderkey, o_custkey, o_orderstatus, CAST(o_orderdate AS DATE) AS order_day
+       FROM orders WHERE NOT ({_WORD}) AND NOT ({_WIDE})""",
+)
+def lines_past_bad_ones(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """CSV lines that fit the schema; the planted bad ones do not stop the reader."""
+    return _split_lines(spark, sf_dir)[0]
+
+
+@query(
+    "S4 A2",
+    f"""SELECT o_orderkey,
+              CASE WHEN {_WORD} THEN 'not of its type: o_custkey' ELSE 'other number of fields' END
+                AS reason
+       FROM orders WHERE {_WORD} OR {_WIDE}""",
+)
+def quarantined_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The planted lines with their reason, as they were set aside."""
+    good, bad = _split_lines(spark, sf_dir)
+    path = workspace(spark, "bad-lines")
+    quarantine.set_aside(good, bad, path)
+    number = F.substring_index("line", ",", 1).cast("long").alias("o_orderkey")
+    return spark.read.parquet(path).select(number, "reason")
+
+
+# one page in 13 is cut short, and records whose price has a seven before the point are spoilt
+_CUT = "page % 13 = 5"
+
+
+def _split_pages(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    pages = _landed_pages(spark, sf_dir, "bad-pages")
+    wrong = F.regexp_replace("body", r'"price":\d+7\.\d+', '"price":"none"')
+    cut = F.when(F.expr(_CUT), F.expr("substr(body, 1, length(body) - 3)")).otherwise(wrong)
+    return quarantine.split_pages(pages.withColumn("body", cut), "matches", RECORD)
+
+
+_SPLIT_SQL = f"""{_RECORDS_SQL}, marked AS (
+  SELECT *, {_CUT} AS cut, price >= 17 AND CAST(floor(price) AS BIGINT) % 10 = 7 AS wrong FROM paged
+)"""
+
+
+@query(
+    "S12 S13",
+    f"WITH {_SPLIT_SQL} SELECT page, id, customer, price FROM marked WHERE NOT cut AND NOT wrong",
+)
+def records_past_bad_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records that can be read, from pages of which some are cut short and some hold others."""
+    return _split_pages(spark, sf_dir)[0]
+
+
+@query(
+    "S12 S13",
+    f"""WITH {_SPLIT_SQL},
+    page_numbers AS (
+      SELECT page FROM paged
+      UNION SELECT o_orderkey // {PAGE_SIZE} // {EVERY - 1} * {EVERY} + {EVERY - 1} FROM orders)
+    SELECT page, 'no JSON document' AS reason, 1 AS rows FROM page_numbers WHERE {_CUT}
+    UNION ALL
+    SELECT page, 'record does not fit', count(*) FROM marked WHERE NOT cut AND wrong GROUP BY page""",
+)
+def quarantined_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many records of which pages were set aside, and which pages as a whole."""
+    good, bad = _split_pages(spark, sf_dir)
+    path = workspace(spark, "bad-records")
+    quarantine.set_aside(good, bad, path)
+    return spark.read.parquet(path).groupBy("page", "reason").agg(F.count("*").alias("rows"))
