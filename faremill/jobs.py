@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from faremill.functions.codes import PAYMENT_DESCRIPTIONS
 from faremill.operators import incremental as inc
-from faremill.operators import partials
+from faremill.operators import marks, partials
 from faremill.operators import quality as q
 from faremill.operators.buckets import merge_bucketed
 from faremill.operators.joins import code_table
@@ -23,6 +23,7 @@ from faremill.plans import trips as t
 from faremill.session import build_session, use_utc
 from faremill.sources.files import read_csv, read_parquet
 from faremill.sources.months import read_months
+from faremill.sources.quarantine import set_aside, split_csv
 from faremill.sources.topics import RIDE_EVENT, topic_options, topic_stream
 from faremill.streaming import jobs as streams
 
@@ -61,17 +62,21 @@ CSV_SCHEMAS = {
 
 
 def monthly_report(
-    spark: SparkSession, green: str, yellow: str, output: str, connector: str | None = None
+    spark: SparkSession, green: str, yellow: str, output: str, connector: str | None = None,
+    files: int | None = None,
 ) -> None:
-    """Monthly revenue by zone id; ``output`` is a path, or a table of ``connector``."""
+    """Monthly revenue by zone id; ``output`` is a path, or a table of ``connector``.
+
+    ``files`` fixes the number of files; by default there are as many as the report fills.
+    """
     report = t.monthly_zone_id_report(
         t.union_raw(read_parquet(spark, green), read_parquet(spark, yellow))
     )
     if connector:
         write_table(report, connector, output, {}, "overwrite")
     else:
-        # one file, yet the aggregation before it stays spread over all tasks
-        write(report, output, "overwrite", repartition=1)
+        # with a fixed number the aggregation before it still stays spread over all tasks
+        write(report, output, "overwrite", repartition=files)
 
 
 def hourly_report(
@@ -88,10 +93,18 @@ def hourly_report(
     write(t.comparison_with_zones(total, lookup), f"{output}/zones", "overwrite")
 
 
-def convert_months(spark: SparkSession, service: str, csv: str, output: str) -> DataFrame:
-    """CSV files of any number of months to Parquet under ``year=/month=``, in one job."""
+def convert_months(
+    spark: SparkSession, service: str, csv: str, output: str, bad: str | None = None
+) -> DataFrame:
+    """CSV files of any number of months to Parquet under ``year=/month=``, in one job.
+
+    With a folder ``bad`` lines that do not fit the schema are set aside there.
+    """
     schema, time = CSV_SCHEMAS[service]
-    return write_months(read_csv(spark, csv, schema), output, time)
+    if bad is None:
+        return write_months(read_csv(spark, csv, schema), output, time)
+    rows, _ = set_aside(*split_csv(spark, csv, schema), bad)
+    return write_months(rows, output, time)
 
 
 def build_marts(
@@ -99,49 +112,57 @@ def build_marts(
 ) -> dict[str, DataFrame]:
     """Cleaned trips, fact table (merged by trip id, newer trips only) and monthly mart.
 
-    The mart is made of stored parts, to which a run adds those of its new trips.
+    Each service has its own mark, so that one that lags behind loses no trips. The mart is made
+    of stored parts, to which a run adds those of its new trips. The marks move last: after a
+    failure the same trips are taken again, merged by their id, and replace their parts.
     """
     lookup = t.dim_zones(read_csv(spark, zones, ZONE_CSV))
     payments = code_table(spark, PAYMENT_DESCRIPTIONS, "payment_type", "description")
-    staged = t.union_staged(
+    unioned = t.union_staged(
         t.stage_green(read_parquet(spark, green)), t.stage_yellow(read_parquet(spark, yellow))
     )
-    fact_path, month = f"{output}/fact_trips", "pickup_month"
-    first_run = not inc.exists(spark, fact_path)
-
-    def fact() -> DataFrame:
-        trips = t.clean_trips(staged, payments, years)
-        known = None if first_run else inc.newest_partition(spark, fact_path, month)
-        newer = inc.incremental_slice(trips, known, "pickup_datetime")
-        rows = q.enforce(t.fact_trips(newer, lookup), t.fact_contract()).withColumn(
-            month, F.trunc("pickup_datetime", "month")
-        )
-        # the id is hashed from the pickup time, so it decides the month
-        return inc.merge(rows, fact_path, ["trip_id"], month, moves=False)
+    fact_path, marks_path, month = f"{output}/fact_trips", f"{output}/marks", "pickup_month"
+    known = marks.read_marks(spark, marks_path)
+    trips = t.clean_trips(unioned, payments, years)
+    newer = marks.newer_than_marks(trips, known, "service_type", "pickup_datetime")
+    rows = q.enforce(t.fact_trips(newer, lookup), t.fact_contract()).withColumn(
+        month, F.trunc("pickup_datetime", "month")
+    )
 
-    def mart() -> DataFrame:
+    def mart(new: DataFrame) -> DataFrame:
         report, parts = t.monthly_zone_mart_report(), f"{output}/monthly_zone_parts"
-        trips = inc.read_target(spark, fact_path)
-        partials.add_newer_rows(report, trips, parts, "pickup_datetime", month)
+        partials.add_increment(report, new, parts, marks.name_of(known))
         current = partials.current_report(spark, report, parts)
         return write(current, f"{output}/monthly_zone_revenue", "overwrite")
 
-    built, _ = q.run_layer(
-        [
-            ("fact_trips", fact, lambda df: checks.fact_trips(lookup)),
-            ("monthly_zone_revenue", mart, lambda df: checks.monthly_zone_mart()),
-            (
-                "dim_vendors",
-                lambda: write(t.dim_vendors(staged), f"{output}/dim_vendors", "overwrite"),
-                lambda df: q.primary_key("vendor_id"),
-            ),
-            (
-                "dim_zones",
-                lambda: write(lookup, f"{output}/dim_zones", "overwrite"),
-                lambda df: q.primary_key("location_id"),
-            ),
-        ]
-    )
+    with inc.staged(rows) as new:
+        built, _ = q.run_layer(
+            [
+                (
+                    "fact_trips",
+                    # the id is hashed from the pickup time, so it decides the month
+                    lambda: inc.merge(new, fact_path, ["trip_id"], month, moves=False),
+                    lambda df: checks.fact_trips(lookup),
+                ),
+                (
+                    "monthly_zone_revenue",
+                    lambda: mart(new),
+                    lambda df: checks.monthly_zone_mart(),
+                ),
+                (
+                    "dim_vendors",
+                    lambda: write(t.dim_vendors(unioned), f"{output}/dim_vendors", "overwrite"),
+                    lambda df: q.primary_key("vendor_id"),
+                ),
+                (
+                    "dim_zones",
+                    lambda: write(lookup, f"{output}/dim_zones", "overwrite"),
+                    lambda df: q.primary_key("location_id"),
+                ),
+            ]
+        )
+        newest = marks.newest_by_source(new, "service_type", "pickup_datetime")
+        marks.store_marks(newest, marks_path)
     return built
 
 
@@ -232,9 +253,9 @@ def _arguments() -> argparse.ArgumentParser:
         for option, default in optional.items():
             sub.add_argument(f"--{option}", default=default)
 
-    job("monthly-report", "green", "yellow", "output", connector=None)
+    job("monthly-report", "green", "yellow", "output", connector=None, files=None)
     job("hourly-report", "green", "yellow", "zones", "output", since="2020-01-01 00:00:00")
-    job("convert-months", "service", "csv", "output")
+    job("convert-months", "service", "csv", "output", bad=None)
     job("build-marts", "green", "yellow", "zones", "output", years="2019,2020")
     job("green-fact", "green", "zones", "output")
     job("merge-by-key", "source", "target", "key", buckets="64")
@@ -251,6 +272,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
     name = options.pop("job")
     if "years" in options:
         options["years"] = [int(y) for y in options["years"].split(",")]
+    if options.get("files"):
+        options["files"] = int(options["files"])
     if name == "merge-by-key":
         options["key"] = options["key"].split(",")
         options["buckets"] = int(options["buckets"])

@@ -102,6 +102,17 @@ def _known_schema(spark: SparkSession, path: str) -> T.StructType | None:
     return T.StructType.fromJson(json.loads(text))
 
 
+def complete_folders(spark: SparkSession, path: str, prefix: str) -> list[str]:
+    """What follows ``prefix`` in the names of partitioned folders that are written to the end."""
+    found = []
+    for name in _children(spark, path):
+        if name.startswith(prefix):
+            inside = set(_children(spark, f"{path}/{name}"))
+            if {"_SUCCESS", SCHEMA_FILE} <= inside:
+                found.append(name.removeprefix(prefix))
+    return sorted(found)
+
+
 def commit(df: DataFrame, path: str) -> DataFrame:
     """Store a complete new version of an unpartitioned target."""
     spark = df.sparkSession
@@ -157,7 +168,7 @@ def create(
 
 
 @contextmanager
-def _staged(source: DataFrame) -> Iterator[DataFrame]:
+def staged(source: DataFrame) -> Iterator[DataFrame]:
     """The increment, stored once: it is read for the key check, the anti join and the write.
 
     A recomputed source could differ between these reads; stored files cannot.
@@ -200,7 +211,7 @@ def merge(
     columns of the target are searched for where it was. ``moves=False`` spares that where the
     key decides the directory (a key hashed from the pickup time, say).
     """
-    with _staged(source) as rows:
+    with staged(source) as rows:
         _require_unique(rows, key)
         return _swap_keys(rows, path, key, partition, moves, cluster_by)
 
@@ -217,7 +228,7 @@ def delete_insert(
 
     Unlike ``merge``, several source rows per key are kept.
     """
-    with _staged(source) as rows:
+    with staged(source) as rows:
         return _swap_keys(rows, path, key, partition, moves, cluster_by)
 
 
@@ -294,7 +305,7 @@ def replace_interval(
             if isinstance(bound, dt.datetime) and bound.time() != dt.time(0):
                 raise ValueError("a date key needs an interval from midnight to midnight")
     inside = in_interval(time, start, end)
-    with _staged(source.filter(inside)) as fresh:
+    with staged(source.filter(inside)) as fresh:
         spark = fresh.sparkSession
         if not exists(spark, path):
             return create(fresh, path, partition, cluster_by)

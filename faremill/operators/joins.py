@@ -6,6 +6,9 @@ Which side is sent to all tasks is Catalyst's choice by bytes, its threshold the
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -136,3 +139,52 @@ def orphans(child: DataFrame, parent: DataFrame, fk: str, pk: str) -> DataFrame:
     return counted.join(known, F.col("_fk") == F.col("_pk"), "left_anti").withColumnRenamed(
         "_fk", fk
     )
+
+
+# a filter of the child's keys is worth its while whatever the size of the parent's scan, and
+# while the stored keys stay below this size; beyond it the join alone finds the keys
+PARENT_FILTER = {
+    "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+    "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "0",
+    "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "256m",
+}
+
+
+@contextmanager
+def parent_filter(spark: SparkSession) -> Iterator[None]:
+    """Plans made inside filter a join's large side with a Bloom filter of the other's keys."""
+    before = {k: spark.conf.get(k, None) for k in PARENT_FILTER}
+    for name, value in PARENT_FILTER.items():
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value) if value is not None else spark.conf.unset(name)
+
+
+def found_in_parent(keys: DataFrame, parent: DataFrame, pk: str) -> DataFrame:
+    """The parent's keys among ``_fk`` of the stored ``keys``, to be planned in ``parent_filter``."""
+    # always true for a counted key; Spark makes such a filter only from a side with a condition
+    some = keys.filter(F.col("child_rows") >= 1).select("_fk")
+    return parent.select(F.col(pk).alias("_pk")).join(some, F.col("_pk") == F.col("_fk"), "left_semi")
+
+
+def orphans_of_large_parent(
+    child: DataFrame, parent: DataFrame, fk: str, pk: str
+) -> DataFrame:
+    """``orphans`` for a parent that is larger than the child's keys.
+
+    The child's distinct keys are stored; the parent's scan passes a Bloom filter of them, so of
+    the parent only the rows wanted, and few others, are shuffled. A key that is too much for the
+    filter's bounded size lets more rows pass, and the join removes them.
+    """
+    spark, base = child.sparkSession, workspace(child.sparkSession, "relationship")
+    counted = child.filter(F.col(fk).isNotNull()).groupBy(F.col(fk).alias("_fk"))
+    counted.agg(F.count(F.lit(1)).alias("child_rows")).write.parquet(f"{base}/keys")
+    keys = spark.read.parquet(f"{base}/keys")
+    with parent_filter(spark):
+        found_in_parent(keys, parent, pk).distinct().write.parquet(f"{base}/found")
+    found = spark.read.parquet(f"{base}/found")
+    missing = keys.join(found, F.col("_fk") == F.col("_pk"), "left_anti")
+    return missing.withColumnRenamed("_fk", fk)

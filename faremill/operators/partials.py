@@ -145,13 +145,7 @@ def _months(spark: SparkSession, folder: str) -> list[dt.date | None]:
 
 def increments(spark: SparkSession, path: str) -> list[str]:
     """The names of the increments whose parts are complete."""
-    prefix = f"{INCREMENT}="
-    found = []
-    for name in inc._children(spark, path):
-        complete = {"_SUCCESS", inc.SCHEMA_FILE}
-        if name.startswith(prefix) and complete <= set(inc._children(spark, f"{path}/{name}")):
-            found.append(name.removeprefix(prefix))
-    return sorted(found)
+    return inc.complete_folders(spark, path, f"{INCREMENT}=")
 
 
 def stored_parts(spark: SparkSession, path: str) -> DataFrame:
@@ -162,30 +156,6 @@ def stored_parts(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(known).option("basePath", path).parquet(*folders)
 
 
-UPTO = "upto-"
-
-
-def add_newer_rows(
-    report: Report, fact: DataFrame, path: str, time: str, partition: str | None = None
-) -> list:
-    """Add the rows of ``fact`` that are newer than all rows whose parts are stored.
-
-    The increment is named after its newest time, so the stored names tell where to go on, also
-    after a failure between the fact table's write and this one. ``partition`` is the fact's
-    directory of months, of which the older ones are not opened.
-    """
-    spark = fact.sparkSession
-    known = [int(n.removeprefix(UPTO)) for n in increments(spark, path) if n.startswith(UPTO)]
-    newer = fact
-    if known:
-        mark = F.timestamp_micros(F.lit(max(known)))
-        newer = fact.filter(F.col(time) > mark)
-        if partition is not None:
-            newer = newer.filter(F.col(partition) >= F.trunc(mark, "month"))
-    top = newer.agg(F.max(F.unix_micros(time))).head()[0]
-    return [] if top is None else add_increment(report, newer, path, f"{UPTO}{top}")
-
-
 def current_report(spark: SparkSession, report: Report, path: str) -> DataFrame:
     """The whole report, from the parts alone."""
     return report.finished(report.merged(stored_parts(spark, path)))

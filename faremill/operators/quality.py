@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 
 from faremill.functions.numbers import exact_parts, exact_sum, joined_parts
 from faremill.operators.aggregate import duplicate_keys
-from faremill.operators.joins import orphans
+from faremill.operators.joins import orphans, orphans_of_large_parent
 from faremill.operators.shape import any_null, moment
 
 
@@ -89,12 +89,18 @@ def unique_combination(*cols: str) -> TableCheck:
     )
 
 
-def relationships(fk: str, parent: DataFrame, pk: str) -> TableCheck:
-    """Counts child rows whose key the parent lacks; NULL keys are not judged."""
+def relationships(
+    fk: str, parent: DataFrame, pk: str, large_parent: bool = False
+) -> TableCheck:
+    """Counts child rows whose key the parent lacks; NULL keys are not judged.
+
+    ``large_parent`` filters the parent by the child's keys before it is shuffled.
+    """
+    search = orphans_of_large_parent if large_parent else orphans
     return TableCheck(
         "relationships",
         fk,
-        lambda df: orphans(df, parent, fk, pk).agg(
+        lambda df: search(df, parent, fk, pk).agg(
             F.coalesce(F.sum("child_rows"), F.lit(0)).alias("failed_rows")
         ),
     )

@@ -7,9 +7,10 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from faremill.operators import key_register
 from faremill.operators import quality as q
 from faremill.operators.aggregate import duplicate_keys
-from faremill.operators.joins import join_lookup
+from faremill.operators.joins import join_lookup, orphans_of_large_parent
 from faremill.operators.writers import write
 from faremill.plans import declared_checks as declared
 from faremill.plans.revenue_queries import _AVERAGES, _money_sums
@@ -132,6 +133,46 @@ def dq_relationships(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orders.unionByName(trips)
 
 
+@query(
+    "Q4 J7",
+    """WITH parents AS (SELECT DISTINCT l_orderkey FROM lineitem WHERE l_linenumber > 1)
+    SELECT o_custkey, count(*) AS orders_without_more
+    FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM parents) AND o_orderstatus = 'F'
+    GROUP BY o_custkey""",
+)
+def dq_relationships_large(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Finished orders that the larger table of further items does not know, by customer."""
+    items = load(spark, sf_dir, "lineitem").filter("l_linenumber > 1").select("l_orderkey")
+    orders = load(spark, sf_dir, "orders").filter("o_orderstatus = 'F'")
+    missing = orphans_of_large_parent(orders, items, "o_orderkey", "l_orderkey")
+    alone = orders.join(missing.select("o_orderkey"), "o_orderkey", "left_semi")
+    return alone.groupBy("o_custkey").agg(F.count("*").alias("orders_without_more"))
+
+
+_EARLY = "l_shipdate < TIMESTAMP '1998-01-01 00:00:00'"
+
+
+@query(
+    "Q1 Q5",
+    f"""WITH known AS (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem WHERE {_EARLY}),
+    fresh AS (SELECT l_orderkey, l_linenumber, count(*) AS copies FROM lineitem
+              WHERE NOT ({_EARLY}) GROUP BY 1, 2)
+    SELECT f.l_orderkey, f.l_linenumber, copies, k.l_orderkey IS NOT NULL AS known
+    FROM fresh f LEFT JOIN known k ON f.l_orderkey = k.l_orderkey AND f.l_linenumber = k.l_linenumber
+    WHERE copies > 1 OR k.l_orderkey IS NOT NULL""",
+)
+def dq_unique_growing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys of a second load that are not unique, without the first one's rows; the load is
+    registered twice, and is not held against itself."""
+    path, key = workspace(spark, "keys"), ["l_orderkey", "l_linenumber"]
+    items = load(spark, sf_dir, "lineitem")
+    key_register.register(items.filter(_EARLY), path, key, "first")
+    fresh = items.filter(f"NOT ({_EARLY})")
+    for _ in range(2):
+        key_register.register(fresh, path, key, "second")
+    return key_register.repeated_keys(fresh, path, key, "second")
+
+
 @query(
     "A14 Q5",
     """SELECT l_orderkey, l_linenumber, count(*) AS copies FROM lineitem

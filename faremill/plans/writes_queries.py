@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from faremill.operators import buckets
+from faremill.operators import buckets, marks
 from faremill.operators import incremental as inc
 from faremill.operators.rows import dedup
 from faremill.operators.writers import append, write
@@ -167,6 +167,26 @@ def incremental_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain(inc.incremental_slice(orders.drop("o_orderstatus"), target, "o_orderdate"))
 
 
+@query(
+    "K13 S15",
+    """WITH loaded AS (
+      SELECT * FROM orders WHERE (o_orderstatus = 'F' AND o_orderdate < '1997-05-01')
+                              OR (o_orderstatus = 'O' AND o_orderdate < '2000-03-01')),
+    marks AS (SELECT o_orderstatus, max(o_orderdate) AS mark FROM loaded GROUP BY 1)
+    SELECT o_orderkey, o_orderdate, o_orderstatus FROM orders LEFT JOIN marks USING (o_orderstatus)
+    WHERE mark IS NULL OR o_orderdate > mark""",
+)
+def slice_by_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two sources of a table are loaded up to different days, a third not at all; each goes on
+    from its own mark."""
+    orders = load(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate", "o_orderstatus")
+    path = workspace(spark, "marks")
+    for status, until in (("F", "1997-05-01"), ("O", "2000-03-01")):
+        loaded = _status(orders, status).filter(F.col("o_orderdate") < _stamp(until))
+        known = marks.store_marks(marks.newest_by_source(loaded, "o_orderstatus", "o_orderdate"), path)
+    return plain(marks.newer_than_marks(orders, known, "o_orderstatus", "o_orderdate"))
+
+
 @query(
     "K14 K9",
     """SELECT c_custkey, c_mktsegment,

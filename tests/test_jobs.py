@@ -27,7 +27,9 @@ def land(spark, sf_dir, folder):
 def test_monthly_report(spark, sf_dir, folder):
     sources = land(spark, sf_dir, folder)
     jobs.main(["monthly-report", *sources, f"--output={folder}/report"], spark)
-    assert len(glob.glob(folder + "/report/*.parquet")) == 1
+    assert len(glob.glob(folder + "/report/*.parquet")) >= 1
+    jobs.main(["monthly-report", *sources, f"--output={folder}/report", "--files=3"], spark)
+    assert len(glob.glob(folder + "/report/*.parquet")) == 3
     report = spark.read.parquet(folder + "/report")
     assert report.agg(F.sum("revenue_monthly_total_amount")).head()[0] > 0
 
@@ -54,6 +56,36 @@ def test_convert_months(spark, sf_dir, folder):
     assert back.filter("year <> year(lpep_pickup_datetime)").count() == 0
 
 
+def test_convert_months_past_bad_lines(spark, sf_dir, folder):
+    green_source(spark, sf_dir).write.option("header", True).csv(folder + "/csv")
+    spark.createDataFrame([("not,a,trip",)], "l string").coalesce(1).write.mode("append").text(folder + "/csv")
+    call = ["convert-months", "--service=green", f"--csv={folder}/csv", f"--output={folder}/pq"]
+    jobs.main([*call, f"--bad={folder}/bad"], spark)
+    assert spark.read.parquet(folder + "/pq").count() == green_source(spark, sf_dir).count()
+    assert [r.line for r in spark.read.parquet(folder + "/bad").collect()] == ["not,a,trip"]
+
+
+def test_a_late_service_loses_no_trips(spark, sf_dir, folder):
+    """Yellow trips that come a run later than green ones of the same days are still taken."""
+    land(spark, sf_dir, folder)
+    green = spark.read.parquet(folder + "/green").withColumn("DOLocationID", F.col("DOLocationID") % 25)
+    yellow = spark.read.parquet(folder + "/yellow")
+    time, year = "tpep_pickup_datetime", in_years("tpep_pickup_datetime", [1996])
+    green.filter(in_years("lpep_pickup_datetime", [1996])).write.parquet(folder + "/g")
+    yellow.filter(year & (F.col(time) < "1996-02-01")).write.parquet(folder + "/y1")
+    yellow.filter(year).write.parquet(folder + "/y2")
+    for out, runs in (("twice", ("y1", "y2")), ("once", ("y2",))):
+        for y in runs:
+            jobs.main(
+                ["build-marts", f"--green={folder}/g", f"--yellow={folder}/{y}",
+                 f"--zones={folder}/zones", "--years=1996", f"--output={folder}/{out}"],
+                spark,
+            )
+    twice, once = (inc.read_target(spark, f"{folder}/{o}/fact_trips") for o in ("twice", "once"))
+    assert rows(twice.select("trip_id")) == rows(once.select("trip_id"))
+    assert twice.filter("service_type = 'Yellow'").count() > 0
+
+
 def test_build_marts_twice(spark, sf_dir, folder):
     """A second run with later trips adds them; nothing is rebuilt or repeated."""
     land(spark, sf_dir, folder)
