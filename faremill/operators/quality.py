@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from faremill.functions.numbers import exact_parts, exact_sum, joined_parts
-from faremill.operators.aggregate import duplicate_keys
+from faremill.operators.aggregate import distinct_count, duplicate_keys
 from faremill.operators.joins import orphans, orphans_of_large_parent
 from faremill.operators.shape import any_null, moment
 
@@ -272,29 +272,26 @@ def sanity_report(
         "negative total_amount count (expect 0)": F.count_if(F.col("total_amount") < 0),
     }
     whole, behind = exact_parts("total_amount")
-    # one row per id, the services it has as a set, and sums: distinct counts without a copy
-    # of every row for each of them
-    ids = clean.groupBy("trip_id").agg(
+    # one scan for all but the distinct ids, which alone are shuffled; one row a service
+    services = clean.groupBy("taxi_type").agg(
         F.count(one).alias("rows"),
-        F.collect_set("taxi_type").alias("services"),
+        F.count_if(F.col("trip_id").isNull()).alias("without"),
         F.sum(whole).alias("whole"),
         F.sum(behind).alias("behind"),
         *[v.alias(f"c{i}") for i, v in enumerate(counts.values())],
     )
-    none = F.col("trip_id").isNull()
-    facts = ids.agg(
-        F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"),
-        F.count_if(~none).alias("ids"),
-        F.coalesce(F.sum(F.when(none, F.col("rows"))), F.lit(0)).alias("without"),
-        F.size(F.array_distinct(F.flatten(F.collect_set("services")))).alias("services"),
+    added = ["rows", "without", *(f"c{i}" for i in range(len(counts)))]
+    facts = services.agg(
+        F.count("taxi_type").alias("services"),
         F.coalesce(joined_parts("whole", "behind"), F.lit(0).cast("decimal(38,9)")).alias(
             "amount"
         ),
-        *[F.coalesce(F.sum(f"c{i}"), F.lit(0)).alias(f"c{i}") for i in range(len(counts))],
+        *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in added],
     )
+    ids = distinct_count(clean, "trip_id", "ids").scalar()
     named = {
         "row count": F.col("rows"),
-        "duplicate trip_id count (expect 0)": F.col("rows") - F.col("ids"),
+        "duplicate trip_id count (expect 0)": F.col("rows") - ids,
         "null trip_id count (expect 0)": F.col("without"),
         **{name: F.col(f"c{i}") for i, name in enumerate(counts)},
         "distinct taxi_type count": F.col("services"),
