@@ -75,6 +75,11 @@ def rows_of(df: DataFrame, column: str, wanted: DataFrame, label: str) -> DataFr
         spark.conf.set(FILTERED, before)
 
 
+def as_row(df: DataFrame) -> Column:
+    """All columns as one struct, beside which any name is free."""
+    return F.struct(*[F.col(f"`{c}`") for c in df.columns])
+
+
 def whole(text: str) -> Column:
     """A text column with NULL as the empty text."""
     return F.coalesce(F.col(text), F.lit(""))
@@ -83,3 +88,40 @@ def whole(text: str) -> Column:
 def parts_for(amount: float, each: float) -> int:
     """How many partitions hold ``amount``, ``each`` per partition."""
     return max(1, math.ceil(amount / each))
+
+
+# --- rows that a list of keys may concern -----------------------------------------------
+
+SIEVE_BITS = 1 << 25  # 4 MB, whatever the number of keys
+PAGE_BITS = 1 << 15  # of Spark's bitmap functions
+
+
+def _place(key: Column) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(SIEVE_BITS)).cast("int")
+
+
+def sieve(wanted: DataFrame, key: str) -> DataFrame:
+    """A bitmap of the keys' hashes, in pages: at most 1,024 rows of 4 KB, to be broadcast."""
+    place = _place(F.col(key))
+    rows = wanted.select(
+        F.floor(place / PAGE_BITS).cast("int").alias("_page"),
+        (place % PAGE_BITS).cast("long").alias("_bit"),
+    )
+    return rows.groupBy("_page").agg(F.bitmap_construct_agg("_bit").alias("_bits"))
+
+
+def sifted(df: DataFrame, key: str, pages: DataFrame, name: str) -> DataFrame:
+    """``df`` with ``name``: whether the key may be in the sieve. No row moves.
+
+    True for every key that is, and for others by chance: rarely, unless the keys are as many as
+    the bits.
+    """
+    place = _place(F.col(key))
+    marked = df.withColumn("_page", F.floor(place / PAGE_BITS).cast("int"))
+    found = marked.join(F.broadcast(pages), "_page", "left")
+    bit = place % PAGE_BITS
+    byte = F.substring("_bits", F.floor(bit / 8).cast("int") + 1, F.lit(1))
+    value = F.conv(F.hex(byte), 16, 10).cast("int")
+    inside = F.expr("getbit(_value, _at)")
+    found = found.withColumn("_value", F.coalesce(value, F.lit(0))).withColumn("_at", bit % 8)
+    return found.withColumn(name, inside == 1).drop("_page", "_bits", "_value", "_at")

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from faremill.llm.common import parts_for, rows_of, stored, whole
+from faremill.llm.common import as_row, parts_for, rows_of, sieve, sifted, stored, whole
 
 # The characters that are deleted before texts are compared.
 DELETED = " \t\n\x0b\f\r"
@@ -173,15 +173,9 @@ def _flagged(runs: DataFrame, bitmaps: DataFrame) -> DataFrame:
     )
 
 
-def find_copies(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per input row: the key, ``keep_id``, ``group_size``, ``kept``, ``text_sha256``.
-
-    Texts are equal when identical after deleting ASCII white space; a NULL text counts as
-    empty. Of a group the row with the most code points in its original text stays, among
-    those the smallest key; a NULL key loses such ties. Rows that repeat the key, the text and
-    its length cannot be told apart: all of them carry the same ``kept``, and ``drop_copies``
-    returns one. An empty table gives an empty result. Keys are integers.
-    """
+def _judged(df: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFrame]:
+    """The rows that are alone for sure (``key``, ``digest``), and the suspects, judged by their
+    bytes (``key``, ``digest``, ``keep_id``, ``group_size``, ``kept``)."""
     rows = df.select(F.col(key).alias("key"), whole(text).alias("text"))
     norm = normalised("text")
     prints = rows.select(
@@ -193,40 +187,59 @@ def find_copies(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataF
     owners = parts_for(df.count(), OWNER_ROWS)
     runs = stored(_runs(prints, owners), "dedup-runs")
     bitmaps = _bitmaps(runs.select("run", "owner", "n", "k", "code", "counts"))
-    flagged = stored(_flagged(runs, bitmaps), "dedup-rows")
+    flagged = _flagged(runs, bitmaps).withColumn("row", F.monotonically_increasing_id())
+    flagged = stored(flagged, "dedup-rows")
     suspects = flagged.filter("suspect")
     # the texts of suspects only; rows without a key cannot be looked up and all come along
     wanted = suspects.filter(F.col("key").isNotNull()).select("key").distinct()
     texts = rows_of(rows, "key", stored(wanted, "dedup-suspects"), "dedup-texts")
     texts = texts.unionByName(rows.filter(F.col("key").isNull()))
-    best = F.max_by(
-        "key",
-        F.struct(
-            F.length("text").alias("a"),
-            F.col("key").isNotNull().alias("b"),
-            (-F.col("key")).alias("c"),
-        ),
-    )
+
+    def order(chars: Column) -> list[Column]:
+        # the complement turns the order round, without an overflow
+        return [chars, F.col("key").isNotNull(), F.bitwise_not("key")]
+
     groups = (
         texts.withColumn("norm", normalised("text"))
         .groupBy("norm")  # equal bytes, not equal hashes
         .agg(
-            best.alias("keep_id"),
-            F.max(F.length("text")).alias("most"),
+            F.max_by("key", F.struct(*order(F.length("text")))).alias("keep_id"),
             F.count(F.lit(1)).alias("group_size"),
         )
-        .select(F.sha2("norm", 256).alias("_digest"), "keep_id", "most", "group_size")
+        .select(F.sha2("norm", 256).alias("digest"), "keep_id", "group_size")
     )
-    found = flagged.join(
-        groups, F.col("suspect") & (F.col("digest") == F.col("_digest")), "left"
+    # of rows alike in key, text and length the first one stays
+    first = F.max_by("row", F.struct(*order(F.col("chars")), F.bitwise_not("row")))
+    winners = suspects.groupBy("digest").agg(first.alias("first"))
+    found = suspects.join(groups.join(winners, "digest"), "digest")
+    judged = found.select(
+        "key", "digest", "keep_id", "group_size", (F.col("row") == F.col("first")).alias("kept")
+    )
+    return flagged.filter(~F.col("suspect")).select("key", "digest"), judged
+
+
+def find_copies(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row per input row: the key, ``keep_id``, ``group_size``, ``kept``, ``text_sha256``.
+
+    Texts are equal when identical after deleting ASCII white space; a NULL text counts as
+    empty. Of a group the row with the most code points in its original text stays, among
+    those the smallest key; a NULL key loses such ties. Of rows that repeat the key, the text
+    and its length, which cannot be told apart, one is kept. An empty table gives an empty
+    result. Keys are integers.
+    """
+    alone, judged = _judged(df, key, text)
+    alone = alone.select(
+        "key",
+        "digest",
+        F.col("key").alias("keep_id"),
+        F.lit(1).cast("long").alias("group_size"),
+        F.lit(True).alias("kept"),
     )
-    keep = F.when(F.col("_digest").isNull(), F.col("key")).otherwise(F.col("keep_id"))
-    most = F.coalesce("most", "chars")
-    return found.select(
+    return alone.unionByName(judged).select(
         F.col("key").alias(key),
-        keep.alias("keep_id"),
-        F.coalesce("group_size", F.lit(1)).cast("long").alias("group_size"),
-        (F.col("key").eqNullSafe(keep) & (F.col("chars") == most)).alias("kept"),
+        "keep_id",
+        "group_size",
+        "kept",
         F.col("digest").alias("text_sha256"),
     )
 
@@ -234,20 +247,32 @@ def find_copies(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataF
 def drop_copies(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``df`` that stay, with all their columns; one row per group of equal texts.
 
-    ``df`` must give the same rows each time it is read.
+    ``df`` must give the same rows each time it is read. Rows stay where they are unless their
+    key is one of those of which rows go.
     """
-    found = find_copies(df, key, text)
-    kept = found.filter("kept").select(
-        F.col(key).alias("__key"), F.col("text_sha256").alias("__digest")
+    _, judged = _judged(df, key, text)
+    # keys are integers, so the empty text stands for NULL alone
+    name = F.coalesce(F.col("key").cast("string"), F.lit(""))
+    verdicts = judged.groupBy(name.alias("name"), "digest").agg(
+        F.max("kept").alias("one"), F.count(F.lit(1)).alias("n")
     )
-    rows = df.withColumns(
-        {"__sha": F.sha2(normalised(text), 256), "__chars": F.length(whole(text))}
+    # all rows of a key and text go, or all but one
+    verdicts = verdicts.filter(~F.col("one") | (F.col("n") > 1)).select("name", "digest", "one")
+    verdicts = stored(verdicts, "dedup-verdicts")
+    rows = df.select(
+        as_row(df).alias("row"),
+        F.coalesce(F.col(key).cast("string"), F.lit("")).alias("name"),
+        whole(text).alias("text"),
     )
-    joined = rows.join(
-        kept.distinct(),
-        F.col(key).eqNullSafe(F.col("__key")) & (F.col("__sha") == F.col("__digest")),
+    marked = sifted(rows, "name", sieve(verdicts, "name"), "concerned")
+    untouched = marked.filter(~F.col("concerned")).select("row")
+    digest, chars = F.sha2(normalised("text"), 256), F.length("text")
+    some = marked.filter("concerned").select(
+        "row", "name", digest.alias("digest"), chars.alias("chars")
     )
+    some = some.join(verdicts, ["name", "digest"], "left").filter(F.coalesce("one", F.lit(True)))
     # rows with one key and one text: the longest of them, one of equal ones
-    longest = Window.partitionBy("__key", "__digest").orderBy(F.desc("__chars"))
-    alone = joined.withColumn("__n", F.row_number().over(longest)).filter("__n = 1")
-    return alone.select(*[df[c] for c in df.columns])
+    longest = Window.partitionBy("name", "digest").orderBy(F.desc("chars"))
+    some = some.withColumn("n", F.row_number().over(longest))
+    some = some.filter(F.col("one").isNull() | (F.col("n") == 1)).select("row")
+    return untouched.unionByName(some).select("row.*")
