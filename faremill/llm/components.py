@@ -40,3 +40,24 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         labels = step.select("id", "label")
         if not step.filter(F.col("label") != F.col("was")).limit(1).count():
             return labels
+
+
+def joined(labels: DataFrame, links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
+    """``labels`` after more links, whose ids may be new.
+
+    The ends are replaced by their labels first: what is joined already is left out, and of
+    many links between two components one remains.
+    """
+    of = labels.select(F.col("id").alias("_of"), F.col("label").alias("_label"))
+    ends = links.select(F.col(a).alias("a"), F.col(b).alias("b"))
+    for end in ("a", "b"):
+        named = ends.join(of, F.col(end) == F.col("_of"), "left")
+        ends = named.withColumn(end, F.coalesce("_label", end)).drop("_of", "_label")
+    between = ends.filter("a <> b")
+    between = between.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    above = components(stored(between.distinct(), "label-links"))
+    moved = labels.join(
+        above.select(F.col("id").alias("label"), F.col("label").alias("_to")), "label", "left"
+    ).select("id", F.coalesce("_to", "label").alias("label"))
+    new = above.join(labels.select("id"), "id", "left_anti")
+    return stored(moved.unionByName(new.select("id", "label")), "labels-joined")

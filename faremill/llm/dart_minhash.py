@@ -11,8 +11,9 @@ in a coordinate with the probability of their weighted Jaccard similarity.
 Coordinates are banded; texts with a band in common are candidates, and their similarity is
 computed exactly from the shingles. Links are then found in two steps:
 
-1. In every band each text is compared with one of those that have the band, another one in
-   each band. That is linear in the size of a group, and joins most groups to one component.
+1. Each text is compared with one of those that have its largest band, and then, in its other
+   bands, with one that is still in another component; it is another one in each band. That
+   is linear in the size of a group, and joins most groups to one component.
 2. In bands whose texts are still in several components, texts of different components are
    compared with each other, block by block, each pair in the first band it shares. Texts
    that are joined already are not compared, and those of a band's largest component meet only
@@ -34,8 +35,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from faremill.llm.common import rows_of, stored, whole
-from faremill.llm.components import components
+from faremill.llm.common import as_row, rows_of, sieve, sifted, stored, whole
+from faremill.llm.components import components, joined
 from faremill.llm.word_hash import mix, word_hashes
 
 WORDS = 5
@@ -195,8 +196,9 @@ def _verified(pairs: DataFrame, texts: DataFrame, least: float, words: int) -> D
 
 
 def _based(df: DataFrame) -> DataFrame:
-    """The rows with a number of their own, stored: keys may repeat or be NULL."""
-    return stored(df.withColumn("__uid", F.monotonically_increasing_id()), "near-rows")
+    """The rows, as one column, with a number of their own, stored: keys may repeat or be NULL."""
+    numbered = df.select(as_row(df).alias("row"), F.monotonically_increasing_id().alias("uid"))
+    return stored(numbered, "near-rows")
 
 
 def _representatives(texts: DataFrame, words: int) -> tuple[DataFrame, DataFrame]:
@@ -317,39 +319,57 @@ def _similarities(
     return shared / (one[1].sum() + np.add.reduceat(counts, starts) - shared)
 
 
-def _links(
+def _judged(pairs: DataFrame, texts: DataFrame, least: float, words: int, name: str) -> DataFrame:
+    """Links among pairs (``id``, ``lead``), stored."""
+    ordered = pairs.select(F.least("id", "lead").alias("a"), F.greatest("id", "lead").alias("b"))
+    return stored(_verified(ordered.distinct(), texts, least, words), name)
+
+
+def _labels(
     texts: DataFrame, bands_of: DataFrame, least: float, words: int, block: int
 ) -> DataFrame:
-    """(a, b): enough links between representatives to connect all that are similar."""
+    """``id`` and ``label`` of the representatives that are linked to another one.
+
+    Links are found in three rounds, and after each the components found so far count as one:
+    each text with the lead of its largest band, then with the leads of its other bands that
+    have another label, then the members of bands that several components share. So a round
+    has about one pair a text, and what joins components is a link of labels, not of texts.
+    """
     bands = bands_of.select("id", F.explode("bands").alias("band"))
     # most bands hold one text; what follows reads the others only
     shared = stored(bands.join(_groups(bands), "band"), "near-shared")
-    pairs = shared.filter("id <> lead").select(
-        F.least("id", "lead").alias("a"), F.greatest("id", "lead").alias("b")
-    ).distinct()
-    pairs = stored(pairs, "near-pairs")
-    ends = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id")))
-    ends = stored(ends.distinct(), "near-ends")
+    ends = stored(shared.select("id").distinct(), "near-ends")
     texts = rows_of(texts, "id", ends, "near-texts")
-    links = stored(_verified(pairs, texts, least, words), "near-links")
-    dealt = _crossing(shared, components(links), block)
+
+    first = shared.groupBy("id").agg(F.max_by("lead", F.struct("n", "band")).alias("lead"))
+    pairs = first.filter("id <> lead")
+    labels = components(_judged(pairs, texts, least, words, "near-first"))
+
+    named = shared.join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
+    named = stored(named, "near-named")
+    leads = named.filter("id = lead").select("band", F.col("label").alias("lead_label"))
+    apart = named.join(leads, "band").filter("label <> lead_label").select("id", "lead")
+    labels = joined(labels, _judged(apart, texts, least, words, "near-second"))
+
+    dealt = _crossing(shared, labels, block)
     rows = dealt.join(texts, "id").join(bands_of, "id")
 
     def compare(group: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame(_compare(group, least, words), columns=["a", "b"], dtype="int64")
 
     more = rows.groupBy("band", "i", "j").applyInPandas(compare, "a long, b long")
-    return links.unionByName(stored(more, "near-more"))
+    return joined(labels, stored(more, "near-more"))
 
 
 def _classes(
     base: DataFrame, key: str, text: str, least: float, words: int, block: int
 ) -> DataFrame:
     """Per row of a based frame: ``id``, ``class_id``, ``class_size``, ``kept``."""
-    texts = base.select(F.col("__uid").alias("id"), whole(text).alias("text"))
+    texts = base.select(F.col("uid").alias("id"), whole(f"row.`{text}`").alias("text"))
     owners, bands = _representatives(texts, words)
-    labels = components(_links(texts, bands, least, words, block))
-    rows = base.select(F.col("__uid").alias("id"), F.col(key).alias("key")).join(owners, "id")
+    labels = _labels(texts, bands, least, words, block)
+    rows = base.select(F.col("uid").alias("id"), F.col(f"row.`{key}`").alias("key"))
+    rows = rows.join(owners, "id")
     rows = rows.join(labels.withColumnRenamed("id", "rep"), "rep", "left").select(
         "id", "key", F.coalesce("label", "rep").alias("label")
     )
@@ -397,8 +417,11 @@ def drop_near_duplicates(
     words: int = WORDS,
     block: int = BLOCK,
 ) -> DataFrame:
-    """The kept row of each class, with all columns of ``df``."""
+    """The kept row of each class, with all columns of ``df``; most rows stay where they are."""
     base = _based(df)
-    kept = _classes(base, key, text, least, words, block).filter("kept")
-    rows = base.join(kept.select(F.col("id").alias("__uid")), "__uid", "left_semi")
-    return rows.select(*df.columns)
+    gone = _classes(base, key, text, least, words, block).filter(~F.col("kept"))
+    gone = stored(gone.select(F.col("id").alias("uid")), "near-gone")
+    marked = sifted(base, "uid", sieve(gone, "uid"), "concerned")
+    untouched = marked.filter(~F.col("concerned")).select("row")
+    some = marked.filter("concerned").join(gone, "uid", "left_anti").select("row")
+    return untouched.unionByName(some).select("row.*")

@@ -10,10 +10,12 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from faremill.llm import dart_minhash, exact_dedup
-from faremill.llm.common import prepare
-from faremill.llm.components import components
+from faremill.llm.common import prepare, sieve, sifted
+from faremill.llm.components import components, joined
+from tests.conftest import plan
 from tests.llm.helpers import edge_documents, empty_documents, words
 
 
@@ -49,10 +51,13 @@ def brute(rows):
     out = Counter()
     for text, members in groups.items():
         best = min(members, key=lambda m: (-m[1], m[0] is None, m[0] or 0))
+        sha = hashlib.sha256(text.encode()).hexdigest()
         for m in members:
-            sha = hashlib.sha256(text.encode()).hexdigest()
-            out[(m[0], best[0], len(members), m == best, sha)] += 1
-    return out
+            out[(m[0], best[0], len(members), False, sha)] += 1
+        # one row is kept, also of rows that are alike in all
+        out[(best[0], best[0], len(members), False, sha)] -= 1
+        out[(best[0], best[0], len(members), True, sha)] += 1
+    return +out
 
 
 @pytest.mark.parametrize("owner_rows", [4, 1_000_000])
@@ -80,6 +85,53 @@ def test_dropping_keeps_one_row_of_each_text_with_all_columns(spark):
     assert exact_dedup.drop_copies(empty_documents(spark)).count() == 0
 
 
+def test_equal_rows_keep_one(spark):
+    rows = [(1, "same text")] * 700 + [(2, "same  text")] * 3 + [(None, "same text")] * 5 + [(3, "x")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = Counter(tuple(r) for r in exact_dedup.find_copies(df).collect())
+    assert got == brute(rows) and sum(n for r, n in got.items() if r[3]) == 2
+    left = exact_dedup.drop_copies(df).collect()
+    assert sorted((r.doc_id, r.text) for r in left) == [(2, "same  text"), (3, "x")]
+
+
+def test_columns_called_like_internal_ones(spark):
+    names = ["row", "name", "digest", "chars", "one", "n", "key", "concerned", "_page", "_bits", "a.b"]
+    rows = [(i, f"text {i % 7}" + " " * (i % 3), *([str(i)] * len(names))) for i in range(40)]
+    columns = ["doc_id", "text", *names]
+    df = spark.createDataFrame(rows, columns)
+    left = exact_dedup.drop_copies(df)
+    assert left.columns == columns
+    got = left.collect()
+    assert all(set(r[2:]) == {str(r[0])} for r in got)
+    kept = {k[0] for k, n in brute([r[:2] for r in rows]).items() if k[3]}
+    assert {r.doc_id for r in got} == kept and len(got) == 7
+
+
+def test_only_rows_of_concerned_keys_move(spark, folder):
+    """The scan that feeds the result's untouched part has no exchange over it."""
+    rows = [(i, f"text number {i // 2 if i < 20 else i}") for i in range(3000)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(folder + "/docs")
+    left = exact_dedup.drop_copies(spark.read.parquet(folder + "/docs"))
+    assert left.count() == 2990
+    pages = sieve(spark.createDataFrame([(str(i),) for i in range(20)], "name string"), "name")
+    marked = sifted(spark.read.parquet(folder + "/docs").selectExpr("string(doc_id) AS name"), "name", pages, "m")
+    assert "hashpartitioning(name" not in plan(marked)
+    some = {int(r.name) for r in marked.filter("m").collect()}
+    assert set(range(20)) <= some and len(some) < 40
+
+
+@pytest.mark.parametrize("count", [0, 1, 5000])
+def test_a_sieve_holds_its_keys(spark, count):
+    wanted = spark.range(count).select((F.col("id") * 7919).alias("k"))
+    pages = sieve(wanted, "k")
+    assert pages.count() <= 1024
+    marked = sifted(spark.range(0, 60_000, 7).withColumnRenamed("id", "k"), "k", pages, "m")
+    mine = {i * 7919 for i in range(count)}
+    got = {r.k: r.m for r in marked.collect()}
+    assert all(m for k, m in got.items() if k in mine)
+    assert sum(m for k, m in got.items() if k not in mine) < 60
+
+
 # --- near -----------------------------------------------------------------------------
 
 
@@ -127,6 +179,20 @@ def test_components(spark):
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_components_after_more_links(spark):
+    rng = random.Random(4)
+    links = [(rng.randrange(300), rng.randrange(300)) for _ in range(240)]
+    links += [(500, 501), (501, 502), (7, 502)]
+    frame = lambda some: spark.createDataFrame(some, "a long, b long")
+    labels = components(frame(links[:90]))
+    for cut in (links[90:200], links[200:], [], [(1, 1)]):
+        labels = joined(labels, frame(cut))
+    got = {r.id: r.label for r in labels.collect()}
+    want = classes(links, {x for pair in links for x in pair})
+    # an id that is linked to itself only need not be there
+    assert {i: got.get(i, i) for i in want} == want
+
+
 def classes(links, ids):
     label = {i: i for i in ids}
 
@@ -228,5 +294,9 @@ def test_edge_documents_have_classes(spark):
     assert by[(10, 1)] == [(10, True)] and by[(11, 1)] == [(11, True)] and by[(5, 1)] == [(5, True)]
     left = dart_minhash.drop_near_duplicates(df)
     assert left.columns == df.columns and left.count() == len(by)
+    clashing = df.withColumns({"uid": F.lit(1), "row": F.lit(2), "label": F.lit(3)})
+    left = dart_minhash.drop_near_duplicates(clashing)
+    assert left.columns == clashing.columns and left.count() == len(by)
+    assert {(r.uid, r.row, r.label) for r in left.collect()} == {(1, 2, 3)}
     assert dart_minhash.near_duplicates(empty_documents(spark)).count() == 0
     assert dart_minhash.drop_near_duplicates(empty_documents(spark)).count() == 0
