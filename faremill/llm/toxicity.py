@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from faremill.llm.common import stored, whole
+from faremill.llm.common import as_row, stored, whole
 from faremill.llm.word_hash import Words, mix
 
 BUCKETS = 1 << 16
@@ -41,7 +41,6 @@ BATCH = 16
 RATE = 0.2
 HELD_OUT = 2  # the fold, of crc32(key) mod 4
 CUT = 0.3
-CUTS = (0.3, 0.9)  # thresholds by language stay within
 BINS = 1024  # of the histogram of scores; a power of two, so that its edges are exact
 
 
@@ -247,16 +246,21 @@ def _platt(
 
 def _threshold(counts: np.ndarray) -> float | None:
     """The cut with the best F1 for the rows by label and bin of score; half way to the next
-    lower bin that holds rows. None unless there are rows of both labels."""
+    lower bin that holds rows. Of the rows above a cut at least half must be toxic: a model that
+    cannot tell them apart would else reject all. None unless there are rows of both labels and
+    such a cut."""
     total = counts[1].sum()
     if not total or not counts[0].sum():
         return None
     rows = counts.sum(axis=0)
     hits, taken = np.cumsum(counts[1, ::-1]), np.cumsum(rows[::-1])
-    at = BINS - 1 - int(np.argmax(2 * hits / (taken + total)))
+    f1 = np.where(2 * hits >= taken, 2 * hits / (taken + total), 0)
+    if not f1.max() > 0:
+        return None
+    at = BINS - 1 - int(np.argmax(f1))
     below = np.flatnonzero(rows[:at])
     lowest = below[-1] + 1 if len(below) else at
-    return float(np.clip((at + lowest) / 2 / BINS, *CUTS))
+    return float((at + lowest) / 2 / BINS)
 
 
 # --- Spark ----------------------------------------------------------------------------
@@ -274,7 +278,6 @@ def train_model(
     lang: str = "lang",
     label: str = "toxic",
     sample: dict[int, int] | None = None,
-    thresholds: bool = True,
 ) -> Model:
     """Fit on a bounded sample: of each class the rows with the smallest hashes of their keys.
 
@@ -284,10 +287,11 @@ def train_model(
     that fits gets no more rows than the sample has keys, however hot a key is. Whole texts are
     used, a NULL text as empty. Without labels the model scores by chance near 0.
 
-    Unless ``thresholds`` is false, all labelled rows outside the held-out fold, the sample's
-    among them, are scored for the thresholds: each language's is the best for F1 on its rows. A
+    All labelled rows outside the held-out fold, the sample's among them, are scored for the
+    thresholds: each language's is the best for F1 on its rows. A
     language that lacks toxic or other labelled rows, and a NULL or empty one, gets the general
-    threshold, of the rows of all languages; if those lack one label it is ``CUT``.
+    threshold, of the rows of all languages; so does one without a cut above which at least
+    half of its rows are toxic. If the general one cannot be found so, it is ``CUT``.
     """
     sample = sample or SAMPLE
     usable = labels.filter(
@@ -324,8 +328,7 @@ def train_model(
     if not found:
         return train([""], [0], [None], 0.0)
     model = pickle.loads(found["model"])
-    if thresholds:
-        model.thresholds = _thresholds(documents, usable, model)
+    model.thresholds = _thresholds(documents, usable, model)
     return model
 
 
@@ -353,22 +356,43 @@ def _thresholds(documents: DataFrame, usable: DataFrame, model: Model) -> dict[s
 
 
 def score_documents(
-    df: DataFrame, model: Model, key: str = "doc_id", text: str = "text", cut: float = CUT
+    df: DataFrame,
+    model: Model,
+    key: str = "doc_id",
+    text: str = "text",
+    cut: float = CUT,
+    lang: str | None = None,
 ) -> DataFrame:
     """One row per input row: the key, ``held_out``, ``score`` (0 to 1), ``predicted``.
 
     The score is the text's alone. A NULL text counts as empty and gets the score of a text
     without words; a NULL key is not held out. Rows that repeat get the same score; an empty
-    table gives an empty result.
+    table gives an empty result. With ``lang``, the name of a column, also the ``threshold`` of
+    the row's language and whether the row is ``rejected``, as ``drop_toxic`` does.
     """
-    rows = df.select(F.col(key).alias("_key"), whole(text).alias("_text"))
+    own = [] if lang is None else [_limit(model, lang).alias("_limit")]
+    rows = df.select(F.col(key).alias("_key"), whole(text).alias("_text"), *own)
     scored = rows.withColumn("_score", _scorer(model)("_text"))
-    return scored.select(
+    found = [
         F.col("_key").alias(key),
         F.coalesce(held_out(F.col("_key")), F.lit(False)).alias("held_out"),
         F.col("_score").alias("score"),
         (F.col("_score") >= cut).cast("int").alias("predicted"),
-    )
+    ]
+    if lang is not None:
+        found.append(F.col("_limit").alias("threshold"))
+        found.append((F.col("_score") >= F.col("_limit")).alias("rejected"))
+    return scored.select(*found)
+
+
+def _limit(model: Model, lang: str) -> Column:
+    """The threshold of a row's language."""
+    thresholds = {k: v for k, v in model.thresholds.items() if k}
+    general = F.lit(model.thresholds.get("", CUT))
+    if not thresholds:
+        return general
+    table = F.create_map(*[F.lit(x) for pair in sorted(thresholds.items()) for x in pair])
+    return F.coalesce(F.try_element_at(table, F.col(lang).cast("string")), general)
 
 
 def _scorer(model: Model):
@@ -385,11 +409,9 @@ def drop_toxic(
     df: DataFrame, model: Model, text: str = "text", lang: str = "lang"
 ) -> DataFrame:
     """The rows whose score is below the threshold of their language, with all columns."""
-    thresholds = {k: v for k, v in model.thresholds.items() if k}
-    general = F.lit(model.thresholds.get("", CUT))
-    limit = general
-    if thresholds:
-        table = F.create_map(*[F.lit(x) for pair in sorted(thresholds.items()) for x in pair])
-        limit = F.coalesce(F.try_element_at(table, F.col(lang).cast("string")), general)
-    scored = df.withColumn("__score", _scorer(model)(whole(text)))
-    return scored.filter(F.col("__score") < limit).drop("__score")
+    scored = df.select(
+        as_row(df).alias("row"),
+        _scorer(model)(whole(text)).alias("score"),
+        _limit(model, lang).alias("limit"),
+    )
+    return scored.filter(F.col("score") < F.col("limit")).select("row.*")
