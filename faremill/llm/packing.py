@@ -11,10 +11,15 @@ The plan:
 2. For these sizes the best mix of configurations (which sizes fill a sequence) is found by
    linear programming with generated columns; whole multiples are taken.
 3. Actual documents take the places of their group, longest first, so each sequence gets back
-   what rounding had added to it. Sequences in which that is more than ``slack`` are opened
-   again.
+   what rounding had added to it. Its last places, the shortest, are left open, so that they can
+   take what fits best.
 4. What is left over and the small ones go, longest first, where they leave the least room
-   (best fit), into a new sequence if none has room.
+   (best fit), into a new sequence if none has room. Once, the emptiest tenth of the configured
+   sequences is taken apart, and its documents are placed again in this way.
+
+Steps 3 and 4 are done with up to three places open, and the plan with the fewest sequences
+counts. It comes from the configurations in any case, also where best fit alone would need a few
+sequences less.
 
 Equal sequences are never listed one by one: a run is a composition (its lengths) and how
 often it occurs. A piece finds its sequence by its rank among the pieces of its length.
@@ -42,9 +47,10 @@ from faremill.llm.common import stored, whole
 TOKENIZER = "byte_bpe_50k.json"
 SIZE = 1024
 END_ID = 2
-GROUPS = 64  # sizes after rounding
+GROUPS = 128  # sizes after rounding
 SMALL = 64  # lengths up to this are small
-SLACK = 1  # a configuration that leaves more room with its actual documents is reopened
+OPEN = (0, 1, 2, 3)  # last places of a configuration that are left to the best fit
+AGAIN = 0.1  # share of the configured sequences, the emptiest, that are placed once more
 GAP = 0.002  # the linear program ends within this share of its optimum
 
 
@@ -53,9 +59,13 @@ GAP = 0.002  # the linear program ends within this share of its optimum
 
 @dataclass
 class Runs:
-    """Sequences as compositions (tuples of lengths, in their order) with multiplicities."""
+    """Sequences as compositions (tuples of lengths, in their order) with multiplicities.
+
+    ``configured`` of them hold the documents that their configuration's places were filled with.
+    """
 
     runs: list[tuple[tuple[int, ...], int]]
+    configured: int = 0
 
     def sequences(self) -> int:
         return sum(n for _, n in self.runs)
@@ -222,12 +232,43 @@ def best_fit(runs: Runs, counts: dict[int, int], size: int = SIZE) -> Runs:
     return Runs([(c, n) for by in free.values() for c, n in by.items()])
 
 
+# a length of nothing at its beginning marks a configured sequence while a plan is made
+MARK = 0
+
+
+def _opened(places: dict[int, int], last: int) -> dict[int, int]:
+    """A configuration without its ``last`` shortest places; one place stays."""
+    left = dict(places)
+    for _ in range(min(last, sum(places.values()) - 1)):
+        shortest = max(left)  # groups are numbered from the longest
+        left[shortest] -= 1
+        if not left[shortest]:
+            del left[shortest]
+    return left
+
+
+def _emptiest(packed: Runs, share: float, size: int) -> tuple[Runs, dict[int, int]]:
+    """The plan without that share of its configured sequences, and their pieces."""
+    marked = [r for r in packed.runs if r[0][0] == MARK]
+    wanted = int(share * sum(n for _, n in marked))
+    kept = [r for r in packed.runs if r[0][0] != MARK]
+    left: Counter = Counter()
+    for composition, n in sorted(marked, key=lambda r: (sum(r[0]), r[0])):
+        taken = min(n, wanted) if sum(composition) < size else 0
+        wanted -= taken
+        for length in composition[1:]:
+            left[length] += taken
+        if n > taken:
+            kept.append((composition, n - taken))
+    return Runs(kept), dict(left)
+
+
 def plan(
     counts: dict[int, int],
     size: int = SIZE,
     groups: int = GROUPS,
     small: int = SMALL,
-    slack: int = SLACK,
+    again: float = AGAIN,
 ) -> Runs:
     """Sequences for ``counts`` pieces by length (1 to ``size``)."""
     large = {k: v for k, v in counts.items() if small < k < size}
@@ -236,18 +277,21 @@ def plan(
     mix = configurations([s for s, _ in sizes], demand, size)
     # small parts of multiples are left to the best fit
     chosen = [(places, int(times + 1e-6)) for places, times in mix if times + 1e-6 >= 1]
-    stock = Stock({k: v for k, v in counts.items() if k < size})
-    placed = Runs([])
-    for composition, n in substitute(chosen, sizes, stock).runs:
-        if size - sum(composition) <= slack:
-            placed.runs.append((composition, n))
-            continue
-        for length in composition:
-            stock.counts[length] += n
-    packed = best_fit(placed, stock.counts, size)
+    found = []
+    for last in OPEN:
+        stock = Stock({k: v for k, v in counts.items() if k < size})
+        filled = substitute([(_opened(p, last), n) for p, n in chosen], sizes, stock)
+        marked = Runs([((MARK, *composition), n) for composition, n in filled.runs])
+        packed = best_fit(marked, stock.counts, size)
+        found.append(packed)
+        if again:
+            found.append(best_fit(*_emptiest(packed, again, size), size))
+    best = min(found, key=Runs.sequences)
+    configured = sum(n for composition, n in best.runs if composition[0] == MARK)
+    plain = [(c[1:] if c[0] == MARK else c, n) for c, n in best.runs]
     if counts.get(size):
-        packed.runs.append(((size,), counts[size]))
-    return packed
+        plain.append(((size,), counts[size]))
+    return Runs(plain, configured)
 
 
 @dataclass
