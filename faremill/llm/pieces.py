@@ -29,7 +29,6 @@ import heapq
 import math
 import zlib
 from array import array
-from bisect import insort
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -47,7 +46,7 @@ NBEST = 4
 MEMO = 1_000_000  # parts that a worker remembers
 FREQUENT = 4000  # parts of a batch that are searched without a limit
 BATCH_CHARS = 1 << 20
-LONGEST = 256  # longer parts are solved by lists: a queue would copy long rows of ids
+LONGEST = 256  # parts up to this get their forward scores together, longer ones one by one
 UNKNOWN_LOSS = 10.0  # an unknown character scores so much less than the worst piece
 SPACE = "▁"
 BETWEEN = 0x110000  # no character; ends a text of a batch
@@ -181,10 +180,7 @@ class Pieces:
     ) -> list[tuple[float, tuple[int, ...]]]:
         """(score, ids reversed) of the n best segmentations that lose ``limit`` at most, best
         first. ``best`` are the forward scores."""
-        if len(part) > LONGEST:
-            found = self._by_lists(part)
-        else:
-            found = self._backward(part, best, limit)
+        found = self._backward(part, best, limit)
         if any(ids and min(ids) < 0 for _, ids in found):
             return [(score, self._expanded(part, ids[::-1])[::-1]) for score, ids in found]
         return found
@@ -194,14 +190,15 @@ class Pieces:
     ) -> None:
         """Solve parts that stand at ``starts``, each up to its limit, and keep the results."""
         lengths = np.array([len(p) for p in parts], np.int64)
-        solved, nothing = self.solved, np.empty(0)
+        solved = self.solved
         order = np.argsort(-lengths, kind="stable")
         magnitude = np.ceil(np.log2(np.maximum(lengths[order], 1))).astype(int)
         magnitude[lengths[order] > LONGEST] = 99
         for size in np.unique(magnitude):
             group = order[magnitude == size]
             if size == 99:
-                rest, best = group.tolist(), [nothing] * len(group)
+                rest = group.tolist()
+                best = (self._forward(parts[k]) for k in rest)
             else:
                 places = Places(self, spans, starts[group], lengths[group])
                 alone, ids, sizes = places.alone(limits[group])
@@ -232,54 +229,50 @@ class Pieces:
             edges.append((at - 1, -at, self.unknown))
         return edges
 
+    def _forward(self, part: str) -> list[float]:
+        """Viterbi: the best score from the start to every place."""
+        best = [0.0]
+        for at in range(1, len(part) + 1):
+            best.append(max(best[i] + score for i, _, score in self._into(part, at)))
+        return best
+
     def _backward(
         self, part: str, best: list[float], limit: float
     ) -> list[tuple[float, tuple[int, ...]]]:
         """A-star from the end. Since the forward score is exact, every open segmentation has a
-        completion of its value; so no more need to be open than are still wanted."""
+        completion of its value; so no more need to be open than are still wanted.
+
+        Open segmentations are kept in the order of their ids, which the children of one take
+        over in its place: so the first of equal values is the one with the smaller ids, and
+        ids are links to a parent, however long the part is.
+        """
         n = len(part)
-        queue = [(-best[n], (), n, 0.0)]
+        open_: list[tuple[float, int, float, tuple | None]] = [(-best[n], n, 0.0, None)]
         found = []
         wanted = self.nbest
         most = limit - best[n]
-        while queue and wanted:
-            value, ids, at, behind = queue.pop(0)
+        while open_ and wanted:
+            first = min(range(len(open_)), key=lambda k: open_[k][0])
+            value, at, behind, link = open_[first]
             if not at:
-                found.append((-value, ids))
+                ids = []
+                while link:
+                    ids.append(link[0])
+                    link = link[1]
+                found.append((-value, tuple(ids[::-1])))
                 wanted -= 1
+                del open_[first]
                 continue
+            children = []
             for i, id_, score in self._into(part, at):
                 value = -(best[i] + score + behind)
-                if value > most:
-                    continue
-                entry = (value, (*ids, id_), i, behind + score)
-                if len(queue) >= wanted:
-                    if entry > queue[-1]:
-                        continue
-                    queue.pop()
-                insort(queue, entry)
-        return found
-
-    def _by_lists(
-        self, part: str
-    ) -> list[tuple[float, tuple[int, ...]]]:
-        """The same by n best lists for every place, without carrying ids along."""
-        lists: list[list[tuple]] = [[(0.0, 0, 0, 0)]]
-        for at in range(1, len(part) + 1):
-            ways = [
-                (lists[i][k][0] - score, id_, k, i)
-                for i, id_, score in self._into(part, at)
-                for k in range(len(lists[i]))
-            ]
-            lists.append(heapq.nsmallest(self.nbest, ways))
-        found = []
-        for value, *_ in lists[-1]:
-            ids, at, k = [], len(part), len(found)
-            while at:
-                _, id_, k, before = lists[at][k]
-                ids.append(id_)
-                at = before
-            found.append((-value, tuple(ids)))
+                if value <= most:
+                    children.append((id_, (value, i, behind + score, (id_, link))))
+            children.sort(key=lambda c: c[0])
+            open_[first : first + 1] = [c[1] for c in children]
+            while len(open_) > wanted:
+                # of equal values the one with the largest ids goes
+                del open_[max(range(len(open_)), key=lambda k: (open_[k][0], k))]
         return found
 
     def _expanded(self, part: str, ids: tuple[int, ...]) -> tuple[int, ...]:
