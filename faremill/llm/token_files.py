@@ -227,13 +227,16 @@ def write_tokens(
 
     A NULL text is empty: its document is the end id alone. Keys are integers; NULL comes
     first, rows with equal keys are ordered by their texts' hash and may lie in several files.
-    An empty table gives a folder without documents. The texts are dealt by ranges of the key
-    (and of the texts' hash, so that one key cannot fill a file) and encoded once, after that.
+    An empty table gives a folder without documents. The texts are dealt by ranges of the key,
+    of the texts' hash and of a number of the row, so that neither a key nor a row that repeats
+    can fill a file, and encoded once, after that.
     """
     rows = df.select(F.col(key).cast("long").alias("key"), whole(text).alias("text"))
     rows = rows.withColumn("tie", F.xxhash64("text"))
+    # rows alike in key and text are interchangeable, so any number may deal them out
+    rows = rows.withColumn("copy", F.monotonically_increasing_id())
     chars = rows.agg(F.sum(F.length("text") + 16)).first()[0] or 0
-    order: list[Column] = [F.col("key").asc_nulls_first(), F.col("tie").asc()]
+    order: list[Column] = [F.col("key").asc_nulls_first(), F.col("tie").asc(), F.col("copy").asc()]
     spread = rows.repartitionByRange(parts_for(chars, file_chars), *order)
     frames = spread.sortWithinPartitions(*order).select("key", "text")
     stored = frames.mapInArrow(_frames(tokenizer, end_id), "data binary")
