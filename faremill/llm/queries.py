@@ -70,9 +70,8 @@ def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
-    # scores do not depend on thresholds
-    model = train_model(documents, table(spark, sf_dir, "labels"), thresholds=False)
-    return score_documents(documents, model)
+    model = train_model(documents, table(spark, sf_dir, "labels"))
+    return score_documents(documents, model, lang="lang")
 
 
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -117,17 +116,17 @@ QUERIES: dict[str, Runner] = {
 # DuckDB statements, where SQL can express the operator
 _OP1 = """
 WITH v AS (
-  SELECT DISTINCT vec_id, [floor(256 * x::DOUBLE) FOR x IN embedding] AS e
+  SELECT row_number() OVER () AS n, vec_id, [floor(256 * x::DOUBLE) FOR x IN embedding] AS e
   FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
     AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
 ),
 s AS (
-  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e)::BIGINT AS score
-  FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id AND len(c.e) = len(q.e)
+  SELECT q.n, q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e)::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.n <> q.n AND len(c.e) = len(q.e)
 ),
 r AS (
-  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank
+  SELECT *, row_number() OVER (PARTITION BY n ORDER BY score DESC, vec_id)::INT AS rank
   FROM s
 )
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import math
 import random
+import re
 import struct
+import time
 import unicodedata
 import zlib
 from collections import Counter
@@ -14,7 +17,7 @@ import pytest
 import sentencepiece
 from pyspark.sql import functions as F
 
-from faremill.llm import pieces, toxicity
+from faremill.llm import pieces, toxicity, word_hash
 from faremill.llm.common import prepare
 from faremill.llm.word_hash import Words
 from tests.llm.helpers import edge_documents, empty_documents
@@ -86,6 +89,44 @@ def test_scores_equal_the_library_on_a_unigram_reading():
         assert all(library.decode(list(numbers(i))) == text for _, i in found)
 
 
+def by_lists(p, part):
+    """The n best of a part by n best lists for every place."""
+    lists = [[(0.0, 0, 0, 0)]]
+    for at in range(1, len(part) + 1):
+        ways = [
+            (lists[i][k][0] - score, id_, k, i)
+            for i, id_, score in p._into(part, at)
+            for k in range(len(lists[i]))
+        ]
+        lists.append(sorted(ways)[: p.nbest])
+    found = []
+    for n, (value, *_) in enumerate(lists[-1]):
+        ids, at, k = [], len(part), n
+        while at:
+            _, id_, k, before = lists[at][k]
+            ids.append(id_)
+            at = before
+        found.append((-value, ids))
+    return found
+
+
+def test_long_parts_by_the_same_search():
+    """A-star with links gives what lists for every place give, with many equal values."""
+    p = pieces.Pieces(PATH)
+    rng = random.Random(3)
+    for part in ("a" * 700, "".join(rng.choices("eainst", k=900)), "日本語" * 150, "ab" * 400):
+        found = p._backward(part, p._forward(part), float("inf"))
+        want = by_lists(p, part)
+        assert [f[0] for f in found] == pytest.approx([w[0] for w in want])
+        assert len({f[1] for f in found}) == len(found) == len(want)
+        for score, ids in found:
+            total = sum(p.unknown if i < 0 else p.processor.get_score(i) for i in ids)
+            assert total == pytest.approx(score)
+    start = time.perf_counter()
+    p._backward("a" * 60_000, p._forward("a" * 60_000), float("inf"))
+    assert time.perf_counter() - start < 30
+
+
 def test_forgetting_does_not_change_results(monkeypatch):
     rng = random.Random(2)
     texts = [" ".join(rng.choices(["alpha", "beta", "gammas", "deltaic", "é"], k=30)) for _ in range(60)]
@@ -229,6 +270,12 @@ def test_thresholds_have_the_best_f1():
 
         assert f1(toxicity._threshold(counts)) == max(f1(s) for s in scores)
     assert toxicity._threshold(np.zeros((2, toxicity.BINS))) is None
+    # scores that do not tell toxic rows apart give no cut, whatever they are
+    blind = np.zeros((2, toxicity.BINS), np.int64)
+    blind[0, 50:60], blind[1, 50:60] = 9, 1
+    assert toxicity._threshold(blind) is None
+    blind[1, 59] = 12
+    assert 58 < toxicity._threshold(blind) * toxicity.BINS <= 59
 
 
 def test_edge_documents_get_scores(spark, trained):
@@ -252,6 +299,73 @@ def test_no_labels_and_one_class(spark):
         assert all(np.isfinite(scores)) and max(scores) < 0.3
 
 
+def plain_score(model, text):
+    """The score by loops over words, filters and places, from the model's arrays alone."""
+    mask = (1 << 64) - 1
+
+    def spread(h):
+        h = (h ^ h >> 30) * 0xBF58476D1CE4E5B9 & mask
+        h = (h ^ h >> 27) * 0x94D049BB133111EB & mask
+        return h ^ h >> 31
+
+    def hashed(data):
+        total, power = 0, 1
+        for byte in data:
+            total = (total + int(word_hash._BYTES[byte]) * power) & mask
+            power = power * word_hash.BASE & mask
+        return spread(total)
+
+    vectors = []
+    for word in re.findall("[a-z0-9]+", text.lower()):
+        data = word.encode()
+        parts = [data, data[:4], data[:5], data[:6]]
+        rows = [1 + spread((hashed(p) + i) & mask) % (toxicity.BUCKETS - 1) for i, p in enumerate(parts)]
+        vectors.append([sum(float(model.embeddings[r][d]) for r in rows) for d in range(toxicity.DIMENSION)])
+    vectors += [[0.0] * toxicity.DIMENSION] * (3 - len(vectors))
+    logit, at = model.offset, 0
+    for width in (1, 2, 3):
+        for f in range(toxicity.FILTERS):
+            best = max(
+                sum(
+                    vectors[place + j][d] * float(model.filters[width][j][d][f])
+                    for j in range(width)
+                    for d in range(toxicity.DIMENSION)
+                )
+                for place in range(len(vectors) - width + 1)
+            )
+            logit += max(0.0, best + float(model.bias[at])) * float(model.weights[at])
+            at += 1
+    return 1 / (1 + math.exp(-(model.slope * logit + model.shift)))
+
+
+def test_scores_equal_a_loop_over_words_filters_and_places(spark, trained):
+    docs, _, model = trained
+    some = docs.filter("doc_id < 25").collect()
+    texts = {r.doc_id: r.text for r in some} | {-1: "", -2: "one", -3: "Idiot, idiot! vilezz7", -4: None}
+    df = spark.createDataFrame([(i, t, "en", "x") for i, t in texts.items()], DOCS)
+    got = {r.doc_id: r.score for r in toxicity.score_documents(df, model).collect()}
+    for i, text in texts.items():
+        assert got[i] == pytest.approx(plain_score(model, text or ""), abs=1e-4), text
+
+
+def test_thresholds_and_rejections_are_shown(spark, trained):
+    docs, _, model = trained
+    rows = docs.unionByName(spark.createDataFrame([(-1, "x", None, "s"), (-2, "x", "zz", "s")], DOCS))
+    got = toxicity.score_documents(rows, model, lang="lang").collect()
+    lang = {r.doc_id: r.lang for r in rows.collect()}
+    cut = model.thresholds
+    assert all(r.threshold == cut.get(lang[r.doc_id], cut[""]) for r in got)
+    assert all(r.rejected == (r.score >= r.threshold) for r in got)
+    kept = {r.doc_id for r in toxicity.drop_toxic(rows, model).collect()}
+    assert kept == {r.doc_id for r in got if not r.rejected}
+
+
+def test_rejecting_keeps_columns_that_clash(spark, trained):
+    df = trained[0].limit(20).selectExpr("*", "1 AS row", "2 AS limit", "3 AS _limit")
+    left = toxicity.drop_toxic(df, trained[2])
+    assert left.columns == df.columns and {(r.row, r.limit, r._limit) for r in left.collect()} == {(1, 2, 3)}
+
+
 def test_long_texts_are_scored_in_pieces(monkeypatch):
     rng = np.random.default_rng(0)
     model = toxicity._network(rng)

@@ -4,15 +4,18 @@ from __future__ import annotations
 
 import itertools
 import re
+from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
 import corpus_pipeline
 from faremill.llm import queries, toxicity
-from faremill.llm.common import table
+from faremill.llm.common import prepare, table
 from tests import oracle
-from tests.llm.test_dedup import classes, jaccard
+from tests.llm.helpers import LONG, edge_documents
+from tests.llm.test_dedup import classes
 
 
 @pytest.mark.parametrize("name", queries.SQL)
@@ -70,10 +73,9 @@ def test_stages_equal_plain_python(spark, sf_dir, folder):
 
 
 def jaccard_(a: str, b: str) -> float:
-    words = "(?:[^\x00-\x7f]|[a-z0-9])+"
-
     def grams(t):
-        w = re.findall(words, t.lower())
+        # letters and digits of any script, as the documents' four languages have them
+        w = re.findall(r"[^\W_]+", t.lower())
         out = {}
         for i in range(max(1, len(w) - 4) if w else 0):
             out[tuple(w[i : i + 5])] = out.get(tuple(w[i : i + 5]), 0) + 1
@@ -84,6 +86,46 @@ def jaccard_(a: str, b: str) -> float:
     return common / max(1, sum(x.values()) + sum(y.values()) - common)
 
 
+def test_stages_take_edge_documents(spark, sf_dir, folder):
+    """NULL keys and texts, repeats, a very long text and clashing columns, stage by stage."""
+    prepare(spark)
+    edge = edge_documents(spark).select("doc_id", "text")
+    extra = [(20, "alpha beta gamma delta epsilon zeta eta"), (21, None), (21, None), (22, "You idiot!")]
+    edge = edge.unionByName(spark.createDataFrame(extra, edge.schema))
+    # keys without labels: nothing is learned, and nothing rejected
+    edge = edge.withColumn("doc_id", F.col("doc_id") + 10**9)
+    names = ["row", "score", "limit", "uid", "kept", "digest", "name", "label", "_key"]
+    docs = edge.selectExpr(
+        "doc_id", "text", "CAST(NULL AS STRING) AS lang", "'s' AS source", "length(text) AS n_chars",
+        *[f"'{n}!' AS {n}" for n in names],
+    )
+    kept = docs
+    counts = []
+    for n, (name, stage) in enumerate(corpus_pipeline.STAGES[:-1]):
+        stage(spark, kept, sf_dir).write.parquet(f"{folder}/{n}")
+        before, kept = kept, spark.read.parquet(f"{folder}/{n}")
+        assert kept.columns == docs.columns, name
+        rows = kept.collect()
+        assert all(r[c] == f"{c}!" for r in rows for c in names), name
+        texts = Counter((r.doc_id, r.text) for r in rows)
+        assert texts <= Counter((r.doc_id, r.text) for r in before.collect()), name
+        counts.append((before, rows))
+    assert len(counts[0][1]) == docs.count()
+    before, rows = counts[1]
+    bare = lambda t: re.sub("[\x20\x09-\x0d]", "", t or "")
+    assert sorted(bare(r.text) for r in rows) == sorted({bare(r.text) for r in before.collect()})
+    before, rows = counts[2]
+    texts = [(i, r.text or "") for i, r in enumerate(before.collect())]
+    pairs = [
+        (a, b) for (a, x), (b, y) in itertools.combinations(texts, 2) if jaccard_(x, y) >= 0.8
+    ]
+    want = classes(pairs, range(len(texts)))
+    assert len(rows) == len(set(want.values()))
+    assert max(len(r.text or "") for r in rows) == len(LONG)
+    packed = corpus_pipeline.STAGES[-1][1](spark, kept, sf_dir).collect()
+    assert Counter(r.doc_id for r in packed if r.piece == 0) == Counter(r.doc_id for r in rows)
+
+
 def test_run_gives_the_last_stage(spark, sf_dir):
     got = corpus_pipeline.run(spark, sf_dir)
     assert {"doc_id", "sequence_id", "offset"} <= set(got.columns) and got.count() > 0

@@ -26,21 +26,23 @@ VECTORS = "vec_id long, embedding array<float>, score string, shard string"
 
 
 def brute_top(rows, k, every):
-    usable = {
-        (i, tuple(math.floor(256 * x) for x in v))
+    usable = [
+        (i, [math.floor(256 * x) for x in v])
         for i, v in rows
         if i is not None
         and v is not None
         and all(x is not None and math.isfinite(x) for x in v)
-    }
+    ]
     out = []
-    for q, v in usable:
+    for n, (q, v) in enumerate(usable):
         if q % every:
             continue
         scores = sorted(
-            (-sum(a * b for a, b in zip(v, w)), i) for i, w in usable if i != q and len(w) == len(v)
+            (-sum(a * b for a, b in zip(v, w)), i)
+            for m, (i, w) in enumerate(usable)
+            if m != n and len(w) == len(v)
         )
-        out += [(q, n, i, -s) for n, (s, i) in enumerate(scores[:k], 1)]
+        out += [(q, rank, i, -s) for rank, (s, i) in enumerate(scores[:k], 1)]
     return Counter(out)
 
 
@@ -51,18 +53,31 @@ def test_top_k_equals_brute_force(spark, shard_rows, block):
     rows += [(300 + i, rows[7][1]) for i in range(30)]  # ties
     rows += [rows[3], (None, rows[3][1]), (50, None), (400, [1.0, None] + [0.0] * 4)]
     rows += [(401, [float("nan")] * 6), (402, [float("inf")] * 6), (403, [0.5, 0.5]), (410, [])]
-    rows += [(404, [0.25, -0.5]), (420, []), (430, [1e30] * 6), (440, [-0.0] * 6)]
+    rows += [(404, [0.25, -0.5]), (420, []), (440, [-0.0] * 6)]
+    # repeated rows are rows; so are two vectors of one key, also of a query
+    rows += [rows[20], rows[20], (20, rows[9][1]), (31, rows[8][1])]
     df = spark.createDataFrame([(*r, "x", "y") for r in rows], VECTORS).repartition(5)
     got = kd_search.top_k(df, k=4, every=10, shard_rows=shard_rows, block_queries=block)
-    held = [(i, v) for i, v in rows if i != 430]
-    want = brute_top([(i, v if v is None else [None if x is None else float(np.float32(x)) for x in v]) for i, v in held], 4, 10)
-    rest = Counter(tuple(r) for r in got.collect() if 430 not in (r.query_id, r.vec_id))
-    # the row of 1e30 is held within 2**53; it pushes out others, which brute force without it has
-    assert all(rest[key] == 1 and (key in want or key[1] <= 4) for key in rest)
-    assert {r.vec_id for r in got.filter("query_id = 430").collect()} <= {i for i, _ in rows}
-    plain = spark.createDataFrame([(*r, "x", "y") for r in held], VECTORS)
-    again = kd_search.top_k(plain, k=4, every=10, shard_rows=shard_rows, block_queries=block)
-    assert Counter(tuple(r) for r in again.collect()) == want
+    assert Counter(tuple(r) for r in got.collect()) == brute_top(rows, 4, 10)
+
+
+def test_numbers_beyond_doubles_stay_exact(spark):
+    wide = "vec_id long, embedding array<double>"
+    rows = [(0, [3e13 + 1, 2.0]), (1, [1.0, 1.0]), (2, [1.0, 1.0 + 2**-8]), (3, [-0.5, 4e13])]
+    got = kd_search.top_k(spark.createDataFrame(rows, wide), k=3)
+    assert Counter(tuple(r) for r in got.collect()) == brute_top(rows, 3, 50)
+    for bad in ([(0, [4e13]), (1, [4e13])], [(0, [1.0]), (1, [1e30])]):
+        with pytest.raises(Exception, match="beyond 64 bits"):
+            kd_search.top_k(spark.createDataFrame(bad, wide)).collect()
+
+
+def test_queries_of_their_own(spark):
+    """No query is a row: rows of its key are left out."""
+    rows = [(i, [i / 8, 1.0]) for i in range(20)]
+    df = spark.createDataFrame([(*r, "x", "y") for r in rows], VECTORS)
+    asked = spark.createDataFrame([(19, [1.0, 0.0], "", ""), (99, [1.0, 0.0], "", "")], VECTORS)
+    got = {(r.query_id, r.rank): r.vec_id for r in kd_search.top_k(df, asked, k=2).collect()}
+    assert got == {(19, 1): 18, (19, 2): 17, (99, 1): 19, (99, 2): 18}
 
 
 def test_no_rows_and_few_rows(spark):

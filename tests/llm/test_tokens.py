@@ -114,6 +114,17 @@ def test_files_give_back_every_document(spark, library, folder):
     assert one[0].ids_crc32 == zlib.crc32(packed(one[0].ids))
 
 
+def test_equal_rows_are_dealt_to_several_files(spark, folder):
+    text = "same words " * 60
+    rows = [(5, text)] * 3000 + [(i, f"{i} {text}") for i in range(10, 3010)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    files = token_files.write_tokens(df, f"{folder}/t", file_chars=500_000)
+    sizes = [r.ids for r in files.totals().collect()]
+    assert max(sizes) < 3 * sum(sizes) / len(sizes)
+    placed = files.positions().orderBy("start").collect()
+    assert [r.doc_id for r in placed] == sorted(r[0] for r in rows)
+
+
 def test_empty_table_gives_no_documents(spark, folder):
     files = token_files.write_tokens(empty_documents(spark), f"{folder}/t")
     assert files.positions().count() == 0
@@ -165,6 +176,64 @@ def test_plans_place_every_piece_and_are_as_small_as_best_fit_decreasing(seed):
     assert found.sequences() <= simple * 1.002 + 1
 
 
+@pytest.mark.parametrize("seed", range(4))
+def test_configured_sequences_reach_the_result(seed, monkeypatch):
+    """At least nine tenths of what the configurations fill is in the plan."""
+    filled = []
+    substitute = packing.substitute
+    monkeypatch.setattr(
+        packing, "substitute", lambda *a: filled.append(substitute(*a)) or filled[-1]
+    )
+    rng = np.random.default_rng(seed)
+    low, high = [(65, 1024), (250, 520), (300, 700), (65, 400)][seed]
+    counts = dict(Counter(rng.integers(low, high, 30_000).tolist()))
+    found = packing.plan(counts)
+    assert found.configured >= 0.9 * max(f.sequences() for f in filled) > 1000
+    assert found.configured > 0.85 * found.sequences()
+    assert sum(sum(c) * n for c, n in found.runs) == sum(k * v for k, v in counts.items())
+
+
+def test_configurations_beat_best_fit_where_it_wastes():
+    """Three pieces of a third each: best fit decreasing pairs the longer ones."""
+    rng = np.random.default_rng(1)
+    counts = dict(Counter(rng.integers(250, 520, 50_000).tolist()))
+    simple = packing.best_fit(packing.Runs([]), counts).sequences()
+    assert packing.plan(counts).sequences() < 0.96 * simple
+
+
+def optimum(pieces, size):
+    """The fewest sequences by trying every place for every piece, longest first."""
+    pieces = sorted(pieces, reverse=True)
+    best = len(pieces)
+
+    def go(i, rooms):
+        nonlocal best
+        if len(rooms) >= best:
+            return
+        if i == len(pieces):
+            best = len(rooms)
+            return
+        for at in {r: n for n, r in enumerate(rooms) if r >= pieces[i]}.values():
+            go(i + 1, [*rooms[:at], rooms[at] - pieces[i], *rooms[at + 1 :]])
+        go(i + 1, [*rooms, size - pieces[i]])
+
+    go(0, [])
+    return best
+
+
+def test_small_cases_are_at_most_one_off_the_optimum():
+    rng = random.Random(12)
+    off = 0
+    for _ in range(120):
+        size = rng.choice([10, 20, 64])
+        pieces = [rng.randrange(1, size + 1) for _ in range(rng.randrange(1, 10))]
+        found = packing.plan(dict(Counter(pieces)), size=size, groups=4, small=size // 8)
+        want = optimum(pieces, size)
+        assert want <= found.sequences() <= want + 1
+        off += found.sequences() > want
+    assert off <= 6
+
+
 def test_configurations_reach_the_optimum_of_a_small_case():
     # two of 5 fill 10; three of 3 leave 1; 7 takes a 3
     mix = packing.configurations([7, 5, 3], [4, 6, 10], size=10)
