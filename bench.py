@@ -47,6 +47,11 @@ HEADLINE = [
     "green_fact_build",
     "layered_build",
     "dq_fact_checks",
+    "merge_bucketed",
+    "monthly_zone_revenue_parts",
+    "stream_late_rows",
+    "dq_unique_growing",
+    "nested_lists",
 ]
 RUNS = 3
 
