@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -70,3 +72,13 @@ def remove(spark: SparkSession, path: str) -> None:
     """Delete a folder of this library's making, if it is there."""
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
     where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package's code to the Python workers, once a session."""
+    package, context = Path(__file__).resolve().parent, spark.sparkContext
+    if not any(f.endswith(f"/{package.name}.zip") for f in context.listFiles):
+        folder = tempfile.mkdtemp(prefix=f"{package.name}-")
+        context.addPyFile(
+            shutil.make_archive(f"{folder}/{package.name}", "zip", package.parent, package.name)
+        )

@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from faremill.operators.rows import cut_in_ranges, running
-from faremill.session import workspace
+from faremill.session import ship_package, workspace
 
 # keyed state of a stream needs this provider
 STATE_STORE = {
@@ -68,6 +68,7 @@ def mark_late_in_stream(
     Within a micro-batch rows are taken by ``arrival``; the source delivers the batches in that
     order. Rows without an event time are not late. The session needs ``STATE_STORE``.
     """
+    ship_package(df.sparkSession)
     rows = df.select(
         F.col(key).alias("of"),
         F.col(arrival).alias("arrival"),

@@ -50,3 +50,12 @@ def test_local_session_gets_one_folder():
 
 def test_times_are_utc(spark):
     assert spark.conf.get("spark.sql.session.timeZone") == "UTC"
+
+
+def test_the_package_is_sent_once(spark):
+    from faremill.session import ship_package
+
+    for _ in range(2):
+        ship_package(spark)
+    names = [f.rsplit("/", 1)[1] for f in spark.sparkContext.listFiles]
+    assert names.count("faremill.zip") == 1
