@@ -257,7 +257,8 @@ def nested_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
         "orderItems",
     )
     base = workspace(spark, "lists")
-    records.write.json(f"{base}/landed")
+    # names and punctuation are most of the text
+    records.write.json(f"{base}/landed", compression="gzip")
     landed = spark.read.schema(records.schema).json(f"{base}/landed")
     tables = nested.write_lists(landed, "orders", f"{base}/tables", ["id"])
     line = nested.with_parent(tables["orders__order_items"], tables["orders"], ["id", "customer__id"])

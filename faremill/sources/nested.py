@@ -68,15 +68,49 @@ def _take(tables: dict[str, DataFrame], name: str, rows: DataFrame, keys: list[s
 def write_lists(
     df: DataFrame, name: str, path: str, key: list[str] | None = None
 ) -> dict[str, DataFrame]:
-    """Store every table in a folder of its name below ``path``."""
+    """Store every table in a folder of its name below ``path``.
+
+    Most of their bytes are keys in hexadecimal digits: zstd codes such a digit in half a byte,
+    which Parquet's default codec cannot.
+    """
     out = {}
     for table, rows in split_lists(df, name, key).items():
-        rows.write.mode("overwrite").parquet(f"{path}/{table}")
+        rows.write.mode("overwrite").parquet(f"{path}/{table}", compression="zstd")
         out[table] = df.sparkSession.read.schema(rows.schema).parquet(f"{path}/{table}")
     return out
 
 
+_OTHER = b"\x00" * 17  # longer than a packed hash, so that no other text looks like one
+
+
+def _packed(key: Column) -> Column:
+    """A hash's 32 digits as 16 bytes, any other text as itself behind a mark, NULL as no bytes.
+
+    Never NULL, so that joins by it do not compute it once more to filter NULLs.
+    """
+    digits = (F.octet_length(key) == 32) & (F.lower(key) == key)
+    hashed = F.when(digits, F.unhex(key))  # NULL if these are no digits
+    return F.coalesce(hashed, F.concat(F.lit(_OTHER), key.cast("binary")), F.lit(b""))
+
+
+def _unpacked(key: Column) -> Column:
+    other = F.substr(key, F.lit(len(_OTHER) + 1)).cast("string")
+    hashed = F.when(F.octet_length(key) == 16, F.lower(F.hex(key)))
+    return hashed.when(F.octet_length(key) > 16, other)
+
+
 def with_parent(child: DataFrame, parent: DataFrame, columns: list[str]) -> DataFrame:
-    """Elements with columns of the row whose list they are in."""
+    """Elements with columns of the row whose list they are in.
+
+    The keys are packed while rows are shuffled: they are most of what a row holds.
+    """
     above = parent.select(F.col(ROW).alias(PARENT), *columns)
-    return child.join(above, PARENT)
+    text = T.StringType()
+    if not child.schema[PARENT].dataType == above.schema[PARENT].dataType == text:
+        return child.join(above, PARENT)
+    # the child's own key too, unless the parent brings a column of that name
+    own = [f.name for f in child.schema if f.name == ROW and f.dataType == text]
+    keys = [PARENT, *(own if len(own) == 1 and ROW not in columns else [])]
+    below = child.filter(F.col(PARENT).isNotNull()).withColumns({k: _packed(F.col(k)) for k in keys})
+    above = above.filter(F.col(PARENT).isNotNull()).withColumn(PARENT, _packed(F.col(PARENT)))
+    return below.join(above, PARENT).withColumns({k: _unpacked(F.col(k)) for k in keys})

@@ -1,11 +1,13 @@
 from __future__ import annotations
 
+import glob
 import json
+import os
 
 from pyspark.sql import functions as F
 
 from faremill.sources import nested as n
-from tests.conftest import rows
+from tests.conftest import plan, rows
 
 RECORDS = [
     {
@@ -82,3 +84,39 @@ def test_names_that_clash_with_keys(spark):
         "_row_key", "_parent_key", "_place", "item", "place", "parent_key",
     ]
     assert rows(tables["t__list"].select("item", "place", "parent_key")) == [(1, 2, 3)]
+
+
+def test_other_keys_than_hashes(spark):
+    """Texts that are no hash, or look like a packed one, and NULLs keep what they are."""
+    md5 = "0123456789abcdef0123456789abcdef"
+    odd = [md5, md5.upper(), "g" * 32, "ab" * 8, "a", "", "é" * 16, "\x00" * 17 + "a", None]
+    parent = spark.createDataFrame([(k, i) for i, k in enumerate(odd)], "_row_key string, id int")
+    child = spark.createDataFrame(
+        [(r, k, i) for i, k in enumerate(odd) for r in (md5, "x", None)],
+        "_row_key string, _parent_key string, _place int",
+    )
+    got = n.with_parent(child, parent, ["id"])
+    assert got.columns == ["_parent_key", "_row_key", "_place", "id"]
+    assert rows(got) == sorted(
+        ((k, r, i, i) for i, k in enumerate(odd) if k is not None for r in (md5, "x", None)),
+        key=lambda r: tuple((v is None, str(v)) for v in r),
+    )
+    twice = n.with_parent(child, parent.union(parent), ["id", "_row_key"])
+    assert twice.count() == 6 * (len(odd) - 1)
+    numbers = spark.createDataFrame([(1, 5)], "_row_key int, id int")
+    some = spark.createDataFrame([(2, 1, 0), (3, 9, 0)], "_row_key int, _parent_key int, _place int")
+    assert rows(n.with_parent(some, numbers, ["id"])) == [(1, 2, 0, 5)]
+
+
+def test_keys_are_small_where_rows_are_shuffled_and_stored(spark, folder):
+    df = spark.range(20_000).select("id", F.array(F.col("id"), F.col("id") + 1).alias("list"))
+    tables = n.write_lists(df, "t", folder, ["id"])
+    stored = sum(os.path.getsize(f) for f in glob.glob(folder + "/t__list/*.parquet"))
+    assert stored < 40_000 * 40  # 55 bytes a row by the default codec
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(n.with_parent(tables["t__list"], tables["t"], ["id"]))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert text.count("unhex(_parent_key") == 1 and text.count("unhex(_row_key") == 2
+    assert "isnotnull(coalesce" not in text
