@@ -19,7 +19,7 @@ from __future__ import annotations
 import datetime as dt
 import json
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -157,13 +157,19 @@ def create(
     path: str,
     partition: str | None = None,
     cluster_by: list[str] | None = None,
+    finish: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
-    """First load, or full rebuild, of a target; ``cluster_by`` deals its rows to files by ranges."""
+    """First load, or full rebuild, of a target; ``cluster_by`` deals its rows to files by ranges.
+
+    ``finish`` adds columns that follow from a row, such as a hashed id, after the rows are dealt:
+    they are computed once, not for the sample of the ranges too, and are not shuffled.
+    """
+    finish = finish or (lambda rows: rows)
     if partition is None:
-        return commit(by_range(df, [], cluster_by) if cluster_by else df, path)
-    rows = dealt(df, [partition], cluster_by)
+        return commit(finish(by_range(df, [], cluster_by) if cluster_by else df), path)
+    rows = finish(dealt(df, [partition], cluster_by))
     rows.write.mode("overwrite").partitionBy(partition).parquet(path)
-    _remember_schema(df.sparkSession, path, df.schema)
+    _remember_schema(df.sparkSession, path, rows.schema)
     return read_target(df.sparkSession, path)
 
 

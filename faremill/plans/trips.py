@@ -256,9 +256,11 @@ def green_rows(df: DataFrame, order: str | None = None) -> DataFrame:
         _stage(df, GREEN_TIMES, None, columns), ROW_KEY, order or ties[0], "first", ties
     )
     # a missing code is a gap of the records, not an error: it stays NULL
-    return kept.withColumn("unique_row_id", surrogate_key(*ROW_KEY)).withColumn(
-        "payment_type_description", payment_label("payment_type")
-    )
+    return with_row_id(kept).withColumn("payment_type_description", payment_label("payment_type"))
+
+
+def with_row_id(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("unique_row_id", surrogate_key(*ROW_KEY))
 
 
 def green_fact(rows: DataFrame, zones: DataFrame) -> DataFrame:

@@ -32,6 +32,7 @@ from faremill.plans.trips import (
     green_rows,
     interval_report,
     interval_staging,
+    with_row_id,
 )
 from faremill.registry import query
 from faremill.session import workspace
@@ -322,7 +323,10 @@ def green_fact_build(spark: SparkSession, sf_dir: str) -> DataFrame:
         .select(*_GREEN_OUT)
     )
     first = fact.filter(F.col("pickup_datetime") < _stamp("2000-01-01"))
-    inc.create(first, path, "pickup_month", cluster_by=["pickup_borough"])
+    inc.create(
+        first.drop("unique_row_id"), path, "pickup_month", cluster_by=["pickup_borough"],
+        finish=lambda dealt: with_row_id(dealt).select(*_GREEN_OUT),
+    )
     newest = inc.newest_partition(spark, path, "pickup_month")
     newer = inc.incremental_slice(fact, newest, "pickup_datetime")
     # the id is hashed from the pickup time too, so it decides the month

@@ -102,6 +102,26 @@ def test_incremental_targets_are_clustered(spark, folder, no_aqe, partition):
     assert sum(b[0] <= "c" <= b[1] for b in bounds) <= len(bounds) / 2
 
 
+@pytest.mark.parametrize("partition", [None, "day"])
+def test_columns_added_after_rows_are_dealt(spark, folder, no_aqe, partition):
+    """They are stored and read back, and known to the next merge; no sample computes them."""
+    path, seen = folder + "/t", []
+    df = rides(spark, 3000).union(rides(spark, 30))
+
+    def finish(dealt):
+        seen.append(plan(dealt))
+        return dealt.withColumn("key", F.md5(F.col("id").cast("string"))).select("key", *df.columns)
+
+    inc.create(df, path, partition, cluster_by=["borough"], finish=finish)
+    assert len(seen) == 1 and "Exchange rangepartitioning" in seen[0] and "md5" not in seen[0]
+    whole = df.withColumn("key", F.md5(F.col("id").cast("string")))
+    columns = ["key", *df.columns]
+    assert rows(inc.read_target(spark, path).select(columns)) == rows(whole.select(columns))
+    changed = whole.filter("id = 2000").withColumn("note", F.lit("new"))
+    got = inc.merge(changed, path, ["key"], partition, moves=False, cluster_by=["borough"])
+    assert got.count() == 3030 and got.filter("note = 'new'").count() == 1
+
+
 def test_green_fact_by_day(spark, sf_dir, folder):
     """Two runs: the second one takes newer trips only and leaves the older days as they are."""
     land(spark, sf_dir, folder)
